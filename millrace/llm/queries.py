@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import mixing, sharding
+from millrace.llm import mixing, sharding, tokens, topk, warc
 
 SEED = 20260818
 
@@ -21,7 +22,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, sf_dir, "documents"), seed=SEED, weights=(3, 1, 2), budget=(3, 2), max_epochs=2)
 
 
-QUERIES = {f.__name__: f for f in (op4_sharding, op8_mixing)}
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 100 == 0, k=10)
+
+
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(_table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", limit=2048)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op3_tokens, op4_sharding, op7_warc, op8_mixing)}
 
 _OP8 = f"""
 with d as (
@@ -49,4 +62,13 @@ select doc_id, size, source_size, target,
        (size * (whole + case when k <= last_k then 1 else 0 end))::bigint as taken from e
 """
 
-ORACLES = {"op8_mixing": _OP8}
+_OP1 = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+           where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+      from v q, v c where q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from p)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
+
+ORACLES = {"op1_topk": _OP1, "op8_mixing": _OP8}
