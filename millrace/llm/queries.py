@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, sharding, tokens, topk, warc
+from millrace.llm import decontam, mixing, neardup, sharding, tokens, topk, warc
 
 SEED = 20260818
 
@@ -34,7 +34,15 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_tokens, op4_sharding, op7_warc, op8_mixing)}
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+
+
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(_table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op3_tokens, op4_sharding, op7_warc, op8_mixing, op9_decontam, op10_neardup)}
 
 _OP8 = f"""
 with d as (
