@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, mixing, neardup, sharding, tokens, topk, toxicity, warc
+from millrace.llm import chat, decontam, mixing, neardup, sharding, tokens, topk, toxicity, warc
 
 SEED = 20260818
 
@@ -30,6 +30,10 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", limit=2048)
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(_table(spark, sf_dir, "conversations")).drop("seq")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -46,7 +50,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_tokens, op4_sharding, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup)}
 
 _OP8 = f"""
 with d as (
