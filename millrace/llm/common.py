@@ -49,3 +49,22 @@ def utf8(text: str | Column) -> Column:
 def parts_for(df: DataFrame, rows: int, per_part: int) -> int:
     """Partitions so that each holds about ``per_part`` rows, never fewer than Spark's own count."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_part))
+
+
+def joined_by_share(rows: DataFrame, key: Column, table: DataFrame, table_key: str, n: str, total: int, share: float = 0.001) -> DataFrame:
+    """Left join of ``rows`` with a table of one row a key, whose column ``n`` counts the key's rows.
+
+    Keys with at least ``share`` of all rows, of which there are at most ``1 / share``, go by
+    broadcast, so no task gathers their rows. The rest are joined by key; rows already answered, or
+    with a null key, are spread by a hash of the row. The table's other columns are added.
+    """
+    bound = max(100, math.ceil(total * share))
+    others = [c for c in table.columns if c not in (table_key, n)]
+    pick = lambda df, p: df.select(F.col(table_key).alias(f"{p}key"), *[F.col(c).alias(f"{p}{c}") for c in others])
+    own = rows.columns
+    marked = rows.withColumn("_key", key).join(F.broadcast(pick(table.where(F.col(n) >= bound), "_hot_")), F.col("_key") == F.col("_hot_key"), "left")
+    apart = F.concat(F.lit("-"), F.xxhash64(*own).cast("string"))
+    spread = F.when(F.col("_hot_key").isNull() & F.col("_key").isNotNull(), F.concat(F.lit("="), F.col("_key").cast("string"))).otherwise(apart)
+    cold = pick(table.where(F.col(n) < bound), "_cold_").withColumn("_cold_key", F.concat(F.lit("="), F.col("_cold_key").cast("string")))
+    joined = marked.withColumn("_spread", spread).join(cold, F.col("_spread") == F.col("_cold_key"), "left")
+    return joined.select(*own, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in others])

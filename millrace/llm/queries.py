@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, mixing, neardup, sharding, tokens, topk, toxicity, warc
+from millrace.llm import chat, decontam, licences, mixing, neardup, sharding, tokens, topk, toxicity, warc
 
 SEED = 20260818
 
@@ -26,6 +26,12 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 100 == 0, k=10)
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents have no paths; source, language and id make one."""
+    path = F.concat_ws("/", "source", "lang", "doc_id")
+    return licences.scan(_table(spark, sf_dir, "documents"), path)
+
+
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", limit=2048)
 
@@ -50,7 +56,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup)}
 
 _OP8 = f"""
 with d as (
