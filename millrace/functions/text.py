@@ -39,12 +39,11 @@ def casefold(text: Column) -> Column:
     """Full, context-free case folding. Folding is per character, so the one-to-one part is one
     ``translate``; the characters that grow are replaced only in texts that hold any."""
     one, to, several = fold_tables()
-    mapped = F.translate(text, one, to)
-    grown = mapped
-    for c, f in several:
-        grown = F.replace(grown, F.lit(c), F.lit(f))
-    holds = mapped.rlike("[" + "".join(c for c, _ in several) + "]")
-    return F.when(holds, grown).otherwise(mapped)
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in several])
+    holds = "[" + "".join(c for c, _ in several) + "]"
+    grow = lambda t: F.aggregate(pairs, t, lambda acc, p: F.replace(acc, p["c"], p["f"]))
+    # a one-element transform binds the translated text, so that it is made once
+    return F.transform(F.array(F.translate(text, one, to)), lambda t: F.when(t.rlike(holds), grow(t)).otherwise(t))[0]
 
 
 def strip(text: Column) -> Column:

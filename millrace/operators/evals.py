@@ -75,11 +75,11 @@ def deltas(macros: DataFrame, baseline: str) -> DataFrame:
 
 
 def percent(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", value * 100), F.lit("—"))
+    return F.when(value.isNull(), "—").otherwise(F.format_string("%.2f", value * 100))
 
 
 def signed_percent(value: Column) -> Column:
-    return F.coalesce(F.format_string("%+.2f", value * 100), F.lit("—"))
+    return F.when(value.isNull(), "—").otherwise(F.format_string("%+.2f", value * 100))
 
 
 def report(scores: DataFrame, macros: DataFrame, tasks: list[str], baseline: str) -> DataFrame:

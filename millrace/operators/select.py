@@ -52,69 +52,93 @@ def heads(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source_id", "prompt_hash").agg(first.alias("f")).select("source_id", "prompt_hash", "f.key", "f.row_id", "f.tokens")
 
 
-def cut(candidates: DataFrame, quota: int, cells: int) -> tuple[str, object] | None:
-    """The (key, row_id) at which the running total first reaches the quota; None: it never does.
-    At least the first row is before any cut."""
-    sums = candidates.groupBy(cell_of(F.col("key"), cells).alias("cell")).agg(F.sum("tokens").alias("t"))
-    before, crossing = 0, None
-    for r in sums.orderBy("cell").collect():  # at most MOST_CELLS rows
-        if before + r["t"] >= quota:
-            crossing = r["cell"]
-            break
-        before += r["t"]
-    if crossing is None:
-        return None
-    inside = candidates.where(cell_of(F.col("key"), cells) == crossing)
-    upto = Window.orderBy("key", "row_id").rowsBetween(Window.unboundedPreceding, 0)
-    hit = inside.withColumn("cum", F.sum("tokens").over(upto) + F.lit(before)).where(F.col("cum") >= quota)
-    got = hit.agg(F.min(F.struct("key", "row_id")).alias("m")).first()["m"]
-    return got["key"], got["row_id"]
-
-
 def priority_select(rows: DataFrame, order: Sequence[Part], claimed: DataFrame | None = None, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """Walk the sources of ``rows`` (source_id, row_id, prompt_hash, tokens, key) in ``order``.
 
     Gives the selected rows (source_id, row_id, prompt_hash, tokens) and per-source statistics
     (source_id, selected_rows, selected_tokens, duplicates_skipped). ``claimed`` holds prompt hashes
     that are taken from the start. With ``strict``, a source that can't fill its quota is an error.
+
+    Tokens of uncontested prompts are summed once, by source and cell. A source's turn then reads
+    its contested prompts, without the claimed ones, and the one cell that holds its cut.
     """
     spark = rows.sparkSession
     narrow = written(rows.select("source_id", "row_id", "prompt_hash", F.col("tokens").cast("long").alias("tokens"), "key"), "select-rows")
+    most = narrow.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    cells = min(MOST_CELLS, max(64, math.ceil(most / CELL_ROWS)))
     firsts = heads(narrow)
     if claimed is not None:
         firsts = firsts.join(claimed.select("prompt_hash").distinct(), "prompt_hash", "left_anti")
-    shared = firsts.groupBy("prompt_hash").agg((F.count(F.lit(1)) > 1).alias("contested"))
-    firsts = written(firsts.join(shared, "prompt_hash"), "select-heads")
-    totals = {r["source_id"]: (r["n"], r["all"]) for r in narrow.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("all")).collect()}
-    claims_schema = "prompt_hash string"
+    shared = firsts.groupBy("prompt_hash").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("prompt_hash", F.lit(True).alias("contested"))
+    firsts = firsts.join(shared, "prompt_hash", "left").withColumn("contested", F.coalesce("contested", F.lit(False)))
+    path = scratch(spark, "select-heads")
+    firsts.withColumn("cell", cell_of(F.col("key"), cells)).write.partitionBy("contested", "source_id").parquet(path)
+    schema = "prompt_hash string, key string, row_id " + rows.schema["row_id"].dataType.simpleString() + ", tokens long, cell long, contested boolean, source_id string"
+    firsts = spark.read.schema(schema).parquet(path)
+    plain, contested = firsts.where("not contested"), firsts.where("contested")
+    sums: dict[str, dict[int, int]] = {}
+    for r in plain.groupBy("source_id", "cell").agg(F.sum("tokens").alias("t")).collect():  # sources * MOST_CELLS rows at most
+        sums.setdefault(r["source_id"], {})[r["cell"]] = r["t"]
+    disputed = {r["source_id"] for r in contested.select("source_id").distinct().collect()}
     paths: list[str] = []
-    selected: list[DataFrame] = []
-    stats: list[tuple] = []
+    cuts: list[tuple] = []
     for part in order:
-        own = firsts.where(F.col("source_id") == part.source_id)
-        if paths:
-            taken = spark.read.schema(claims_schema).parquet(*paths)
-            own = own.where("not contested").unionByName(own.where("contested").join(taken, "prompt_hash", "left_anti"))
-        n, tokens = totals.get(part.source_id, (0, 0))
+        own = contested.where(F.col("source_id") == part.source_id)
+        if paths and part.source_id in disputed:
+            own = own.join(spark.read.schema("prompt_hash string").parquet(*paths), "prompt_hash", "left_anti")
         end = None
-        if part.quota is not None and n:
-            cells = min(MOST_CELLS, max(64, math.ceil(n / CELL_ROWS)))
-            end = cut(own, part.quota, cells)
-        before = F.lit(True) if end is None else F.struct("key", "row_id") <= F.struct(F.lit(end[0]).alias("key"), F.lit(end[1]).alias("row_id"))
-        mine = own.where(before)
-        path = scratch(spark, f"claims-{len(paths)}")
-        mine.where("contested").select("prompt_hash").write.parquet(path)
-        paths.append(path)
-        got = mine.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()
-        if strict and part.quota is not None and got["t"] < part.quota:
-            raise RecipeError(f"{part.source_id} has {got['t']} of {part.quota} tokens")
-        seen = n if end is None else narrow.where(F.col("source_id") == part.source_id).where(before).count()
-        stats.append((part.source_id, got["n"], int(got["t"]), seen - got["n"]))
-        selected.append(mine.select("source_id", "row_id", "prompt_hash", "tokens"))
-    out = selected[0]
-    for s in selected[1:]:
-        out = out.unionByName(s)
-    return out, spark.createDataFrame(stats, "source_id string, selected_rows long, selected_tokens long, duplicates_skipped long")
+        if part.quota is not None:
+            total = dict(sums.get(part.source_id, {}))
+            if part.source_id in disputed:
+                for r in own.groupBy("cell").agg(F.sum("tokens").alias("t")).collect():
+                    total[r["cell"]] = total.get(r["cell"], 0) + r["t"]
+            end = _cut(plain.where(F.col("source_id") == part.source_id), own, total, part.quota)
+        cuts.append((part.source_id, part.quota, *(end or (None, None))))
+        if part.source_id in disputed:
+            path = scratch(spark, f"claims-{len(paths)}")
+            (own if end is None else own.where(_upto(*end))).select("prompt_hash", "source_id", "row_id", "tokens").write.parquet(path)
+            paths.append(path)
+    ends = spark.createDataFrame(cuts, f"source_id string, quota long, end_key string, end_row {rows.schema['row_id'].dataType.simpleString()}")
+    before = F.col("end_key").isNull() | (F.struct("key", "row_id") <= F.struct(F.col("end_key").alias("key"), F.col("end_row").alias("row_id")))
+    columns = ("source_id", "row_id", "prompt_hash", "tokens")
+    selected = plain.join(F.broadcast(ends), "source_id").where(before).select(*columns)  # one row a source
+    if paths:
+        taken = spark.read.schema(f"prompt_hash string, source_id string, row_id {rows.schema['row_id'].dataType.simpleString()}, tokens long").parquet(*paths)
+        selected = selected.unionByName(taken.select(*columns))
+    selected = written(selected, "selected")
+    seen = narrow.join(F.broadcast(ends), "source_id").where(before).groupBy("source_id").agg(F.count(F.lit(1)).alias("seen"))
+    got = selected.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"))
+    figures = {r["source_id"]: r for r in seen.join(got, "source_id", "left").collect()}
+    stats = []
+    for source_id, quota, *_ in cuts:
+        r = figures.get(source_id)
+        n, tokens, rows_seen = (r["n"] or 0, r["t"] or 0, r["seen"]) if r else (0, 0, 0)
+        if strict and quota is not None and tokens < quota:
+            raise RecipeError(f"{source_id} has {tokens} of {quota} tokens")
+        stats.append((source_id, n, tokens, rows_seen - n))
+    return selected, spark.createDataFrame(stats, "source_id string, selected_rows long, selected_tokens long, duplicates_skipped long")
+
+
+def _upto(key: str, row_id: object) -> Column:
+    return F.struct("key", "row_id") <= F.struct(F.lit(key).alias("key"), F.lit(row_id).alias("row_id"))
+
+
+def _cut(plain: DataFrame, contested: DataFrame, sums: dict[int, int], quota: int) -> tuple[str, object] | None:
+    """The (key, row_id) at which the running total first reaches the quota; None: it never does.
+    At least the first row is before any cut."""
+    before, crossing = 0, None
+    for cell in sorted(sums):
+        if before + sums[cell] >= quota:
+            crossing = cell
+            break
+        before += sums[cell]
+    if crossing is None:
+        return None
+    inside = plain.where(F.col("cell") == crossing).select("key", "row_id", "tokens").unionByName(contested.where(F.col("cell") == crossing).select("key", "row_id", "tokens"))
+    upto = Window.orderBy("key", "row_id").rowsBetween(Window.unboundedPreceding, 0)  # over one cell
+    hit = inside.withColumn("cum", F.sum("tokens").over(upto) + F.lit(before)).where(F.col("cum") >= quota)
+    got = hit.agg(F.min(F.struct("key", "row_id")).alias("m")).first()["m"]
+    return got["key"], got["row_id"]
 
 
 def claims(selected: DataFrame) -> DataFrame:
