@@ -1,0 +1,44 @@
+import hashlib
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions import text as X
+
+TEXTS = ["Straße", "STRASSE", "ΣΑΣ", "σας", "ﬁx", "fix", "a b", "a b", "a\x85b", "a\x1cb", "a​b", " x  y ", "", "İI", "µŉς", "\U00010400x"]
+
+
+def norm(t):
+    return " ".join(t.casefold().split())
+
+
+def test_fold_and_space_match_python_for_every_character(spark):
+    chars = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    rows = [("".join(chars[i : i + 512]),) for i in range(0, len(chars), 512)]
+    df = spark.createDataFrame(rows, "t string")
+    got = df.select(X.casefold(F.col("t")), X.normalized_prompt(F.col("t")), X.strip(F.col("t"))).collect()
+    for (t,), (folded, normalized, stripped) in zip(rows, got, strict=True):
+        assert folded == t.casefold()
+        assert normalized == norm(t)
+        assert stripped == t.strip()
+
+
+def test_prompt_hash(spark):
+    df = spark.createDataFrame([("de", t) for t in TEXTS], "lang string, t string")
+    got = [r[0] for r in df.select(X.prompt_hash(F.col("lang"), F.col("t"))).collect()]
+    assert got == [hashlib.sha256(f"de\0{norm(t)}".encode()).hexdigest() for t in TEXTS]
+    assert got[0] == got[1] and got[2] == got[3] and got[4] == got[5] and len({got[6], got[7], got[8], got[9]}) == 1 and got[10] != got[6]
+
+
+@pytest.mark.parametrize(("value", "want"), [(None, "None"), ("  ", "unknown"), (" de ", "de"), ("", "unknown")])
+def test_row_language(spark, value, want):
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(X.row_language(F.col("v"))).first()[0] == want
+    assert df.select(X.row_language(F.col("v"), present=False)).first()[0] == "unknown"
+
+
+def test_forms(spark):
+    df = spark.createDataFrame([("a" * 40, "b" * 64, "org/name"), ("A" * 40, "b", "x"), ("a" * 40 + "\n", None, "a/b/c")], "c string, s string, r string")
+    got = df.select(X.is_commit(F.col("c")), X.looks_like_sha256(F.col("s")), X.repo_folder(F.col("r"))).collect()
+    assert [tuple(r) for r in got] == [(True, True, "org--name"), (False, False, "x"), (False, False, "a--b--c")]
