@@ -45,7 +45,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return warc.round_trip(_table(spark, sf_dir, "pages"), min_revisit_bytes=0).drop("archive", "record_offset")
 
 
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +93,74 @@ r as (select *, row_number() over (partition by query_id order by score desc, ve
 select query_id, rank, vec_id, score from r where rank <= 10
 """
 
-ORACLES = {"op1_topk": _OP1, "op8_mixing": _OP8}
+def _feistel(given: str) -> str:
+    """Select x, y of the rows in ``given`` (x, y), y moved by one pass through the network on a x b cells."""
+    mixed = lambda half, k: f"(((({half} + {k}) % {sharding.PRIME}) * (({half} + {k}) % {sharding.PRIME})) % {sharding.PRIME} * {sharding.MULTIPLIER} + {k}) % {sharding.PRIME}"
+    step = f"(select x, y % a as l, y // a as r, a, b from ({given}), side)"
+    for i, k in enumerate(sharding.round_keys(SEED)):
+        moved = f"(l + {mixed('r', k)}) % a as l, r" if i % 2 == 0 else f"l, (r + {mixed('l', k)}) % b as r"
+        step = f"(select x, {moved}, a, b from {step})"
+    return f"select x, l + a * r as y from {step}"
+
+
+# CRC-32 by table, a byte at a time; the table follows from the reflected polynomial
+_OP4 = f"""
+with recursive bits as (select i, 0 as k, i as v from range(256) t(i) union all
+    select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+tab as (select list(v order by i) as tab from bits where k = 8),
+d as (select doc_id, (strlen(coalesce(text, '')) + 16)::bigint as size, xor(list_reduce(list_transform(pairs,
+        lambda x: ('0x' || x)::bigint), lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)]), 4294967295::bigint), 4294967295) as text_crc32
+      from (select *, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') as pairs from documents), tab),
+total as (select count(*) as n, greatest({sharding.MIN_BUCKETS}, ceil(count(*) / {sharding.BUCKET_ROWS}))::bigint as buckets from d),
+side as (select n, floor(sqrt(n - 1))::bigint + 1 as a, ceil(n / (floor(sqrt(n - 1)) + 1))::bigint as b from total),
+numbered as (select d.*, row_number() over (order by ((doc_id % {sharding.PRIME} + {sharding.PRIME}) % {sharding.PRIME} * {sharding.MULTIPLIER}) % {sharding.PRIME} % buckets,
+    doc_id nulls first, size, text_crc32) - 1 as x from d, total),
+walk as (select x, y, 1 as steps from ({_feistel("select x, x as y from numbered")}) union all
+    select x, y, steps from (select x, y, 0 as steps from ({_feistel("select x, y from walk, side where y >= n")}))),
+placed as (select x, y from walk, side where y < n)
+select doc_id, size, text_crc32, 'rows' as law, (y % 40)::int as shard, (y // 40)::bigint as slot, null::int as grown_shard, y as "position" from numbered join placed using (x)
+"""
+
+# base 32: five bits a sign, from the digest's hexadecimal digits
+_OP7 = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select page_id, strlen(h)::bigint as payload_bytes, sha1(h) as x from p),
+b as (select *, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111',
+                (strpos('0123456789abcdef', substr(x, i::int, 1)) * 4 - 3)::int, 4)), '') as bits from d),
+e as (select *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + list_sum(list_transform(range(0, 5), lambda j: substr(bits, (1 + 5 * i + j)::int, 1)::int * (1 << (4 - j)::int)))::int, 1)), '') as payload_digest,
+             max(page_id) over (partition by x, payload_bytes) as newest from b)
+select page_id, payload_bytes, payload_digest, case when newest is null or page_id = newest then 'response' else 'revisit' end as record_type,
+       case when page_id is null or page_id < newest then newest end as refers_to from e
+"""
+
+_BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP9 = f"""
+with i as (select item_id, regexp_extract_all({_ASCII_LOWER}, '{_BENCH_WORD}') as w from benchmark),
+n as (select item_id, w, least(10, len(w)) as size from i where len(w) > 0),
+g as (select distinct item_id, size, array_to_string(w[k:k + size - 1], ' ') as gram from (select *, unnest(range(1, len(w) - size + 2)) as k from n)),
+d as (select row_number() over () as r, doc_id, regexp_extract_all({_ASCII_LOWER}, '{_BENCH_WORD}') as w from documents),
+h as (select r, k, size, item_id from (select r, size, k, array_to_string(w[k:k + size - 1], ' ') as gram
+        from (select r, w, size, unnest(range(1, len(w) - size + 2)) as k from d, (select distinct size from g) where len(w) >= size)) join g using (size, gram)),
+c as (select r, count(distinct place) as n_hit from (select r, unnest(range(k, k + size)) as place from h) group by r),
+t as (select r, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from h group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (r) left join t using (r)
+"""
+
+_OP10 = f"""
+with recursive d as (select doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, hash(array_to_string(w[k:k + 3], ' '), least(len(w), 4)) as x from (select *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as k from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as inter from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * inter >= 80 * (x.n + y.n - inter)),
+e as (select a, b from l union select b, a from l),
+r as (select doc_id as node, doc_id as reached from d union select r.node, e.b from r join e on r.reached = e.a),
+c as (select node, min(reached) as component_id from r group by node)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from d left join n using (doc_id) join c on c.node = doc_id
+"""
+
+ORACLES = {"op1_topk": _OP1, "op4_sharding": _OP4, "op7_warc": _OP7, "op8_mixing": _OP8, "op9_decontam": _OP9, "op10_neardup": _OP10}
