@@ -26,7 +26,13 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage at a table in the shared folder."""
+    """Cut the lineage at a table in the shared folder: a lost executor then costs a reread."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's tables below the shared folder, once their results are stored elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
