@@ -3,41 +3,13 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sources.storage import scratch, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share (``spark.checkpoint.dir``).
-
-    Only a local master may go without the setting; it then gets a folder of its own.
-    """
-    conf = spark.sparkContext.getConf()
-    where = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    where = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", "millrace")
-    spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: the lineage ends
-    there, so a lost executor costs a reread instead of a recomputation."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["joined_by_share", "scratch", "shared_dir", "utf8", "written"]
 
 
 def utf8(text: str | Column) -> Column:
@@ -46,11 +18,6 @@ def utf8(text: str | Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
-def parts_for(df: DataFrame, rows: int, per_part: int) -> int:
-    """Partitions so that each holds about ``per_part`` rows, never fewer than Spark's own count."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_part))
-
-
 def joined_by_share(rows: DataFrame, key: Column, table: DataFrame, table_key: str, n: str, total: int, share: float = 0.001) -> DataFrame:
     """Left join of ``rows`` with a table of one row a key, whose column ``n`` counts the key's rows.
 
