@@ -11,11 +11,12 @@
 4. Components: links are contracted by hooking to the smallest neighbour and pointer jumping.
 
 Large groups never become all their pairs. A bucket first offers each member's pair with the
-bucket's hub (the member that most others resemble) and its few best partners. Once those are confirmed
-and contracted, a bucket whose members all belong together is done; the others offer further
-partners, and at last all that are left, so no link between different components is missed.
-Buckets of over ``CHUNK`` members are processed by pairs of chunks. A link at exactly the
-threshold shares no band once in 300,000 cases, a more similar one more rarely.
+bucket's hub (the member that most others resemble) and its few best partners. Once those are
+confirmed and contracted, a bucket whose members all belong together is done. In the others, pairs
+between different components are estimated again, by signatures of ``LONG`` one-bit values, and all
+that may be similar are confirmed, so no link between different components is missed. Buckets of
+over ``CHUNK`` members are processed by pairs of chunks. A link at exactly the threshold shares no
+band once in 300,000 cases, a more similar one more rarely.
 
 Null and odd cases: a text that is null or has no words has an empty set and links with nothing;
 one of fewer words than a shingle is a single shingle; texts of any length count whole; rows that
@@ -41,8 +42,10 @@ HASHES = BANDS * ROWS
 WORDS = HASHES * BITS // 64
 MARGIN = 5.0
 CHUNK = 1024
-#: Partners that a member offers in each round; None: all.
-ROUNDS = (3, 48, None)
+#: Partners that a member offers at first.
+PARTNERS = 3
+#: One-bit values of the second signature.
+LONG = 4096
 #: Bits of the filter that keeps the texts of non-candidates out of the confirming shuffle.
 FILTER_BITS = 1 << 25
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -56,6 +59,8 @@ def _constants(name: str, n: int, dtype) -> np.ndarray:
 STEP = _constants("step", 8, np.uint64) | np.uint64(1)
 FACTOR = _constants("factor", HASHES, np.uint32) | np.uint32(1)
 SHIFT = _constants("shift", HASHES, np.uint32)
+LONG_FACTOR = _constants("long factor", LONG, np.uint32) | np.uint32(1)
+LONG_SHIFT = _constants("long shift", LONG, np.uint32)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -84,16 +89,22 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(s)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray, factor: np.ndarray = FACTOR, shift: np.ndarray = SHIFT) -> np.ndarray:
+    """Minima of a linear permutation for each factor, then mixed, so that their low bits depend on all."""
     h = (shingles >> np.uint64(32)).astype(np.uint32)
-    best = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
-    for i in range(0, len(h), 1024):
-        np.minimum(best, (h[i : i + 1024, None] * FACTOR + SHIFT).min(axis=0), out=best)
-    return best
-
-
-def packed(mins: np.ndarray) -> bytes:
-    """The low four bits of each minimum, two in a byte."""
+    best = np.full(len(factor), 0xFFFFFFFF, dtype=np.uint32)
+    step = max(1, (1 << 18) // len(factor))
+    for i in range(0, len(h), step):
+        np.minimum(best, (h[i : i + step, None] * factor + shift).min(axis=0), out=best)
+    best = (best ^ (best >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    best = (best ^ (best >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return best ^ (best >> np.uint32(16))
+
+
+def packed(mins: np.ndarray, bits: int = BITS) -> bytes:
+    """The low bits of each minimum: four (two minima in a byte) or one."""
+    if bits == 1:
+        return np.packbits((mins & np.uint32(1)).astype(np.uint8)).tobytes()
     low = (mins & np.uint32(15)).astype(np.uint8)
     return (low[0::2] | (low[1::2] << 4)).tobytes()
 
@@ -106,26 +117,28 @@ def band_hashes(mins: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def matches(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """How many of the packed values agree, by bit counts. one: (WORDS,), many: (n, WORDS)."""
+def matches(one: np.ndarray, many: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """How many of the packed values agree, by bit counts. one: (words,), many: (n, words)."""
     x = one ^ many
-    x |= x >> np.uint64(2)
-    x |= x >> np.uint64(1)
-    return HASHES - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=-1, dtype=np.int64)
+    if bits > 1:
+        x |= x >> np.uint64(2)
+        x |= x >> np.uint64(1)
+        x &= np.uint64(0x1111111111111111)
+    return many.shape[-1] * 64 // bits - np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
 
 
-def least_matches(percent: int) -> int:
+def least_matches(percent: int, hashes: int = HASHES, bits: int = BITS) -> int:
     """Fewer agreeing values than this mean, beyond doubt, less than ``percent`` similarity."""
-    chance = 2.0**-BITS
+    chance = 2.0**-bits
     j = percent / 100
     q = j + (1 - j) * chance
-    return max(0, math.floor(HASHES * (q - MARGIN * math.sqrt(q * (1 - q) / HASHES))))
+    return max(0, math.floor(hashes * (q - MARGIN * math.sqrt(q * (1 - q) / hashes))))
 
 
-def similarity(agreeing: np.ndarray) -> np.ndarray:
+def similarity(agreeing: np.ndarray, hashes: int = HASHES, bits: int = BITS) -> np.ndarray:
     """Collision-corrected estimate of the Jaccard similarity."""
-    chance = 2.0**-BITS
-    return (np.asarray(agreeing) / HASHES - chance) / (1 - chance)
+    chance = 2.0**-bits
+    return (np.asarray(agreeing) / hashes - chance) / (1 - chance)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -153,44 +166,38 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(lambda it: _sketch(it, size), "id long, n long, digest binary, sig binary, bands array<long>")
 
 
-def _bucket_pairs(cid: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, percent: int, least: int, low: int, high: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket that may be linked and belong to different components: in the first
-    round those with the hub, and for each member its partners ranked from low to high."""
-    size = len(cid)
+def _bucket_pairs(cid: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, percent: int, bits: int, partners: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one bucket that may be linked and belong to different components: each member's
+    best partners and the pairs with the hub, or without ``partners`` all pairs."""
+    size, least = len(cid), least_matches(percent, sig.shape[1] * 64 // bits, bits)
     first, second = [], []
     degree = np.zeros(size, dtype=np.int64)
 
-    def alike(i: int) -> tuple[np.ndarray, np.ndarray]:
-        got = matches(sig[i], sig)
-        fits = (got >= least) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-        fits[i] = False
-        return got, fits
+    def alike(i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Agreeing values with the others, and those of them that may be linked with i."""
+        fits = others[(100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])) & (label[others] != label[i])]
+        got = matches(sig[i], sig[fits], bits)
+        return got[got >= least], fits[got >= least]
 
+    everyone = np.arange(size)
     for i in range(size):
-        got, fits = alike(i)
-        degree[i] = fits.sum()
-        js = np.flatnonzero(fits)
-        if not len(js):
-            continue
-        js = js[np.lexsort((cid[js], -got[js]))][low:high]
-        js = js[label[js] != label[i]]
+        got, js = alike(i, everyone if partners else everyone[i + 1 :])
+        degree[i] = len(js)
+        if partners:
+            js = js[np.lexsort((cid[js], -got))][:partners]
         first.append(np.full(len(js), cid[i]))
         second.append(cid[js])
-    if low == 0 and size > 3:
+    if partners and size > partners + 1:
         hub = int(np.lexsort((cid, -degree))[0])
-        _, fits = alike(hub)
-        js = np.flatnonzero(fits & (label != label[hub]))
+        _, js = alike(hub, everyone)
         first.append(np.full(len(js), cid[hub]))
         second.append(cid[js])
-    if not first:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
     a, b = np.concatenate(first), np.concatenate(second)
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, low: int, high: int | None) -> Iterator[pa.RecordBatch]:
+def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, bits: int, partners: int | None) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket and chunks; a bucket may span batches."""
-    least = least_matches(percent)
     held: list[tuple] = []
     key: tuple | None = None
 
@@ -199,7 +206,7 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, low: int, high
             return
         cid, label, n, sig = (np.concatenate(c) for c in zip(*held, strict=True))
         if (label != label[0]).any():
-            a, b = _bucket_pairs(cid, label, n, sig, percent, least, low, high)
+            a, b = _bucket_pairs(cid, label, n, sig, percent, bits, partners)
             if len(a):
                 ab = np.unique(np.stack([a, b], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
@@ -209,7 +216,7 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, low: int, high
             continue
         keys = np.stack([batch[c].to_numpy() for c in ("bucket", "ci", "cj")], axis=1)
         cid, label, n = (batch[c].to_numpy() for c in ("cid", "label", "n"))
-        sig = np.frombuffer(b"".join(batch["sig"].to_pylist()), dtype=np.uint64).reshape(-1, WORDS)
+        sig = np.frombuffer(b"".join(batch["sig"].to_pylist()), dtype=np.uint64).reshape(len(cid), -1)
         cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
             now = tuple(keys[s])
@@ -220,7 +227,7 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, low: int, high
     yield from flush()
 
 
-def _offered(members: DataFrame, percent: int, low: int, high: int | None) -> DataFrame:
+def _offered(members: DataFrame, percent: int, bits: int, partners: int | None) -> DataFrame:
     """Candidate pairs of the buckets in ``members`` (bucket, size, cid, label, n, sig)."""
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     mine = F.pmod(F.xxhash64("cid"), chunks).cast("int")
@@ -232,7 +239,7 @@ def _offered(members: DataFrame, percent: int, low: int, high: int | None) -> Da
         "bucket", F.least("mine", "other").alias("ci"), F.greatest("mine", "other").alias("cj"), "cid", "label", "n", "sig"
     )
     stream = dealt.repartition("bucket", "ci", "cj").sortWithinPartitions("bucket", "ci", "cj", "cid")
-    return stream.mapInArrow(lambda it: _pair_stream(it, percent, low, high), "a long, b long").distinct()
+    return stream.mapInArrow(lambda it: _pair_stream(it, percent, bits, partners), "a long, b long").distinct()
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int, bits: bytes) -> Iterator[pa.RecordBatch]:
@@ -268,6 +275,13 @@ def full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     return sets.join(nodes.select(F.col("cid").alias("id")), "id", "left_semi").select(F.col("id").alias("cid"), "shingles")
 
 
+def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = (x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in batch["shingles"])
+        sigs = [packed(minima(x, LONG_FACTOR, LONG_SHIFT), 1) for x in sets]
+        yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(sigs, pa.binary())], names=["cid", "sig"])
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     one = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
@@ -314,29 +328,26 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -
     crowded = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = spread.join(crowded, "bucket").join(classes.select("cid", "n", "sig"), "cid")
     members = written(members.select("bucket", F.col("size").cast("int").alias("size"), "cid", "n", "sig"), "dup-members")
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    low = 0
-    for high in ROUNDS:
-        if labels is None:
-            open_members = members.withColumn("label", F.col("cid"))
-        else:
-            label = labels.select(F.col("node").alias("cid"), F.col("component").alias("label"))
-            named = members.where(F.col("size") > low + 1).join(label, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-            named = written(named, "dup-named")
-            mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-            open_members = named.join(mixed, "bucket", "left_semi")
-        pairs = written(_offered(open_members, percent, low, high), "dup-pairs")
-        if labels is not None and pairs.isEmpty():
-            low = high or 0
-            continue
-        nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-        sets = written(full_sets(docs, nodes, size), "dup-sets")
-        found = written(confirmed(pairs, sets, percent), "dup-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        low = high or 0
-    return links, labels
+    pairs = written(_offered(members.withColumn("label", F.col("cid")), percent, BITS, PARTNERS), "dup-pairs")
+    # whoever has any partner in a bucket is in a pair now, so these sets serve the second round as well
+    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+    sets = written(full_sets(docs, nodes, size), "dup-sets")
+    links = written(confirmed(pairs, sets, percent), "dup-links")
+    labels = components(links)
+    label = labels.select(F.col("node").alias("cid"), F.col("component").alias("label"))
+    there = members.where(F.col("size") > PARTNERS + 1).select("bucket", "size", "cid", "n").join(sets.select("cid"), "cid", "left_semi")
+    named = written(there.join(label, "cid", "left").withColumn("label", F.coalesce("label", "cid")), "dup-open")
+    mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    unsettled = written(named.join(mixed, "bucket", "left_semi"), "dup-mixed")
+    if unsettled.isEmpty():
+        return links, labels
+    long = sets.join(unsettled.select("cid").distinct(), "cid", "left_semi").mapInArrow(_long_signatures, "cid long, sig binary")
+    more = written(_offered(unsettled.join(written(long, "dup-long"), "cid"), percent, 1, None), "dup-pairs")
+    found = written(confirmed(more, sets, percent), "dup-links")
+    if found.isEmpty():
+        return links, labels
+    links = links.unionByName(found)
+    return links, components(links)
 
 
 def groups(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
