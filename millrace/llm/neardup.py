@@ -322,8 +322,8 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, components) between classes (cid, n, sig, bands)."""
+def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, joined: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links, components) between classes (cid, n, sig, bands). ``joined``: links (a, b) from the start."""
     spread = classes.select("cid", F.explode("bands").alias("bucket"))
     crowded = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = spread.join(crowded, "bucket").join(classes.select("cid", "n", "sig"), "cid")
@@ -333,6 +333,8 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -
     nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
     sets = written(full_sets(docs, nodes, size), "dup-sets")
     links = written(confirmed(pairs, sets, percent), "dup-links")
+    if joined is not None:
+        links = links.unionByName(joined)
     labels = components(links)
     label = labels.select(F.col("node").alias("cid"), F.col("component").alias("label"))
     there = members.where(F.col("size") > PARTNERS + 1).select("bucket", "size", "cid", "n").join(sets.select("cid"), "cid", "left_semi")
@@ -359,7 +361,12 @@ def groups(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     own = real.select("digest", "id", "n", "sig", "bands")
     single = own.join(classes, (own["digest"] == classes["digest"]) & (own["id"] == classes["cid"])).select("cid", "n", "sig", "bands")
     single = single.dropDuplicates(["cid", "sig"])
-    _, labels = link_classes(docs, single, size, percent)
+    shared = real.groupBy("id").agg(F.min(F.xxhash64("digest")).alias("lo"), F.max(F.xxhash64("digest")).alias("hi")).where("lo <> hi").select("id")
+    shared = written(shared, "dup-shared-ids")
+    joined = None
+    if not shared.isEmpty():  # an id with several texts joins their classes
+        joined = real.join(shared, "id", "left_semi").join(classes, "digest").select(F.col("id").alias("a"), F.col("cid").alias("b")).distinct()
+    _, labels = link_classes(docs, single, size, percent, joined)
     named = classes.join(labels, classes["cid"] == labels["node"], "left").select("digest", "copies", F.coalesce("component", "cid").alias("component_id"))
     return _named(rows, written(named, "dup-named"))
 
