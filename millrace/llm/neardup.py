@@ -200,6 +200,7 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, bits: int, par
     """Rows come sorted by bucket and chunks; a bucket may span batches."""
     held: list[tuple] = []
     key: tuple | None = None
+    buckets: dict[int, set[int]] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
         if not held:
@@ -209,6 +210,8 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, bits: int, par
             a, b = _bucket_pairs(cid, label, n, sig, percent, bits, partners)
             if len(a):
                 ab = np.unique(np.stack([a, b], axis=1), axis=0)
+                if buckets:  # of all buckets that a pair shares, the least one gives it
+                    ab = ab[[min(buckets[x] & buckets[y]) == key[0] for x, y in ab.tolist()]]
                 yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
 
     for batch in batches:
@@ -222,13 +225,17 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, bits: int, par
             now = tuple(keys[s])
             if now != key:
                 yield from flush()
-                held, key = [], now
+                held, key, buckets = [], now, {}
             held.append((cid[s:e], label[s:e], n[s:e], sig[s:e]))
+            if "buckets" in batch.schema.names:
+                buckets |= zip(cid[s:e].tolist(), map(set, batch["buckets"].slice(s, e - s).to_pylist()), strict=True)
     yield from flush()
 
 
 def _offered(members: DataFrame, percent: int, bits: int, partners: int | None) -> DataFrame:
-    """Candidate pairs of the buckets in ``members`` (bucket, size, cid, label, n, sig)."""
+    """Candidate pairs of the buckets in ``members`` (bucket, size, cid, label, n, sig, and maybe
+    buckets: all those of the member that are in ``members``)."""
+    more = [c for c in ("buckets",) if c in members.columns]
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     mine = F.pmod(F.xxhash64("cid"), chunks).cast("int")
     dealt = members.withColumn("chunks", chunks).withColumn("mine", mine)
@@ -236,7 +243,7 @@ def _offered(members: DataFrame, percent: int, bits: int, partners: int | None)
         F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: j != F.col("mine"))
     )
     dealt = dealt.withColumn("other", F.explode(other)).select(
-        "bucket", F.least("mine", "other").alias("ci"), F.greatest("mine", "other").alias("cj"), "cid", "label", "n", "sig"
+        "bucket", F.least("mine", "other").alias("ci"), F.greatest("mine", "other").alias("cj"), "cid", "label", "n", "sig", *more
     )
     stream = dealt.repartition("bucket", "ci", "cj").sortWithinPartitions("bucket", "ci", "cj", "cid")
     return stream.mapInArrow(lambda it: _pair_stream(it, percent, bits, partners), "a long, b long").distinct()
@@ -344,7 +351,8 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, j
     if unsettled.isEmpty():
         return links, labels
     long = sets.join(unsettled.select("cid").distinct(), "cid", "left_semi").mapInArrow(_long_signatures, "cid long, sig binary")
-    more = written(_offered(unsettled.join(written(long, "dup-long"), "cid"), percent, 1, None), "dup-pairs")
+    long = written(long.join(unsettled.groupBy("cid").agg(F.collect_set("bucket").alias("buckets")), "cid"), "dup-long")  # at most BANDS each
+    more = written(_offered(unsettled.join(long, "cid"), percent, 1, None), "dup-pairs")
     found = written(confirmed(more, sets, percent), "dup-links")
     if found.isEmpty():
         return links, labels
