@@ -35,6 +35,8 @@ LEAF_ROWS = 64
 #: Upper limit for a shard; small tables get smaller shards so that all cores have one.
 SHARD_ROWS = 65536
 MIN_SHARD_ROWS = 1024
+#: Queries whose bounds to all boxes of a tree are held at once.
+QUERY_ROWS = 256
 LONG = 2**63 - 1
 
 
@@ -100,17 +102,10 @@ def _matrix(column: pa.Array) -> list[np.ndarray]:
     return np.split(flat, ends[:-1]) if len(ends) else []
 
 
-def _exact(arrays: list[np.ndarray], other: float) -> tuple[np.ndarray, float]:
-    """Doubles hold the products exactly below 2**53; beyond, Python's integers do."""
-    m = np.stack(arrays)
-    largest = float(np.abs(m.astype(float)).max()) if m.size else 0.0
-    return m, max(largest, other)
-
-
 def _search_stream(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    shard, stock, trees, largest = None, [], None, 0.0
+    shard, stock, trees = None, [], None
 
-    def build() -> dict[int, KDTree]:
+    def build() -> dict[int, tuple[np.ndarray, np.ndarray]]:
         by_dim: dict[int, dict[tuple[int, bytes], np.ndarray]] = {}
         for ids, vecs in stock:
             for i, v in zip(ids, vecs, strict=True):
@@ -120,9 +115,8 @@ def _search_stream(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Rec
             out[dim] = (np.array([i for i, _ in rows], dtype=np.int64), np.stack(list(rows.values())))
         return out
 
-    def tree_for(dim: int, wide: bool) -> KDTree | None:
-        if dim not in raw:
-            return None
+    def tree_for(dim: int, wide: bool) -> KDTree:
+        """Doubles hold the products exactly below 2**53; beyond, Python's integers do."""
         if (dim, wide) not in trees:
             ids, m = raw[dim]
             trees[dim, wide] = KDTree(ids, m.astype(object) if wide else m.astype(np.float64))
@@ -154,11 +148,14 @@ def _search_stream(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Rec
                 largest = max((float(np.abs(x.astype(float)).max()) if x.size else 0.0) for x in (q, raw[dim][1]))
                 wide = dim * largest * largest >= 2.0**53
                 tree = tree_for(dim, wide)
-                for i, found in tree.search(ids[at], q.astype(object) if wide else q.astype(np.float64), [floors[j] for j in at], k):
-                    for score, n in found:
-                        out[0].append(int(ids[at[i]]))
-                        out[1].append(n)
-                        out[2].append(min(max(score, -LONG - 1), LONG))
+                q = q.astype(object) if wide else q.astype(np.float64)
+                for first in range(0, len(at), QUERY_ROWS):
+                    some = at[first : first + QUERY_ROWS]
+                    for i, found in tree.search(ids[some], q[first : first + QUERY_ROWS], [floors[j] for j in some], k):
+                        for score, n in found:
+                            out[0].append(int(ids[some[i]]))
+                            out[1].append(n)
+                            out[2].append(min(max(score, -LONG - 1), LONG))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
 
 
