@@ -20,11 +20,17 @@ REASONS = (
 ROLES = ("system", "user", "assistant")
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value made once: a one-element transform binds it, where plain nesting,
+    or inlining of a struct's fields into later projections, would repeat it at every mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _checked(messages: Column) -> Column:
     """Per message: stripped role and content, and ``ok``, ``drop`` or the reason it fails."""
 
-    def one(m: Column) -> Column:
-        role, content = strip(m["role"]), strip(m["content"])
+    def one(m: Column, s: Column) -> Column:
+        role, content = s["role"], s["content"]
         known = F.coalesce(role.isin(*ROLES), F.lit(False))
         code = (
             F.when(m.isNull(), "message_not_mapping")
@@ -35,26 +41,34 @@ def _checked(messages: Column) -> Column:
         )
         return F.struct(role.alias("role"), content.alias("content"), code.alias("code"))
 
-    return F.transform(messages, one)
+    stripped = lambda m: F.struct(strip(m["role"]).alias("role"), strip(m["content"]).alias("content"))
+    return F.transform(messages, lambda m: bound(stripped(m), lambda s: one(m, s)))
 
 
 def cleaned(messages: Column) -> Column:
     """struct<messages, reason>: the stripped messages without blank system turns, and the first
     failure in message order, else the first failure of the whole. Messages are empty unless ok."""
-    checked = _checked(messages)
-    bad = F.filter(checked, lambda m: ~m["code"].isin("ok", "drop"))
-    kept = F.transform(F.filter(checked, lambda m: m["code"] == "ok"), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    has = lambda role: F.exists(kept, lambda m: m["role"] == role)
-    reason = (
-        F.when(messages.isNull(), "messages_not_list")
-        .when(F.size(bad) > 0, F.get(bad, F.lit(0))["code"])
-        .when(~has("user"), "missing_user")
-        .when(~has("assistant"), "missing_assistant")
-        .when(F.element_at(kept, -1)["role"] != "assistant", "assistant_not_last")
-        .otherwise("ok")
-    )
+
+    def split(checked: Column) -> Column:
+        bad = F.filter(checked, lambda m: ~m["code"].isin("ok", "drop"))
+        kept = F.transform(F.filter(checked, lambda m: m["code"] == "ok"), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+        return F.struct(F.get(bad, F.lit(0))["code"].alias("bad"), kept.alias("kept"))
+
+    def judged(s: Column) -> Column:
+        has = lambda role: F.exists(s["kept"], lambda m: m["role"] == role)
+        reason = (
+            F.when(messages.isNull(), "messages_not_list")
+            .when(s["bad"].isNotNull(), s["bad"])
+            .when(~has("user"), "missing_user")
+            .when(~has("assistant"), "missing_assistant")
+            .when(F.element_at(s["kept"], -1)["role"] != "assistant", "assistant_not_last")
+            .otherwise("ok")
+        )
+        return F.struct(s["kept"].alias("kept"), reason.alias("reason"))
+
     nothing = F.array().cast(MESSAGES)
-    return F.struct(F.when(reason == "ok", kept).otherwise(nothing).alias("messages"), reason.alias("reason"))
+    shown = lambda s: F.struct(F.when(s["reason"] == "ok", s["kept"]).otherwise(nothing).alias("messages"), s["reason"].alias("reason"))
+    return bound(_checked(messages), lambda c: bound(split(c), lambda s: bound(judged(s), shown)))
 
 
 def of_role(messages: Column, role: str) -> Column:

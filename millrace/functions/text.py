@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 #: White space as Unicode-aware text processing splits on it; U+200B is not part of it.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
+#: Texts of these characters only (Latin, Latin-1 and Extended-A without U+00B5, U+0130, U+0149 and
+#: U+017F) fold as ``lower`` does, but for U+00DF.
+PLAIN = r"\A[\x00-\xb4\xb6-\u012f\u0131-\u0148\u014a-\u017e]*+\z"
+
 
 @functools.lru_cache(maxsize=1)
 def fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
@@ -43,7 +47,8 @@ def casefold(text: Column) -> Column:
     holds = "[" + "".join(c for c, _ in several) + "]"
     grow = lambda t: F.aggregate(pairs, t, lambda acc, p: F.replace(acc, p["c"], p["f"]))
     # a one-element transform binds the translated text, so that it is made once
-    return F.transform(F.array(F.translate(text, one, to)), lambda t: F.when(t.rlike(holds), grow(t)).otherwise(t))[0]
+    full = F.transform(F.array(F.translate(text, one, to)), lambda t: F.when(t.rlike(holds), grow(t)).otherwise(t))[0]
+    return F.when(text.rlike(PLAIN), F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))).otherwise(full)
 
 
 def strip(text: Column) -> Column:
