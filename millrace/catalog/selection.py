@@ -46,7 +46,7 @@ def seeded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = document_rows(spark, sf_dir)
+    rows = written(document_rows(spark, sf_dir), "quota-rows")  # read several times
     return until_quota(rows, "source_id", "key", "row_id", "tokens", 10_000).select("source_id", "row_id", "tokens")
 
 
