@@ -3,13 +3,16 @@
 Words are weighted by inverse document frequency over all documents. A text's headers are its
 lines and short runs of lines; each is compared with every template, as is the whole text. A
 header or text at ``COSINE`` or above carries the template's licence; a text that matches as a
-whole is a licence file and declares its licence for its directory. Files with no header of
+whole is a licence file and declares its licence for its directory. Whole texts are also compared
+with full licence texts (folder ``licence_texts``), under weights of those texts' words; the better
+match counts. Two full texts are composed, not verbatim: ``AGPL-3.0`` and ``CC-BY-NC-4.0``. Files with no header of
 their own take the licence of the nearest directory above them that declares one, found by joining
 the paths of directories, never of files, with the declaring paths.
 
 Only words of the templates are counted in the corpus; any other word weighs ``OTHER``. Of each
 template the heaviest words are its anchors, so many that what is left can't reach the cosine
-(by the Cauchy-Schwarz bound); lines without an anchor are passed over without loss.
+(by the Cauchy-Schwarz bound); lines without an anchor are passed over without loss. By the same
+bound a text is compared with no template if too little of its weight is in templates' words.
 
 Null and odd cases: a null or empty text has no header; a null path is a file in no directory,
 which inherits nothing; several licences in a text are all listed, the best match first, ties to
@@ -21,6 +24,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import pkgutil
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -56,6 +60,21 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Licences whose full text is a file template. Those without a notice above are there to be told from their kin.
+FULL = (
+    "Apache-2.0", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0",
+    "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "NCSA", "Unlicense",
+)
+#: Licences composed of a relative's full text: (name, relative, phrase, phrase instead, passage of its own).
+COMPOSED = (
+    ("AGPL-3.0", "GPL-3.0", "GNU General Public License", "GNU Affero General Public License",
+     "Remote Network Interaction. If you modify the Program, your modified version must prominently offer all users interacting with it remotely through a computer network "
+     "an opportunity to receive the Corresponding Source of your version by providing access to the Corresponding Source from a network server at no charge."),
+    ("CC-BY-NC-4.0", "CC-BY-4.0", "Attribution 4.0", "Attribution-NonCommercial 4.0",
+     "NonCommercial means not primarily intended for or directed towards commercial advantage or monetary compensation. Reproduce and Share the Licensed Material, in whole or in "
+     "part, for NonCommercial purposes only. Produce, reproduce, and Share Adapted Material for NonCommercial purposes only. The Licensor reserves any right to collect royalties, "
+     "including when the Licensed Material is used other than for NonCommercial purposes. Extract, reuse, reproduce, and Share the contents of the database for NonCommercial purposes only."),
+)
 COSINE = 0.75
 OTHER = 1.0
 #: Longest run of lines taken as one header.
@@ -67,11 +86,19 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """Names and texts of the file templates."""
+    texts = {name: pkgutil.get_data(__package__, f"licence_texts/{name}.txt").decode("utf-8") for name in FULL}
+    for name, relative, phrase, instead, passage in COMPOSED:
+        texts[name] = re.sub(phrase.replace(" ", r"\s+"), instead, texts[relative], flags=re.IGNORECASE) + passage
+    return list(texts.items())
+
+
 class Matcher:
     """Templates as unit vectors under the corpus's word weights."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], frequency: dict[str, int], documents: int):
-        spdx = [(name, f"SPDX-License-Identifier: {name}") for name in sorted({n for n, _ in templates})]
+    def __init__(self, templates: Sequence[tuple[str, str]], frequency: dict[str, int], documents: int, tags: bool = True):
+        spdx = [(name, f"SPDX-License-Identifier: {name}") for name in sorted({n for n, _ in templates})] if tags else []
         self.idf: dict[str, float] = {}
         counted = [(name, Counter(words_of(text))) for name, text in [*templates, *spdx]]
         for _, c in counted:
@@ -93,8 +120,11 @@ class Matcher:
     def best(self, words: Counter) -> tuple[float, str] | None:
         """The best template's cosine and licence, if it reaches the threshold."""
         norm = math.sqrt(sum((n * self.idf.get(w, OTHER)) ** 2 for w, n in sorted(words.items())))
+        known = sorted(words.keys() & self.by_word.keys())
+        if math.sqrt(sum((words[w] * self.idf[w]) ** 2 for w in known)) < (COSINE - 1e-9) * norm:
+            return None
         dots: dict[int, float] = {}
-        for w in sorted(words.keys() & self.by_word.keys()):
+        for w in known:
             for i, x in self.by_word[w]:
                 dots[i] = dots.get(i, 0.0) + x * words[w] * self.idf[w]
         found = [(-round(d / norm, 6), self.names[i]) for i, d in dots.items() if d / norm >= COSINE]
@@ -132,19 +162,26 @@ def _frequency(batches: Iterator[pa.RecordBatch], vocabulary: frozenset[str]) ->
         yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
 
-def matcher_for(texts: DataFrame, templates: Sequence[tuple[str, str]]) -> Matcher:
-    """Counts the templates' words in all documents; the vocabulary bounds what is collected."""
-    vocabulary = frozenset(Matcher(templates, {}, 0).idf)
+def matchers_for(texts: DataFrame, templates: Sequence[tuple[str, str]], files: Sequence[tuple[str, str]]) -> tuple[Matcher, Matcher]:
+    """Of notices and of full texts. Counts the templates' words in all documents; the vocabulary bounds what is collected."""
+    vocabulary = frozenset(Matcher(templates, {}, 0).idf) | frozenset(Matcher(files, {}, 0, tags=False).idf)
     counts = texts.select("raw").mapInArrow(lambda it: _frequency(it, vocabulary), "word string, n long")
     seen = {r["word"]: r["n"] for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    return Matcher(templates, seen, seen.pop("", 0))
+    documents = seen.pop("", 0)
+    return Matcher(templates, seen, documents), Matcher(files, seen, documents, tags=False)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], matcher: Matcher) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], matcher: Matcher, files: Matcher) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names, scores, whole, whole_scores = [], [], [], []
         for raw in batch["raw"]:
-            found, file = matcher.scan(raw.as_py().decode("utf-8", "replace"))
+            text = raw.as_py().decode("utf-8", "replace")
+            found, file = matcher.scan(text)
+            if full := files.best(Counter(words_of(text))):
+                file = min(full, file or full, key=lambda x: (-x[0], x[1]))
+                best = {n: s for s, n in reversed(found)}
+                best[full[1]] = max(full[0], best.get(full[1], 0.0))
+                found = sorted(((s, n) for n, s in best.items()), key=lambda x: (-x[0], x[1]))
             names.append([n for _, n in found])
             scores.append(found[0][0] if found else None)
             whole.append(file[1] if file else None)
@@ -175,14 +212,13 @@ def inherited(directories: DataFrame, declared: DataFrame) -> DataFrame:
     return directories.join(nearest, F.col("directory") == F.col("near")).select("directory", "files", "best.from_dir", "best.from_licence")
 
 
-def scan(files: DataFrame, path: Column, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def scan(files: DataFrame, path: Column, templates: Sequence[tuple[str, str]] = TEMPLATES, full: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """doc_id, path, licence, basis (header, file, inherited or none), score, licences, from_dir."""
     texts = files.select(F.col("doc_id").alias("id"), path.alias("path"), utf8("text").alias("raw"))
-    matcher = matcher_for(texts, templates)
-    shared = texts.sparkSession.sparkContext.broadcast(matcher)
+    shared = texts.sparkSession.sparkContext.broadcast(matchers_for(texts, templates, full_texts() if full is None else full))
     id_type = texts.schema["id"].dataType.simpleString()
     kind = f"id {id_type}, path string, found array<string>, score double, whole string, whole_score double"
-    rows = written(texts.mapInArrow(lambda it: _scan(it, shared.value), kind).withColumn("directory", parent(F.col("path"))), "licences")
+    rows = written(texts.mapInArrow(lambda it: _scan(it, *shared.value), kind).withColumn("directory", parent(F.col("path"))), "licences")
     declared = rows.where(F.col("whole").isNotNull() & F.col("directory").isNotNull()).groupBy(F.col("directory").alias("from_dir")).agg(
         F.min(F.struct((-F.col("whole_score")).alias("s"), F.col("whole").alias("l"))).alias("m")
     )

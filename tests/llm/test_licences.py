@@ -73,3 +73,21 @@ def test_a_hot_directory(spark):
     rows = [row(i, f"hot/{i}" if i % 3 else f"d{i}/x", "plain") for i in range(1, 900)] + [row(0, "hot/LICENSE", MIT)]
     got = run(spark, rows)
     assert all(got[i].basis == ("inherited" if i % 3 else "none") for i in range(1, 900))
+
+
+def test_full_licence_texts_declare(spark):
+    """Licence files as they are shipped, with a copyright line, or cut or re-wrapped, declare; kin are told apart and prose isn't a licence."""
+    texts = dict(L.full_texts())
+    filler = "\n".join(f"line {i} of plain words that say nothing" for i in range(30))
+    rows = []
+    for i, (name, text) in enumerate(sorted(texts.items())):
+        shipped = (f"Copyright 2021 Somebody\n\n{text}", " ".join(text.split()), text[: len(text) * 9 // 10])[i % 3]
+        rows += [row(2 * i, f"{name}/LICENSE", shipped), row(2 * i + 1, f"{name}/a/b/code", filler)]
+    prose = " ".join("the owner of the house and the work of the day is in this and that place to which you may go or not under any other sky".split() * 60)
+    rows += [row(900, "p/essay", prose), row(901, "p/x", filler), row(902, "q/code", f"{filler}\n" * 20 + texts["MIT"])]
+    got = run(spark, rows)
+    for i, name in enumerate(sorted(texts)):
+        assert (got[2 * i].licence, got[2 * i].basis) == (name, "file"), name
+        assert name in got[2 * i].licences.split(",")
+        assert (got[2 * i + 1].licence, got[2 * i + 1].basis, got[2 * i + 1].from_dir) == (name, "inherited", name)
+    assert got[900].basis == got[901].basis == "none" and got[902].basis == "header"
