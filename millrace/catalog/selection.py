@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.common import SEED, document_rows, sql_document_rows
 from millrace.operators import gates
 from millrace.operators.rank import ranked, until_quota
-from millrace.operators.select import Part, heads, order_key, priority_select
-from millrace.plans.mix import capacity
+from millrace.operators.select import Part, order_key, priority_select
 from millrace.plans.recipe import ALL_ONCE, WEIGHTED, Recipe, Source
 from millrace.sources.storage import written
 
@@ -87,14 +86,22 @@ def quota_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capacity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources audited in order, each against what the first one and those before it have taken."""
+    """Every source after the first one, in selection order, against what the first one and those before it hold.
+
+    A prompt counts for the first source that holds it, by its first row there, so one aggregate serves all sources.
+    """
     rows = written(document_rows(spark, sf_dir), "audit-rows")
-    seen = heads(rows.where(F.col("source_id") == "src0")).select("prompt_hash")
-    quotas = recipe(_target(rows)).quotas(0)
+    plan = recipe(_target(rows))
+    quotas, order = plan.quotas(0), [s.id for s in plan.ordered()]
+    turn = F.array_position(F.array(*map(F.lit, order)), F.col("source_id")).alias("turn")
+    audited = rows.select(turn, "prompt_hash", "row_id", "tokens").where("turn > 0")
+    valid = {r["turn"]: r["n"] for r in audited.groupBy("turn").agg(F.count(F.lit(1)).alias("n")).collect()}
+    firsts = audited.groupBy("prompt_hash").agg(F.min(F.struct("turn", "row_id", "tokens")).alias("f"))
+    fresh = {r["turn"]: r for r in firsts.groupBy("f.turn").agg(F.count(F.lit(1)).alias("n"), F.sum("f.tokens").alias("t")).collect()}
     out = []
-    for s in ("src1", "src2", "src3"):
-        line, seen = capacity(rows.where(F.col("source_id") == s), quotas[s], seen)
-        out.append((s, *line.values()))
+    for i, s in enumerate(order[1:], 2):
+        total, unique, tokens = valid.get(i, 0), fresh[i]["n"] if i in fresh else 0, int(fresh[i]["t"]) if i in fresh else 0
+        out.append((s, total, unique, total - unique, tokens, quotas[s], tokens - quotas[s], tokens >= quotas[s]))
     kinds = "valid_rows long, unique_rows long, duplicates long, eligible_tokens long, quota long, headroom long, sufficient boolean"
     return spark.createDataFrame(out, f"source_id string, {kinds}")
 
