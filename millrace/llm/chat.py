@@ -8,7 +8,8 @@ relabel it. Dynamic programming finds the cheapest way through all turns; the en
 empty assistant turn. No text is ever dropped or reordered.
 
 The result has one row for each given turn: what was done and the text to append. The pieces of
-a conversation, in order, are its rendering. ``render`` joins them where conversations are short.
+a conversation, in order, are its rendering. ``render`` joins them, in parts where
+conversations are long.
 
 Turns are sorted by (conversation, turn) into ranges, so a conversation of any length spreads
 over partitions. Of each range, only the first and the last conversation can go on elsewhere. For
@@ -276,9 +277,13 @@ def repair(conversations: DataFrame, per_part: int = 200_000) -> DataFrame:
 
 
 def render(repaired: DataFrame, most_turns: int = 10_000) -> DataFrame:
-    """conv_id, rendered, cost of the conversations of up to ``most_turns`` turns; longer ones stay
-    as their pieces in ``repaired``, since one text can't hold a conversation of any length."""
-    short = repaired.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns")).where(F.col("turns") <= most_turns).select(F.col("conv_id").alias("short"))
-    rows = repaired.join(short, F.col("conv_id").eqNullSafe(F.col("short")), "left_semi")
-    parts = F.array_sort(F.collect_list(F.struct("seq", "piece")))
-    return rows.groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda p: p["piece"]), "").alias("rendered"), F.sum("cost").alias("cost"))
+    """conv_id, part, rendered, cost. A conversation of up to ``most_turns`` turns is one row, part 0.
+    Since one text can't hold a conversation of any length, a longer one has several rows of up to
+    ``most_turns`` turns: in the order of part they are its rendering, and their costs add up to its
+    cost. Like seq, the numbers of such parts depend on the ranges."""
+    long = repaired.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns")).where(F.col("turns") > most_turns).select(F.col("conv_id").alias("long"), F.lit(True).alias("cut"))
+    rows = repaired.join(long, F.col("conv_id").eqNullSafe(F.col("long")), "left")
+    part = F.when(F.col("cut"), F.expr(f"seq div {int(most_turns)}")).otherwise(F.lit(0)).cast("long")
+    pieces = F.array_sort(F.collect_list(F.struct("seq", "piece")))
+    joined = F.array_join(F.transform(pieces, lambda p: p["piece"]), "")
+    return rows.groupBy("conv_id", part.alias("part")).agg(joined.alias("rendered"), F.sum("cost").alias("cost"))

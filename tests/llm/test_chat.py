@@ -78,3 +78,15 @@ def test_odd_rows(spark):
     got = chat.render(chat.repair(table(spark, rows))).collect()
     by = {r.conv_id: r.rendered for r in got}
     assert legal(by[None]) and legal(by[2]) and by[2] == "<|user|>\nx\n\nx<|end|>\n<|assistant|>\n<|end|>\n"
+
+
+def test_long_conversations_are_rendered_in_parts(spark):
+    rows = [(c, i, "user", f"c{c} t{i};", "") for c, n in ((1, 95), (2, 10), (None, 31)) for i in range(n)]
+    out = chat.repair(table(spark, rows), per_part=20)
+    whole = {r.conv_id: r for r in chat.render(out).collect()}
+    got = sorted(chat.render(out, most_turns=10).collect(), key=lambda r: r.part)
+    assert [r.part for r in got if r.conv_id == 2] == [0]
+    for conv, want in whole.items():
+        own = [r for r in got if r.conv_id == conv]
+        assert "".join(r.rendered for r in own) == want.rendered and sum(r.cost for r in own) == want.cost
+        assert all(r.rendered.count(";") <= 10 for r in own)
