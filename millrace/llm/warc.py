@@ -140,12 +140,16 @@ class _Member:
             raise WarcError(f"broken gzip member: {e}") from e
         return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
-        while (at := self.buf.find(mark)) < 0:
-            if len(self.buf) > most or not self.more():
+    def until(self, mark: bytes) -> bytes:
+        """The bytes up to the mark, however many; the header holds a url of any length."""
+        held, start = bytearray(self.buf), 0
+        while (at := held.find(mark, start)) < 0:
+            start, self.buf = max(0, len(held) - len(mark) + 1), b""
+            if not self.more():
                 raise WarcError("a header block has no end")
-        out, self.buf = self.buf[:at], self.buf[at + len(mark) :]
-        return out
+            held += self.buf
+        self.buf = bytes(held[at + len(mark) :])
+        return bytes(held[:at])
 
     def exactly(self, n: int) -> Iterator[bytes]:
         while n:

@@ -72,3 +72,8 @@ def test_files_are_real_archives(spark, tmp_path):
     assert sum(n for _, n in files) == 5 and sorted(p.name for p in Path(tmp_path, "w").iterdir()) == [n for n, _ in files]
     text = b"".join(gzip.decompress(Path(tmp_path, "w", n).read_bytes()) for n, _ in files)
     assert text.count(b"WARC-Type: response") == 1 and text.count(b"WARC-Refers-To: <urn:x-page:4>") == 4
+
+
+def test_a_very_long_url(spark):
+    rows = [(1, "http://x/" + "u" * 3_000_000, "a"), (2, "http://y/", "a"), (3, None, "b")]
+    assert sorted((tuple(r)[:5] for r in warc.round_trip(pages(spark, rows)).collect()), key=str) == brute(rows)
