@@ -41,7 +41,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return toxicity.classify(_table(spark, sf_dir, "documents"), toxicity.with_kinds(_table(spark, sf_dir, "labels")), toxicity.KINDS)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,34 +6,39 @@ fold: every document's are given by models that have not seen its fold, so a lat
 from inputs as uncertain as those it meets when scoring.
 
 Features are words and word beginnings of 3 to 6 letters. A screen keeps those whose presence
-depends on the first category's label (likelihood ratio), which leaves few; two more features say
-how many words of a text carry a telling feature, and what share that is. Whole texts are read.
-
-The labels table has one toxicity flag. Two further categories follow from it and the screened
-terms, as weak labels of the training rows: ``severe`` (at least 2 in 100 words are telling) and
-``varied`` (at least three different telling words). Label columns of other names can be given.
-
-Bounds: at most ``SAMPLE`` labelled documents train (those of smallest hashed id), at most
-``FEATURES`` features are kept. Scoring covers all documents and ships only the model.
-
-Null and odd cases: a null or empty text has no features; a null label is no label; a document
-labelled twice counts as toxic if one label says so; without labels of both kinds nothing is
-flagged and the probability is the share of positive labels (0 without any); rows with a null id
-are scored but never train; repeated rows are each scored; an empty table gives an empty result;
-other columns pass through ``keep_clean`` and are ignored by ``classify``.
+depends on a category's label (likelihood ratio), which leaves few; two more features say how many
+words of a text carry a feature that tells the first category, and what share that is. Each fold has a screen of
+its own, over the other folds, so out-of-fold probabilities owe nothing to a document's own label.
+Whole texts are read.
+
+Categories are columns of the labels table. ``with_kinds`` makes two more from the flags toxic and
+quality: ``toxic_junk`` (toxic and of low quality) and ``toxic_prose`` (toxic and of high quality).
+A document is toxic if any category of the chain holds for it.
+
+Bounds: labels are first joined with the documents at hand; of the labelled ids ``sample`` (those of
+smallest hash) train, each with one text, which bounds the rows on the driver. ``FEATURES`` features
+a screen are kept. Scoring covers all documents and ships only the model.
+
+Null and odd cases: a null or empty text has no features; a null label is no label, and a link
+trains on the rows that have its label; a document labelled twice counts as toxic if one label says
+so; of several texts under one labelled id the one of smallest hash trains; labels of absent
+documents are ignored; without labels of both kinds nothing is flagged and the probability is the
+share of positive labels (0 without any); rows with a null id are scored but never train; ids may be
+of any type, and are compared as text; repeated rows are each scored; an empty table gives an empty
+result; other columns, of any name, pass through ``keep_clean`` and are ignored by ``classify``.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +50,6 @@ FOLDS = 5
 #: Least likelihood ratio of a feature, about one chance in a million.
 SCREEN = 24.0
 PREFIXES = (3, 4, 5, 6)
-SEVERE_SHARE, VARIED_WORDS = 0.02, 3
 #: Counts held in a task before they are handed on.
 HELD = 200_000
 WORD = re.compile(r"[^\W_]+")
@@ -77,8 +81,8 @@ class Model:
     def __post_init__(self):
         self.starts = {f.rstrip("$")[:3] for f in self.index}
 
-    def features(self, words: list[str]) -> tuple[list[int], float, float, int]:
-        """Indices of the features present; log of telling words, their share; different telling words."""
+    def features(self, words: list[str]) -> tuple[list[int], float, float]:
+        """Indices of the features present; log of telling words, their share."""
         present: set[int] = set()
         flagged: set[str] = set()
         for w in set(words):
@@ -89,12 +93,12 @@ class Model:
                         if f in self.telling:
                             flagged.add(w)
         hits = sum(w in flagged for w in words) if flagged else 0
-        return sorted(present), math.log1p(hits), min(1.0, 10 * hits / max(1, len(words))), len(flagged)
+        return sorted(present), math.log1p(hits), min(1.0, 10 * hits / max(1, len(words)))
 
     def probabilities(self, words: list[str]) -> list[float]:
         if not self.weights:
             return [self.base] * len(self.categories)
-        present, log_hits, share, _ = self.features(words)
+        present, log_hits, share = self.features(words)
         out: list[float] = []
         n = len(self.index)
         for w in self.weights:
@@ -108,12 +112,11 @@ def _sigmoid(z):
 
 
 class _Rows:
-    """Sparse presence plus dense columns."""
+    """Sparse presence plus dense columns. ``starts``: where each row's indices begin in ``col``."""
 
-    def __init__(self, present: list[list[int]], dense: np.ndarray, n: int):
-        self.n, self.dense = n, dense
-        self.row = np.repeat(np.arange(len(present)), [len(p) for p in present])
-        self.col = np.array([i for p in present for i in p], dtype=np.int64)
+    def __init__(self, starts: np.ndarray, col: np.ndarray, dense: np.ndarray, n: int):
+        self.n, self.dense, self.col = n, dense, col.astype(np.int64)
+        self.row = np.repeat(np.arange(len(dense)), np.diff(starts))
 
     def fit(self, y: np.ndarray, use: np.ndarray, extra: np.ndarray, rounds: int = 150, l2: float = 0.3) -> np.ndarray:
         """Regularized logistic regression on the rows in ``use``, by accelerated gradient steps
@@ -154,99 +157,171 @@ def _best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return best[2]
 
 
-def train_chain(rows: _Rows, labels: list[np.ndarray], fold: np.ndarray) -> tuple[list[np.ndarray], list[float], list[np.ndarray]]:
-    """Weights and thresholds of each link, and the out-of-fold probabilities."""
+def train_chain(full: _Rows, by_fold: list[_Rows], labels: list[np.ndarray], fold: np.ndarray) -> tuple[list[np.ndarray], list[float], list[np.ndarray]]:
+    """Weights and thresholds of each link, and the out-of-fold probabilities.
+
+    ``by_fold`` has the same rows under the features that each fold's own screen kept. A label that
+    is not a number is unknown: its row trains no such link.
+    """
     n = len(fold)
     weights, cuts, out = [], [], []
     earlier = np.zeros((n, 0))
     for y in labels:
+        known = ~np.isnan(y)
+        given = np.where(known, y, 0.0)
         p = np.zeros(n)
-        for k in range(FOLDS):
+        for k, rows in enumerate(by_fold):
             test = fold == k
             if test.any():
-                p[test] = rows.predict(rows.fit(y, (~test).astype(float), earlier), earlier)[test]
-        weights.append(rows.fit(y, np.ones(n), earlier))
-        cuts.append(_best_threshold(p, y))
+                p[test] = rows.predict(rows.fit(given, (known & ~test).astype(float), earlier), earlier)[test]
+        weights.append(full.fit(given, known.astype(float), earlier))
+        cuts.append(_best_threshold(p[known], given[known]))
         out.append(p)
         earlier = np.hstack([earlier, p[:, None]])
     return weights, cuts, out
 
 
-def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pos: Counter = Counter()
-    neg: Counter = Counter()
+def _count_features(batches: Iterator[pa.RecordBatch], categories: int) -> Iterator[pa.RecordBatch]:
+    """feature, fold, rows that hold it, and how many of these have each label."""
+    seen: dict[tuple[str, int], np.ndarray] = {}
+    none = np.zeros(categories + 1, np.int64)
 
     def flush() -> pa.RecordBatch:
-        keys = list(pos.keys() | neg.keys())
-        out = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([pos[k] for k in keys], pa.int64()), pa.array([neg[k] for k in keys], pa.int64())], names=["feature", "pos", "neg"])
-        pos.clear(), neg.clear()
-        return out
+        names, folds = zip(*seen, strict=True)
+        counts = np.stack(list(seen.values()))
+        seen.clear()
+        own = [pa.array(counts[:, i]) for i in range(categories + 1)]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(folds, pa.int32()), *own], names=["feature", "fold", *(f"c{i}" for i in range(categories + 1))])
 
     for batch in batches:
-        for raw, y in zip(batch["raw"], batch["y"].to_pylist(), strict=True):
-            (pos if y else neg).update({f for w in set(words_of(raw.as_py())) for f in features_of(w)})
-            if len(pos) + len(neg) > HELD:
+        flags = np.array([[1] * batch.num_rows, *([int((v or 0) > 0) for v in batch[f"y{i}"].to_pylist()] for i in range(categories))]).T
+        for raw, row, fold in zip(batch["raw"], flags, batch["fold"].to_pylist(), strict=True):
+            for f in {f for w in set(words_of(raw.as_py())) for f in features_of(w)}:
+                seen[f, fold] = seen.get((f, fold), none) + row
+            if len(seen) > HELD:
                 yield flush()
-    if pos or neg:
+    if seen:
         yield flush()
 
 
-def screen(sample: DataFrame, n_pos: int, n_neg: int) -> list[tuple[str, int, int]]:
-    """(feature, positive documents, negative documents) of the features most tied to the label."""
-    counts = sample.select("raw", "y").mapInArrow(_count_features, "feature string, pos long, neg long")
-    summed = counts.groupBy("feature").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+def _likelihood_ratio(p: np.ndarray, n: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """How much the presence of features (p positive and n negative rows of each) depends on the label."""
+    share = (p + n) / (n_pos + n_neg)
 
-    def term(seen, total, share):
-        return F.when(seen > 0, seen * F.log(seen / (F.lit(float(total)) * share))).otherwise(F.lit(0.0))
+    def term(seen: np.ndarray, total: int, share: np.ndarray) -> np.ndarray:
+        return seen * np.log(np.where(seen > 0, seen / np.maximum(total * share, 1e-300), 1.0))
 
-    share = (F.col("p") + F.col("n")) / F.lit(float(n_pos + n_neg))
-    g = 2 * (term(F.col("p"), n_pos, share) + term(F.col("n"), n_neg, share) + term(n_pos - F.col("p"), n_pos, 1 - share) + term(n_neg - F.col("n"), n_neg, 1 - share))
-    best = summed.where((F.col("p") + F.col("n") >= 3) & (share < 1)).withColumn("g", g).where(F.col("g") >= SCREEN)
-    return [(r["feature"], r["p"], r["n"]) for r in best.orderBy(F.desc("g"), "feature").limit(FEATURES).collect()]
+    g = 2 * (term(p, n_pos, share) + term(n, n_neg, share) + term(n_pos - p, n_pos, 1 - share) + term(n_neg - n, n_neg, 1 - share))
+    return np.where((p + n >= 3) & (share < 1), g, 0.0)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """The training rows: id, raw text, fold, first category's label y, all given labels."""
-    flags = [F.max(F.col(c).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(categories[0]).isNotNull()).groupBy("doc_id").agg(*flags)
-    chosen = known.orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id").limit(SAMPLE)  # bounds what is broadcast
-    chosen = chosen.select(F.col("doc_id").cast("long").alias("id"), *[f"y{i}" for i in range(len(categories))])
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), utf8("text").alias("raw")).join(F.broadcast(chosen), "id")
-    return texts.withColumn("y", F.col("y0") > 0).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(FOLDS)).cast("int"))
-
+def _tied(batches: Iterator[pa.RecordBatch], have: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The features that pass a screen: k (0: all folds, i + 1: all but fold i), feature, g, more.
 
-def _featurize(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    ``have``: for each k the rows and how many of them have each label. A feature passes that is
+    tied to any label; ``more`` is how much more frequent it is where the first one holds."""
+    for batch in batches:
+        counts = np.stack([[batch[f"c{i}_{k}"].to_numpy() for k in range(FOLDS)] for i in range(len(have[0]))])
+        for k, rows in have.items():
+            held = counts.sum(axis=1) - (counts[:, k - 1] if k else 0)
+            with_label = [i for i in range(1, len(rows)) if 0 < rows[i] < rows[0]]
+            g = np.max([_likelihood_ratio(held[i], held[0] - held[i], rows[i], rows[0] - rows[i]) for i in with_label], axis=0, initial=0.0)
+            at = np.flatnonzero(g >= SCREEN)
+            pos, neg = held[1][at], (held[0] - held[1])[at]
+            more = pos * (rows[0] - rows[1]) / np.maximum(neg * rows[1], 0.5)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), batch["feature"].take(pa.array(at)), pa.array(g[at]), pa.array(more)], names=["k", "feature", "g", "more"])
+
+
+def _any(flags: list[Column]) -> Column:
+    return functools.reduce(lambda x, y: x | y, flags)
+
+
+def screens(sample: DataFrame, totals: dict[int, np.ndarray], features: int = FEATURES) -> list[list[tuple[str, float]]]:
+    """The features most tied to the labels: over all folds, then over all but each one.
+
+    A list of (feature, how much more frequent it is where the first label holds). ``totals`` has,
+    for each fold, the rows and how many of them have each label. One counting job serves all the screens.
+    """
+    every = sum(totals.values())
+    n = len(every)
+    kind = ", ".join(["feature string", "fold int", *(f"c{i} long" for i in range(n))])
+    counts = sample.select("raw", "fold", *[f"y{i}" for i in range(n - 1)]).mapInArrow(lambda it: _count_features(it, n - 1), kind)
+    of = lambda i, k: F.sum(F.when(F.col("fold") == k, F.col(f"c{i}")).otherwise(0)).alias(f"c{i}_{k}")
+    summed = counts.groupBy("feature").agg(*[of(i, k) for i in range(n) for k in range(FOLDS)])
+    have = {0: every, **{k + 1: every - totals.get(k, 0 * every) for k in range(FOLDS)}}
+    tied = summed.mapInArrow(lambda it: _tied(it, have), "k int, feature string, g double, more double")
+    place = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("g"), "feature"))
+    out: list[list[tuple[str, float]]] = [[] for _ in have]
+    for r in sorted(tied.withColumn("place", place).where(F.col("place") <= features).collect(), key=lambda r: r["place"]):
+        out[r["k"]].append((r["feature"], r["more"]))
+    return out
+
+
+def with_kinds(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic, toxic_junk, toxic_prose; the last two are unknown where toxic holds and quality is unknown."""
+    toxic, good = F.col("toxic") > 0, F.col("quality") > 0
+    kind = lambda held: (toxic & held).cast("int")
+    return labels.select("doc_id", toxic.cast("int").alias("toxic"), kind(~good).alias("toxic_junk"), kind(good).alias("toxic_prose"))
+
+
+KINDS = ("toxic", "toxic_junk", "toxic_prose")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, categories: Sequence[str], sample: int = SAMPLE) -> DataFrame:
+    """The training rows: id, raw text, fold and the labels y0, y1 and so on.
+
+    Only ids that ``docs`` hold are drawn from. Ids move without texts; the texts of the drawn ids
+    come by a broadcast of these, and repeated rows of an id fold into one before they move.
+    """
+    named = F.col("doc_id").cast("string")
+    flags = [F.max(F.col(c).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(categories[0]).isNotNull()).groupBy(named.alias("id")).agg(*flags)
+    here = docs.where(F.col("doc_id").isNotNull()).select(named.alias("id")).distinct()
+    chosen = known.join(here, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)  # bounds what is broadcast
+    texts = docs.select(named.alias("id"), utf8("text").alias("raw")).join(F.broadcast(written(chosen, "toxic-ids")), "id")
+    first = F.min_by("raw", F.struct(F.xxhash64("raw"), "raw")).alias("raw")
+    one = texts.groupBy("id", *[f"y{i}" for i in range(len(categories))]).agg(first)
+    one = one.repartition(max(8, docs.sparkSession.sparkContext.defaultParallelism), "id")  # counting features is worth all cores
+    return one.withColumn("fold", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(FOLDS)).cast("int"))
+
+
+def _featurize(batches: Iterator[pa.RecordBatch], models: list[Model]) -> Iterator[pa.RecordBatch]:
+    """For each model the present features, log of hits and share."""
     for batch in batches:
-        rows = [model.features(words_of(raw.as_py())) for raw in batch["raw"]]
-        cols = zip(*rows, strict=True) if rows else ([], [], [], [])
-        types = (pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.int32())
-        own = [pa.array(list(c), t) for c, t in zip(cols, types, strict=True)]
+        words = [words_of(raw.as_py()) for raw in batch["raw"]]
         keep = [n for n in batch.schema.names if n != "raw"]
-        yield pa.RecordBatch.from_arrays([*(batch[n] for n in keep), *own], names=[*keep, "present", "log_hits", "share", "different"])
-
-
-def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), derived: bool = True) -> Model:
-    """The chain over the given label columns, then the derived categories."""
-    names = [*categories, *(("severe", "varied") if derived else ())]
-    sample = written(labelled(docs, labels, categories), "toxic-sample")
-    total = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("p")).first()
-    n_pos, n_neg = total["p"], total["n"] - total["p"]
-    if not n_pos or not n_neg:
-        return Model(names, base=n_pos / total["n"] if total["n"] else 0.0)
-    kept = screen(sample, n_pos, n_neg)
-    telling = frozenset(f for f, p, n in kept if p / n_pos > 4 * n / n_neg)
-    model = Model(names, {f: i for i, (f, _, _) in enumerate(kept)}, telling)
-    schema = T.StructType([f for f in sample.schema.fields if f.name != "raw"])
-    for name, kind in (("present", T.ArrayType(T.IntegerType())), ("log_hits", T.DoubleType()), ("share", T.DoubleType()), ("different", T.IntegerType())):
-        schema = schema.add(name, kind)
-    rows = sample.mapInArrow(lambda it: _featurize(it, model), schema).orderBy("id", "different").collect()
-    y = [np.array([1.0 if (r[f"y{i}"] or 0) > 0 else 0.0 for r in rows]) for i in range(len(categories))]
-    share, different = np.array([r["share"] for r in rows]), np.array([r["different"] for r in rows])
-    if derived:
-        y += [y[0] * (share >= 10 * SEVERE_SHARE), y[0] * (different >= VARIED_WORDS)]
-    dense = np.array([[r["log_hits"], r["share"]] for r in rows])
-    fold = np.array([r["fold"] for r in rows])
-    model.weights, model.thresholds, _ = train_chain(_Rows([r["present"] for r in rows], dense, len(kept)), y, fold)
+        own, names = [], []
+        for k, model in enumerate(models):
+            rows = [model.features(w) for w in words]
+            own += [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.float64())]
+            names += [f"present{k}", f"log_hits{k}", f"share{k}"]
+        yield pa.RecordBatch.from_arrays([*(batch[n] for n in keep), *own], names=[*keep, *names])
+
+
+def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), sample: int = SAMPLE) -> Model:
+    """The chain over the given label columns."""
+    names = list(categories)
+    rows = written(labelled(docs, labels, categories, sample), "toxic-sample")
+    sums = [F.count(F.lit(1)), *[F.count_if(F.col(f"y{i}") > 0) for i in range(len(names))]]
+    totals = {r["fold"]: np.array(r["c"]) for r in rows.groupBy("fold").agg(F.array(*sums).alias("c")).collect()}
+    n, n_pos = list(sum(totals.values()))[:2] if totals else (0, 0)
+    if n_pos in (0, n):
+        return Model(names, base=1.0 if n_pos else 0.0)
+    models = [Model(names, {f: i for i, (f, _) in enumerate(kept)}, frozenset(f for f, more in kept if more > 4)) for kept in screens(rows, totals)]
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "raw"])
+    for k in range(len(models)):
+        schema = schema.add(f"present{k}", T.ArrayType(T.IntegerType())).add(f"log_hits{k}", T.DoubleType()).add(f"share{k}", T.DoubleType())
+    table = rows.mapInArrow(lambda it: _featurize(it, models), schema).toArrow().combine_chunks().sort_by("id")  # ``sample`` rows at most
+    column = lambda name: table[name].combine_chunks().to_numpy(zero_copy_only=False).astype(np.float64)
+
+    def matrix(k: int) -> _Rows:
+        present = table[f"present{k}"].combine_chunks()
+        starts = np.concatenate([[0], np.cumsum(np.array(present.value_lengths()))])
+        return _Rows(starts, present.flatten().to_numpy(zero_copy_only=False), np.stack([column(f"log_hits{k}"), column(f"share{k}")], axis=1), len(models[k].index))
+
+    y = [np.where(np.isnan(v := column(f"y{i}")), np.nan, v > 0) for i in range(len(names))]
+    model = models[0]
+    model.weights, model.thresholds, _ = train_chain(matrix(0), [matrix(k + 1) for k in range(FOLDS)], y, table["fold"].to_numpy())
     return model
 
 
@@ -264,23 +339,23 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(lambda it: _score(it, shared.value), schema)
 
 
-def _flags(model: Model) -> list:
+def _flags(model: Model) -> list[Column]:
     cuts = model.thresholds or [2.0] * len(model.categories)
     return [F.col("p")[i] >= F.lit(c) for i, c in enumerate(cuts)]
 
 
-def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), derived: bool = True) -> DataFrame:
-    """doc_id, a probability for each category, the categories that hold, is_toxic (the first does)."""
-    model = train(docs, labels, categories, derived)
+def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), sample: int = SAMPLE) -> DataFrame:
+    """doc_id, a probability for each category, the categories that hold, is_toxic (any does)."""
+    model = train(docs, labels, categories, sample)
     out = scored(docs.select("doc_id", utf8("text").alias("raw")), model)
     flags = _flags(model)
     held = F.array_join(F.filter(F.array(*[F.when(f, F.lit(c)) for f, c in zip(flags, model.categories, strict=True)]), lambda c: c.isNotNull()), ",")
-    return out.select("doc_id", *[F.col("p")[i].alias(f"p_{c}") for i, c in enumerate(model.categories)], held.alias("categories"), flags[0].alias("is_toxic"))
+    return out.select("doc_id", *[F.col("p")[i].alias(f"p_{c}") for i, c in enumerate(model.categories)], held.alias("categories"), _any(flags).alias("is_toxic"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), derived: bool = False) -> DataFrame:
-    """The documents that the first category doesn't hold for, all columns kept."""
-    model = train(docs, labels, categories, derived)
+def keep_clean(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), sample: int = SAMPLE) -> DataFrame:
+    """The documents that no category of the chain holds for, all columns kept."""
+    model = train(docs, labels, categories, sample)
     own = docs.columns
     out = scored(docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), utf8("text").alias("raw")), model)
-    return out.where(~_flags(model)[0]).select(*[F.col("row")[c].alias(c) for c in own])
+    return out.where(~_any(_flags(model))).select(*[F.col("row")[c].alias(c) for c in own])
