@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 of documents. Toxic documents go, one document of each near-duplicate group stays, documents that
 hold a benchmark window go, sources are mixed to their target weights (documents may repeat), and
 every row of the mix gets its shard and slot.
+
+Null and odd cases follow the operators: a null or empty text is clean, similar to nothing and
+without words, so it stays until the mix, which takes it like any document of size 0; a null id is a
+row of its own to every stage, never a near-duplicate; a null source is a source; repeated rows share
+the fate of their id and text; of an empty table every stage makes an empty one; columns other than
+doc_id, text and source may have any name and type and pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -11,14 +17,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontam, mixing, neardup, sharding, toxicity
-from millrace.llm.common import written
+from millrace.sources.storage import scratch, temporary
 
 SEED = 20260818
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents in the category toxic go. Labelled documents among ``docs`` train it."""
-    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Operator 6: documents that any category of the chain holds for go. Labelled documents among ``docs`` train it."""
+    return toxicity.keep_clean(docs, toxicity.with_kinds(spark.read.parquet(f"{sf_dir}/labels.parquet")), toxicity.KINDS)
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +63,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents, each to the table that the one before has written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = scratch(spark, name)
+        with temporary(spark):  # what the stage wrote on its way goes once its result is written
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

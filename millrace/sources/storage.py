@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: For each open ``temporary``, the tables made inside.
+_made: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; only a local master may go without it and gets a folder of its own."""
@@ -22,7 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    for made in _made:
+        made.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -32,7 +40,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables made inside at the end. What is read from them must be written elsewhere by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            _delete(spark, path)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete this application's tables below the shared folder, once their results are stored elsewhere."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}")
