@@ -4,16 +4,20 @@ Sources weigh by rank in code-point order (null last). They share ``budget`` of
 weight; a source whose share exceeds ``max_epochs`` times its size stops there and its excess
 goes to the others by weight, until none is above. A document is then taken
 ``floor(target / size of its source)`` times, and once more if it lies in the first part of
-its source's seeded order: documents stand by md5(seed, id), and those whose middle word comes
-before the missing words are the ones taken again. A source so misses its target by half a
+its source's seeded order: documents stand by md5(seed, id, md5 of the text), and those whose middle
+word comes before the missing words are the ones taken again. A source so misses its target by half a
 document at most.
 
 Only DataFrame functions run here. Texts are never shuffled: the order is cut at one key a
-source, and a document compares its own key to that cut.
+source, and a document compares its own key to that cut. Rows equal in id, text and source share a
+key; if the cut falls among such copies, so many of them are taken again as still fit. Only these
+copies are folded, counted and unfolded again, so a group of any size is split exactly.
 
 Null and odd cases: a null text has no words; a null source is a source, ranked last; a null id
-sorts as an id of its own; rows that share an id share a key and are taken alike; a mix without
-words has targets of 0; an empty table gives an empty result; other columns pass through.
+sorts as an id of its own; rows that share an id alone are documents of their own; texts of any length
+are counted whole; of copies that differ in other columns, those come first whose row has the
+smaller hash; a mix without words has targets of 0; an empty table gives an empty result; other
+columns, of any name, pass through ``mix`` and are ignored by ``mix_digest``.
 """
 
 from __future__ import annotations
@@ -30,14 +34,21 @@ from millrace.llm.common import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents in one cell of the order; only the cell that holds a source's cut is sorted.
 CELL_ROWS = 4096
+#: Parts of a split group of copies that differ in other columns; no window covers the whole group.
+SLOTS = 4096
+#: Copies of one row are unfolded in chunks of this many.
+CHUNK = 65536
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def order_key(doc_id: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+def order_key(doc_id: Column, text: Column, seed: int) -> Column:
+    """Place in the seeded order, by id and a digest of the text. Rows with equal keys are copies."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+    digest = F.md5(text.cast("binary"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), part(doc_id.cast("string")), F.lit(":"), part(digest)).cast("binary"))
 
 
 def _cell(key: Column, cells: int) -> Column:
@@ -85,11 +96,11 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: tuple[
 
 
 def plan_mix(docs: DataFrame, seed: int, **shares) -> tuple[DataFrame, DataFrame]:
-    """The narrow table (doc_id, source, size, key) and the plan: for each source its size,
-    target, whole repetitions and the last key that is taken once more."""
+    """The narrow table (doc_id, source, size, key) and the plan: for each source its size, target,
+    whole repetitions, the last key that is taken once more, and how many copies of that key are."""
     narrow = written(
         docs.select(
-            F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), order_key(F.col("doc_id"), seed).alias("key")
+            F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), order_key(F.col("doc_id"), F.col("text"), seed).alias("key")
         ),
         "mix-sizes",
     )
@@ -115,33 +126,75 @@ def plan_mix(docs: DataFrame, seed: int, **shares) -> tuple[DataFrame, DataFrame
     inside = narrow.withColumn("cell", _cell(F.col("key"), cells)).join(
         cut_cell, F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("cell") == F.col("cut_cell"))
     )
-    up_to = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
-    cum = F.col("before") + F.sum("size").over(up_to)
+    # copies fold before the window, so that it never runs over a hot group's rows
+    folded = inside.groupBy("source", "key", "size", "before", "rest").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(earlier), F.lit(0))
+    # copies whose middle word comes no later than the rest: the i-th of them has it at start + (i - 1/2) * size
+    fits = F.when(F.col("size") > 0, F.floor(((F.col("rest") - F.col("start")) * 2 + F.col("size")) / (F.col("size") * 2))).otherwise(
+        F.when(F.col("start") <= F.col("rest"), F.col("n")).otherwise(F.lit(0))
+    )
     last = (
-        inside.withColumn("middle", cum * 2 - F.col("size"))
-        .where(F.col("middle") <= F.col("rest") * 2)
+        folded.withColumn("start", start)
+        .withColumn("fits", F.least(F.col("n"), fits).cast("long"))
+        .where(F.col("fits") > 0)
         .groupBy(F.col("source").alias("last_source"))
-        .agg(F.max("key").alias("last_key"))
+        .agg(F.max(F.struct("key", "fits", "n")).alias("last"))
+    )
+    cuts = cut_cell.join(last, F.col("cut_source").eqNullSafe(F.col("last_source")), "left").select(
+        "cut_source", "cut_cell", F.col("last.key").alias("last_key"), F.col("last.fits").alias("last_fits"), F.col("last.n").alias("last_n")
     )
-    cuts = cut_cell.join(last, F.col("cut_source").eqNullSafe(F.col("last_source")), "left").select("cut_source", "cut_cell", "last_key")
     plan = plan.join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left").select(
-        F.col("source").alias("plan_source"), "source_size", "target", "whole", "rest", "cut_cell", "last_key"
+        F.col("source").alias("plan_source"), "source_size", "target", "whole", "rest", "cut_cell", "last_key", "last_fits", "last_n"
     )
     return narrow, written(plan.withColumn("cells", F.lit(cells).cast("long")), "mix-plan")
 
 
-def _times(cells: Column) -> Column:
-    """How often a row with columns key, whole, cut_cell, last_key is taken."""
-    cell = F.floor(F.conv(F.substring(F.col("key"), 1, 8), 16, 10).cast("long") * cells / F.lit(2**32)).cast("long")
+def _taken(rows: DataFrame, plan: DataFrame, own: list[str]) -> DataFrame:
+    """``own`` columns and times of ``rows`` (own columns, source, key): how often each row is taken.
+
+    Only the copies of a cut key that is split need more than a look at the plan, and they are alike
+    in id, text and source: they fold, are ranked by a hash of their other columns, and unfold again.
+    """
+    cell = F.floor(F.conv(F.substring(F.col("key"), 1, 8), 16, 10).cast("long") * F.col("cells") / F.lit(2**32)).cast("long")
     again = (cell < F.col("cut_cell")) | ((cell == F.col("cut_cell")) & (F.col("key") <= F.col("last_key")))
-    return F.col("whole") + F.when(F.coalesce(again, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
+    split = F.coalesce((F.col("key") == F.col("last_key")) & (F.col("last_fits") < F.col("last_n")), F.lit(False))
+    planned = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
+    plain = planned.where(~split).select(*own, (F.col("whole") + F.when(F.coalesce(again, F.lit(False)), F.lit(1)).otherwise(F.lit(0))).alias("times"))
+    if plan.where("last_fits < last_n").isEmpty():
+        return plain
+    hashed = planned.where(split).withColumn("h", F.xxhash64(*own))
+    folded = written(hashed.groupBy("plan_source", "h", "whole", "last_fits", *own).agg(F.count(F.lit(1)).alias("n")), "mix-split")
+    by_slot = folded.groupBy("plan_source", _slot(F.col("h")).alias("slot")).agg(F.sum("n").alias("rows"))
+    ahead = Window.partitionBy("plan_source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = by_slot.select(F.col("plan_source").alias("slot_source"), "slot", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("offset"))
+    placed = folded.withColumn("own_slot", _slot(F.col("h"))).join(offsets, F.col("plan_source").eqNullSafe(F.col("slot_source")) & (F.col("own_slot") == F.col("slot")))
+    within = Window.partitionBy("plan_source", "slot").orderBy("h", *own).rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("place", F.col("offset") + F.coalesce(F.sum("n").over(within), F.lit(0)))
+    more = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), F.col("last_fits") - F.col("place")))
+    halves = F.array(F.struct(more.alias("rows"), (F.col("whole") + 1).alias("times")), F.struct((F.col("n") - more).alias("rows"), F.col("whole").alias("times")))
+    counted = placed.select(*own, F.explode(halves).alias("half")).select(*own, F.col("half.rows").alias("rows"), F.col("half.times").alias("times"))
+    return plain.unionByName(_unfolded(counted, "rows"))
+
+
+def _slot(h: Column) -> Column:
+    return F.pmod(h, F.lit(SLOTS))
+
+
+def _unfolded(rows: DataFrame, count: str) -> DataFrame:
+    """Each row as often as ``count`` says; a large count is dealt out in chunks first."""
+    dealt = rows.where(F.col(count) > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / CHUNK).cast("long"))))
+    dealt = dealt.withColumn("left", F.least(F.lit(CHUNK).cast("long"), F.col(count) - F.col("chunk") * CHUNK)).repartition("chunk")
+    return dealt.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), F.col("left")))).drop("chunk", "left", "one", count)
 
 
 def mix_digest(docs: DataFrame, seed: int = 20260818, **shares) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     narrow, plan = plan_mix(docs, seed, **shares)
-    return narrow.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * _times(F.col("cells"))).cast("long").alias("taken")
+    timed = _taken(narrow.select("doc_id", "size", F.col("source").alias("own_source"), "source", "key"), plan, ["doc_id", "size", "own_source"])
+    sized = plan.select("plan_source", "source_size", "target")
+    return timed.join(sized, F.col("own_source").eqNullSafe(F.col("plan_source"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken")
     )
 
 
@@ -149,7 +202,7 @@ def mix(docs: DataFrame, seed: int = 20260818, **shares) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
     _, plan = plan_mix(docs, seed, **shares)
     own = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col("source"), order_key(F.col("doc_id"), seed).alias("key"))
-    taken = packed.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("times", _times(F.col("cells")))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col("source"), order_key(F.col("doc_id"), F.col("text"), seed).alias("key"))
+    taken = _taken(packed, plan, ["row"])
     copies = taken.where(F.col("times") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     return copies.select(*[F.col("row")[c].alias(c) for c in own])

@@ -61,7 +61,7 @@ QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_shard
 _OP8 = f"""
 with d as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
-         md5('{SEED}:' || coalesce(doc_id::varchar, 'null')) as k from documents),
+         md5('{SEED}:' || coalesce('=' || doc_id::varchar, '') || ':' || coalesce('=' || md5(text), '')) as k from documents),
 s as (select source, sum(size)::bigint as source_size from d group by source),
 r as (select *, [3, 1, 2][((row_number() over (order by source is null, source) - 1) % 3 + 1)::int]::bigint as weight,
              row_number() over (order by source is null, source) as rk from s),
@@ -77,11 +77,10 @@ t as (select source, source_size,
       from p left join b on true),
 c as (select d.*, t.source_size, t.target,
              case when t.source_size > 0 then floor(t.target / t.source_size)::bigint else 0 end as whole,
-             sum(size) over (partition by d.source order by k, size rows between unbounded preceding and current row) as cum
+             sum(size) over (partition by d.source order by k rows between unbounded preceding and current row) as cum
       from d join t on d.source is not distinct from t.source),
-e as (select *, max(k) filter (where cum * 2 - size <= (target - whole * source_size) * 2) over (partition by source) as last_k from c)
 select doc_id, size, source_size, target,
-       (size * (whole + case when k <= last_k then 1 else 0 end))::bigint as taken from e
+       (size * (whole + case when cum * 2 - size <= (target - whole * source_size) * 2 then 1 else 0 end))::bigint as taken from c
 """
 
 _OP1 = """

@@ -120,3 +120,37 @@ def test_mix_of_nothing(spark):
     assert mixing.mix_digest(docs(spark, [])).count() == 0
     assert [tuple(r) for r in mixing.mix_digest(docs(spark, [(1, None, "a")])).collect()] == [(1, 0, 0, 0.0, 0)]
     assert mixing.mix(docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("shared", [5, None])
+def test_many_rows_under_one_id(spark, shared):
+    """Equal texts, most of them under one id: the cut splits the copies."""
+    rows = [(shared if i < 80 else 1000 + i, "w " * 100, "a") for i in range(100)] + [(5000 + i, "x " * 30, "b") for i in range(60)]
+    given = spark.createDataFrame([(i, t, s, k, "y" if k % 3 else None) for k, (i, t, s) in enumerate(rows)], "doc_id long, text string, source string, shard int, size string")
+    got = mixing.mix_digest(given, weights=(1, 1), budget=(3, 4), max_epochs=2).collect()
+    assert len(got) == len(rows)
+    for source, words in (("a", 100), ("b", 30)):
+        own = [r for r in got if r["size"] == words]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= words / 2, source
+    assert len({r.taken for r in got if r.doc_id == shared}) == 2
+    mixed = mixing.mix(given, weights=(1, 1), budget=(3, 4), max_epochs=2).collect()
+    again = mixing.mix(given.repartition(7), weights=(1, 1), budget=(3, 4), max_epochs=2).collect()
+    assert sorted(map(str, mixed)) == sorted(map(str, again))
+    taken = Counter()
+    for r in got:
+        taken[r.doc_id] += r.taken // r["size"]
+    assert Counter(r.doc_id for r in mixed) == +taken
+
+
+def test_copies_unfold_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    monkeypatch.setattr(mixing, "SLOTS", 3)
+    rows = [(1, "a b c", "s")] * 50 + [(2, "a b c", "s")] * 31
+    got = mixing.mix_digest(docs(spark, rows), budget=(5, 3)).collect()
+    assert len(got) == 81 and abs(sum(r.taken for r in got) - 81 * 3 * 5 / 3) <= 1.5
+    assert mixing.mix(docs(spark, rows), budget=(5, 3)).count() == sum(r.taken // 3 for r in got)
+
+
+def test_a_very_long_text_is_counted_whole(spark):
+    assert [r["size"] for r in mixing.mix_digest(docs(spark, [(1, "word " * 400_000, "a")])).collect()] == [400_000]
+    assert [r["size"] for r in sharding.shard_rows(docs(spark, [(1, "word " * 400_000, "a")]), 40).collect()] == [2_000_016]
