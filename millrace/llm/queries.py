@@ -112,7 +112,7 @@ d as (select doc_id, (strlen(coalesce(text, '')) + 16)::bigint as size, xor(list
       from (select *, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') as pairs from documents), tab),
 total as (select count(*) as n, greatest({sharding.MIN_BUCKETS}, ceil(count(*) / {sharding.BUCKET_ROWS}))::bigint as buckets from d),
 side as (select n, floor(sqrt(n - 1))::bigint + 1 as a, ceil(n / (floor(sqrt(n - 1)) + 1))::bigint as b from total),
-numbered as (select d.*, row_number() over (order by ((doc_id % {sharding.PRIME} + {sharding.PRIME}) % {sharding.PRIME} * {sharding.MULTIPLIER}) % {sharding.PRIME} % buckets,
+numbered as (select d.*, row_number() over (order by ((((coalesce(doc_id, 0) % {sharding.PRIME} + {sharding.PRIME}) % {sharding.PRIME} + text_crc32) % {sharding.PRIME}) * {sharding.MULTIPLIER}) % {sharding.PRIME} % buckets,
     doc_id nulls first, size, text_crc32) - 1 as x from d, total),
 walk as (select x, y, 1 as steps from ({_feistel("select x, x as y from numbered")}) union all
     select x, y, steps from (select x, y, 0 as steps from ({_feistel("select x, y from walk, side where y >= n")}))),

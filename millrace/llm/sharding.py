@@ -9,8 +9,9 @@ don't matter, and shard and slot of a row number are computable without any tabl
 Only DataFrame functions run here.
 
 Null and odd cases: a null text counts as no bytes (size is the overhead alone, checksum 0);
-a null id is an id like any other; repeated rows each get a position of their own; an empty
-table gives an empty result; other columns are ignored.
+a null id is an id like any other, and one that is no integer counts as null; repeated rows each get a
+position of their own; texts of any length are read whole; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -97,9 +98,11 @@ def permuted(row: Column, n: int, seed: int) -> Column:
     return F.transform(F.array(first), lambda y: F.when(y < F.lit(n), y).otherwise(walked(y)))[0]
 
 
-def bucket_of(id_col: Column, buckets: int) -> Column:
-    """A bucket from the id by arithmetic that any SQL engine can repeat."""
-    return ((F.pmod(F.coalesce(id_col.cast("long"), F.lit(0)), F.lit(PRIME)) * F.lit(MULTIPLIER)) % F.lit(PRIME)) % F.lit(buckets)
+def bucket_of(id_col: Column, crc: Column, buckets: int) -> Column:
+    """A bucket from id and checksum by arithmetic that any SQL engine can repeat. The checksum
+    spreads the rows of a hot id, or without one."""
+    both = (F.pmod(F.coalesce(id_col, F.lit(0).cast("long")), F.lit(PRIME)) + crc) % F.lit(PRIME)
+    return ((both * F.lit(MULTIPLIER)) % F.lit(PRIME)) % F.lit(buckets)
 
 
 def shard_rows(docs: DataFrame, n_shards: int, seed: int = 20260818, overhead: int = 16) -> DataFrame:
@@ -109,14 +112,14 @@ def shard_rows(docs: DataFrame, n_shards: int, seed: int = 20260818, overhead: i
     """
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").try_cast("long").alias("doc_id"),
         (F.octet_length(raw) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
     )
     folded = written(narrow.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n")), "shard-keys")
     n = folded.agg(F.sum("n")).first()[0] or 0
     buckets = max(MIN_BUCKETS, math.ceil(n / BUCKET_ROWS))
-    keyed = folded.withColumn("bucket", bucket_of(F.col("doc_id"), buckets))
+    keyed = folded.withColumn("bucket", bucket_of(F.col("doc_id"), F.col("text_crc32"), buckets))
     ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy("bucket").agg(F.sum("n").alias("rows")).select(
         "bucket", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("offset")

@@ -154,3 +154,13 @@ def test_copies_unfold_in_chunks(spark, monkeypatch):
 def test_a_very_long_text_is_counted_whole(spark):
     assert [r["size"] for r in mixing.mix_digest(docs(spark, [(1, "word " * 400_000, "a")])).collect()] == [400_000]
     assert [r["size"] for r in sharding.shard_rows(docs(spark, [(1, "word " * 400_000, "a")]), 40).collect()] == [2_000_016]
+
+
+def test_rows_without_an_id_spread_over_buckets(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("i"), F.crc32(F.col("id").cast("string").cast("binary")).alias("c"))
+    sizes = [r["count"] for r in rows.groupBy(sharding.bucket_of(F.col("i"), F.col("c"), 64)).count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 120
+    odd = spark.createDataFrame([("7", "a", "s"), ("x7", "b", "s"), (None, "b", "s")], "doc_id string, text string, source string")
+    assert sorted((r.doc_id for r in sharding.shard_rows(odd, 40).collect()), key=str) == [7, None, None]
