@@ -6,22 +6,29 @@
 2. Candidates: classes that share a band's hash meet in a bucket. There, similarity is estimated
    from the signatures by bit counts, corrected for chance collisions of the kept bits. Pairs far
    enough below the threshold (``MARGIN`` standard errors) are passed over.
-3. Confirmation: candidate pairs are joined with the full sets and linked if
+3. Confirmation: pairs are dealt to blocks by one end. A block holds the full sets of up to
+   ``BLOCK`` ends, takes every other set that it needs once, and links a pair if
    100 * |intersection| >= percent * |union|.
 4. Components: links are contracted by hooking to the smallest neighbour and pointer jumping.
 
-Large groups never become all their pairs. A bucket first offers each member's pair with the
-bucket's hub (the member that most others resemble) and its few best partners. Once those are
-confirmed and contracted, a bucket whose members all belong together is done. In the others, pairs
-between different components are estimated again, by signatures of ``LONG`` one-bit values, and all
-that may be similar are confirmed, so no link between different components is missed. Buckets of
-over ``CHUNK`` members are processed by pairs of chunks. A link at exactly the threshold shares no
-band once in 300,000 cases, a more similar one more rarely.
+Large groups never become all their pairs. At first a bucket is cut into chunks of ``FIRST`` members,
+all of which hold one common member. A chunk offers each member's pair with the chunk's hub (the
+member that most others resemble) and its few best partners. Once those are confirmed and contracted,
+a bucket whose members all belong together is done. In the others, members are cut into chunks by
+component, and every two chunks that are not of one component are compared once, by signatures of
+``LONG`` one-bit values; all pairs between different components that may be similar are confirmed.
+
+What can be missed: a link at exactly the threshold shares no band once in 300,000 cases, a more
+similar one more rarely; each estimate passes over a link with the chance of a deviation of ``MARGIN``
+standard errors, about 1 in 3 million. ``exact=True`` takes neither risk: buckets are then the
+shingles of a prefix (all but so many of a set's most frequent shingles that two similar sets must
+share one of the others), and no estimate rules out a pair. That costs a count of all shingles.
 
 Null and odd cases: a text that is null or has no words has an empty set and links with nothing;
 one of fewer words than a shingle is a single shingle; texts of any length count whole; rows that
-share an id are one node; a null id links with nothing and has a null component; repeated rows
-give repeated rows; an empty table gives an empty result; other columns are ignored.
+share an id are one node; a null id, and one that is no integer, links with nothing and has a null
+component; repeated rows give repeated rows; an empty table gives an empty result; other columns, of
+any name, are ignored by ``groups`` and pass through ``near_duplicates``.
 """
 
 from __future__ import annotations
@@ -41,13 +48,18 @@ BANDS, ROWS, BITS = 32, 5, 4
 HASHES = BANDS * ROWS
 WORDS = HASHES * BITS // 64
 MARGIN = 5.0
-CHUNK = 1024
+#: Members of a chunk in the first round, and in the second.
+FIRST, CHUNK = 256, 1024
+#: Ends whose full sets a block holds; an end of more than ``LARGE`` shingles has a block of its own.
+BLOCK, LARGE = 256, 1 << 16
 #: Partners that a member offers at first.
 PARTNERS = 3
 #: One-bit values of the second signature.
 LONG = 4096
-#: Bits of the filter that keeps the texts of non-candidates out of the confirming shuffle.
-FILTER_BITS = 1 << 25
+#: Least and most bits (powers of two) of the filter that keeps the texts of non-candidates out of the confirming shuffle.
+FILTER_LEAST, FILTER_MOST = 25, 28
+#: Stands for the chunks that hold several components.
+MIXED = -(1 << 63)
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -162,91 +174,115 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), utf8("text").alias("raw"))
+    rows = docs.select(F.col("doc_id").try_cast("long").alias("id"), utf8("text").alias("raw"))
     return rows.mapInArrow(lambda it: _sketch(it, size), "id long, n long, digest binary, sig binary, bands array<long>")
 
 
-def _bucket_pairs(cid: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, percent: int, bits: int, partners: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket that may be linked and belong to different components: each member's
-    best partners and the pairs with the hub, or without ``partners`` all pairs."""
-    size, least = len(cid), least_matches(percent, sig.shape[1] * 64 // bits, bits)
-    first, second = [], []
-    degree = np.zeros(size, dtype=np.int64)
+def _alike(i: int, others: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, percent: int, bits: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Agreeing values with the others, and those of them that may be linked with i and are of another component."""
+    fits = others[(100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])) & (label[others] != label[i])]
+    got = matches(sig[i], sig[fits], bits)
+    return got[got >= least], fits[got >= least]
 
-    def alike(i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Agreeing values with the others, and those of them that may be linked with i."""
-        fits = others[(100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])) & (label[others] != label[i])]
-        got = matches(sig[i], sig[fits], bits)
-        return got[got >= least], fits[got >= least]
 
+def _some_pairs(cid: np.ndarray, n: np.ndarray, sig: np.ndarray, percent: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of each member's pairs with its best partners and with the hub."""
+    size = len(cid)
+    first, second = [], []
+    degree = np.zeros(size, dtype=np.int64)
     everyone = np.arange(size)
     for i in range(size):
-        got, js = alike(i, everyone if partners else everyone[i + 1 :])
+        got, js = _alike(i, everyone, cid, n, sig, percent, BITS, least)
         degree[i] = len(js)
-        if partners:
-            js = js[np.lexsort((cid[js], -got))][:partners]
-        first.append(np.full(len(js), cid[i]))
-        second.append(cid[js])
-    if partners and size > partners + 1:
+        js = js[np.lexsort((cid[js], -got))][:PARTNERS]
+        first.append(np.full(len(js), i))
+        second.append(js)
+    if size > PARTNERS + 1:
         hub = int(np.lexsort((cid, -degree))[0])
-        _, js = alike(hub, everyone)
-        first.append(np.full(len(js), cid[hub]))
-        second.append(cid[js])
-    a, b = np.concatenate(first), np.concatenate(second)
-    return np.minimum(a, b), np.maximum(a, b)
+        _, js = _alike(hub, everyone, cid, n, sig, percent, BITS, least)
+        first.append(np.full(len(js), hub))
+        second.append(js)
+    return np.concatenate(first), np.concatenate(second)
+
+
+def _all_pairs(label: np.ndarray, n: np.ndarray, sig: np.ndarray, side: np.ndarray, percent: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs between the two sides, or, if there is one side, of all pairs."""
+    first, second = [], []
+    cut = int(np.searchsorted(side, 1))
+    for i in range(cut if cut < len(side) else len(side) - 1):
+        others = np.arange(cut if cut < len(side) else i + 1, len(side))
+        _, js = _alike(i, others, label, n, sig, percent, 1, least)
+        first.append(np.full(len(js), i))
+        second.append(js)
+    return (np.concatenate(first), np.concatenate(second)) if first else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, bits: int, partners: int | None) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket and chunks; a bucket may span batches."""
+def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, least: int, first_round: bool) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by unit of work; a unit may span batches."""
     held: list[tuple] = []
-    key: tuple | None = None
-    buckets: dict[int, set[int]] = {}
+    now: int | None = None
+    shared: list[set[int]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        cid, label, n, sig = (np.concatenate(c) for c in zip(*held, strict=True))
-        if (label != label[0]).any():
-            a, b = _bucket_pairs(cid, label, n, sig, percent, bits, partners)
-            if len(a):
-                ab = np.unique(np.stack([a, b], axis=1), axis=0)
-                if buckets:  # of all buckets that a pair shares, the least one gives it
-                    ab = ab[[min(buckets[x] & buckets[y]) == key[0] for x, y in ab.tolist()]]
-                yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], names=["a", "b"])
+        bucket, cid, label, n, sig, side = (np.concatenate(c) for c in zip(*held, strict=True))
+        i, j = _some_pairs(cid, n, sig, percent, least) if first_round else _all_pairs(label, n, sig, side, percent, least)
+        if not first_round:  # of all buckets that a pair shares, the least one gives it
+            keep = np.array([min(shared[x] & shared[y]) == bucket[0] for x, y in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
+            i, j = i[keep], j[keep]
+        swap = cid[i] > cid[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(cid[i]), pa.array(cid[j]), pa.array(n[i]), pa.array(n[j])], names=["a", "b", "na", "nb"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([batch[c].to_numpy() for c in ("bucket", "ci", "cj")], axis=1)
-        cid, label, n = (batch[c].to_numpy() for c in ("cid", "label", "n"))
-        sig = np.frombuffer(b"".join(batch["sig"].to_pylist()), dtype=np.uint64).reshape(len(cid), -1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+        unit, *cols = (batch[c].to_numpy() for c in ("unit", "bucket", "cid", "label", "n", "side"))
+        sig = np.frombuffer(b"".join(batch["sig"].to_pylist()), dtype=np.uint64).reshape(len(unit), -1)
+        cuts = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1), len(unit)]
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            now = tuple(keys[s])
-            if now != key:
+            if unit[s] != now:
                 yield from flush()
-                held, key, buckets = [], now, {}
-            held.append((cid[s:e], label[s:e], n[s:e], sig[s:e]))
-            if "buckets" in batch.schema.names:
-                buckets |= zip(cid[s:e].tolist(), map(set, batch["buckets"].slice(s, e - s).to_pylist()), strict=True)
+                held, now, shared = [], unit[s], []
+            held.append((*(c[s:e] for c in cols[:4]), sig[s:e], cols[4][s:e]))
+            if not first_round:
+                shared += map(set, batch["buckets"].slice(s, e - s).to_pylist())
     yield from flush()
 
 
-def _offered(members: DataFrame, percent: int, bits: int, partners: int | None) -> DataFrame:
-    """Candidate pairs of the buckets in ``members`` (bucket, size, cid, label, n, sig, and maybe
-    buckets: all those of the member that are in ``members``)."""
-    more = [c for c in ("buckets",) if c in members.columns]
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    mine = F.pmod(F.xxhash64("cid"), chunks).cast("int")
-    dealt = members.withColumn("chunks", chunks).withColumn("mine", mine)
-    other = F.when(F.col("chunks") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: j != F.col("mine"))
-    )
-    dealt = dealt.withColumn("other", F.explode(other)).select(
-        "bucket", F.least("mine", "other").alias("ci"), F.greatest("mine", "other").alias("cj"), "cid", "label", "n", "sig", *more
-    )
-    stream = dealt.repartition("bucket", "ci", "cj").sortWithinPartitions("bucket", "ci", "cj", "cid")
-    return stream.mapInArrow(lambda it: _pair_stream(it, percent, bits, partners), "a long, b long").distinct()
+def _compared(units: DataFrame, percent: int, least: int, first_round: bool) -> DataFrame:
+    """a, b, na, nb: pairs of the rows that share a unit."""
+    stream = units.repartition("unit").sortWithinPartitions("unit", "side", "cid")
+    pairs = stream.mapInArrow(lambda it: _pair_stream(it, percent, least, first_round), "a long, b long, na long, nb long")
+    return pairs.distinct() if first_round else pairs
+
+
+def _first_units(members: DataFrame) -> DataFrame:
+    """Chunks of the buckets in ``members`` (bucket, size, anchor, cid, n, sig). The anchor is in every chunk."""
+    chunks = F.ceil(F.col("size") / FIRST)
+    mine = F.array(F.pmod(F.xxhash64("cid", "bucket"), chunks))
+    places = F.when((F.col("cid") == F.col("anchor")) & (chunks > 1), F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(mine)
+    dealt = members.withColumn("chunk", F.explode(places))
+    return dealt.select(F.xxhash64("bucket", "chunk").alias("unit"), "bucket", "cid", F.col("cid").alias("label"), "n", F.lit(0).alias("side"), "sig")
+
+
+def _second_units(members: DataFrame) -> DataFrame:
+    """Every two chunks that may hold pairs of different components, from ``members`` (bucket, cid, label,
+    n, sig, buckets). A component of many members in a bucket has chunks of its own; the rest are mixed."""
+    per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"))
+    own = per.withColumn("of", F.when(F.col("m") * 4 >= CHUNK, F.col("label")).otherwise(F.lit(MIXED)))
+    cut = written(own.groupBy("bucket", "of").agg(F.ceil(F.sum("m") / CHUNK).alias("chunks")), "dup-chunks")
+    chunk = cut.select("bucket", "of", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("i"))
+    one, two = (chunk.select("bucket", F.struct("of", "i").alias(c)) for c in ("c1", "c2"))
+    tiles = one.join(two, "bucket").where((F.col("c1") <= F.col("c2")) & ((F.col("c1.of") != F.col("c2.of")) | (F.col("c1.of") == MIXED)))
+    tiles = tiles.withColumn("unit", F.xxhash64("bucket", "c1", "c2"))
+    at = F.explode(F.when(F.col("c1") == F.col("c2"), F.array(F.struct(F.col("c1").alias("c"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(F.col("c1").alias("c"), F.lit(0).alias("side")), F.struct(F.col("c2").alias("c"), F.lit(1).alias("side")))))
+    tiles = tiles.select("bucket", "unit", at.alias("at")).select("bucket", "unit", "at.side", F.col("at.c.of").alias("of"), F.col("at.c.i").alias("i"))
+    placed = members.join(own.drop("m"), ["bucket", "label"]).join(cut, ["bucket", "of"]).withColumn("i", F.pmod(F.xxhash64("cid"), F.col("chunks")))
+    return placed.join(tiles, ["bucket", "of", "i"]).select("unit", "bucket", "cid", "label", "n", "side", "sig", "buckets")
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int, bits: bytes) -> Iterator[pa.RecordBatch]:
@@ -262,22 +298,24 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int, bits: bytes) ->
 def full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """cid, shingles of the classes in ``nodes`` (cid).
 
-    A bitmap of fixed size, one bit for each candidate's hashed id, lets other texts fall away
-    where they are read; what slips through falls away in the join.
+    A bitmap, one bit for each candidate's hashed id, lets other texts fall away where they are read;
+    what slips through falls away in the join. It has 16 bits a candidate, within fixed bounds.
     """
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)).cast("long")
+    filter_bits = 1 << min(FILTER_MOST, max(FILTER_LEAST, (16 * nodes.count()).bit_length()))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(filter_bits)).cast("long")
     pages = (
         nodes.select(at("cid").alias("at"))
         .groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("page"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("bits"))
     )
     page_bytes = 4096
-    bits = bytearray(FILTER_BITS // 8)
+    bits = bytearray(filter_bits // 8)
     for r in pages.toLocalIterator():
         start = (r["page"] - 1) * page_bytes
         bits[start : start + page_bytes] = r["bits"]
     shared = docs.sparkSession.sparkContext.broadcast(bytes(bits))
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), at(F.col("doc_id").cast("long")).alias("at"), utf8("text").alias("raw"))
+    named = F.col("doc_id").try_cast("long")
+    rows = docs.where(named.isNotNull()).select(named.alias("id"), at(named).alias("at"), utf8("text").alias("raw"))
     sets = rows.mapInArrow(lambda it: _shingle_sets(it, size, shared.value), "id long, shingles array<long>")
     return sets.join(nodes.select(F.col("cid").alias("id")), "id", "left_semi").select(F.col("id").alias("cid"), "shingles")
 
@@ -289,12 +327,57 @@ def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch["cid"], pa.array(sigs, pa.binary())], names=["cid", "sig"])
 
 
+def _set(value: pa.ListScalar) -> np.ndarray:
+    """The shingles of one set, in order."""
+    return np.sort(value.values.to_numpy(zero_copy_only=False))
+
+
+def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by block and kind: the ends held by the block, then the others with their partners.
+    An id whose rows have several texts has several sets; a pair is linked if any two of them are."""
+    ends: dict[int, list[np.ndarray]] = {}
+    now: int | None = None
+    for batch in batches:
+        a, b = [], []
+        for block, kind, cid, shingles, partners in zip(batch["block"].to_pylist(), batch["kind"].to_pylist(), batch["cid"].to_pylist(), batch["shingles"], batch["partners"].to_pylist(), strict=True):
+            if block != now:
+                ends, now = {}, block
+            own = _set(shingles)
+            if kind == 0:
+                ends.setdefault(cid, []).append(own)
+                continue
+            for other in partners:
+                for two in ends[other]:
+                    small, large = (own, two) if len(own) <= len(two) else (two, own)
+                    at = np.searchsorted(large, small)
+                    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+                    if both * 100 >= (len(own) + len(two) - both) * percent:
+                        a.append(min(cid, other))
+                        b.append(max(cid, other))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    one = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
-    return both.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b").distinct()
+    """a, b of the ``pairs`` (a, b, na, nb) whose full sets are similar enough.
+
+    The end with fewer partners names the block, so a hub's pairs spread and its set goes to each
+    block once. A task holds one block's ends, and one other set at a time.
+    """
+    ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
+    degree = ends.groupBy("cid").agg(F.count(F.lit(1)).alias("d"))
+    known = pairs.join(degree.select(F.col("cid").alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col("cid").alias("b"), F.col("d").alias("db")), "b")
+    hub_first = F.col("da") > F.col("db")
+    turned = known.select(F.when(hub_first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub_first, F.col("b")).otherwise(F.col("a")).alias("end"), F.when(hub_first, F.col("nb")).otherwise(F.col("na")).alias("n"))
+    blocks = max(1, math.ceil(pairs.count() / BLOCK))  # there are no more ends than pairs
+    block = F.when(F.col("n") > LARGE, F.pmod(F.xxhash64("end"), F.lit(1 << 40)) + blocks).otherwise(F.pmod(F.xxhash64("end"), F.lit(blocks)))
+    turned = written(turned.withColumn("block", block), "dup-blocks")
+    none = F.lit(None).cast("array<long>")
+    held = turned.select("block", F.col("end").alias("cid")).distinct().select("*", F.lit(0).alias("kind"), none.alias("partners"))
+    asked = turned.groupBy("block", F.col("hub").alias("cid")).agg(F.collect_list("end").alias("partners")).select("block", "cid", F.lit(1).alias("kind"), "partners")
+    stream = held.unionByName(asked).join(sets, "cid").repartition("block").sortWithinPartitions("block", "kind", "cid")
+    found = stream.select("block", "kind", "cid", "shingles", "partners").mapInArrow(lambda it: _verify(it, percent), "a long, b long")
+    return found.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -329,30 +412,50 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, joined: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def prefixes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """cid, bucket: the rarest shingles of each class, so many that two similar sets share one of them.
+
+    Of n shingles, n - ceil(n * percent / 100) + 1 are the prefix. Those that no other class has come
+    first and join with nothing, so they only count.
+    """
+    sets = full_sets(docs, classes.select("cid").distinct(), size)
+    each = written(sets.select("cid", F.explode("shingles").alias("s")).distinct(), "dup-shingles")
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    ordered = each.join(common, "s").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("common"))
+    n = each.groupBy("cid").agg(F.count(F.lit(1)).alias("n"))
+    alone = F.col("n") - F.size("common")
+    least = F.floor((F.col("n") * percent + 99) / 100)
+    left = F.greatest(F.lit(0), F.col("n") - least + 1 - alone).cast("int")
+    return ordered.join(n, "cid").select("cid", F.explode(F.slice("common", F.lit(1), left)).alias("x")).select("cid", F.col("x.s").alias("bucket"))
+
+
+def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, joined: DataFrame | None = None, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(links, components) between classes (cid, n, sig, bands). ``joined``: links (a, b) from the start."""
-    spread = classes.select("cid", F.explode("bands").alias("bucket"))
-    crowded = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    spread = prefixes(docs, classes, size, percent) if exact else classes.select("cid", F.explode("bands").alias("bucket"))
+    crowded = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min_by("cid", F.xxhash64("cid", "bucket")).alias("anchor")).where("size > 1")
     members = spread.join(crowded, "bucket").join(classes.select("cid", "n", "sig"), "cid")
-    members = written(members.select("bucket", F.col("size").cast("int").alias("size"), "cid", "n", "sig"), "dup-members")
-    pairs = written(_offered(members.withColumn("label", F.col("cid")), percent, BITS, PARTNERS), "dup-pairs")
-    # whoever has any partner in a bucket is in a pair now, so these sets serve the second round as well
-    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+    members = written(members.select("bucket", F.col("size").cast("int").alias("size"), "anchor", "cid", "n", "sig"), "dup-members")
+    least = 0 if exact else least_matches(percent)
+    pairs = written(_compared(_first_units(members), percent, least, True), "dup-pairs")
+    # whoever has any partner in a chunk is in a pair now; those who had none there may have one in another chunk
+    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(members.where(F.col("size") > FIRST).select("cid")).distinct()
     sets = written(full_sets(docs, nodes, size), "dup-sets")
     links = written(confirmed(pairs, sets, percent), "dup-links")
     if joined is not None:
         links = links.unionByName(joined)
     labels = components(links)
     label = labels.select(F.col("node").alias("cid"), F.col("component").alias("label"))
-    there = members.where(F.col("size") > PARTNERS + 1).select("bucket", "size", "cid", "n").join(sets.select("cid"), "cid", "left_semi")
+    there = members.where(F.col("size") > PARTNERS + 1).select("bucket", "cid", "n").join(nodes, "cid", "left_semi")
     named = written(there.join(label, "cid", "left").withColumn("label", F.coalesce("label", "cid")), "dup-open")
     mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
     unsettled = written(named.join(mixed, "bucket", "left_semi"), "dup-mixed")
     if unsettled.isEmpty():
         return links, labels
     long = sets.join(unsettled.select("cid").distinct(), "cid", "left_semi").mapInArrow(_long_signatures, "cid long, sig binary")
-    long = written(long.join(unsettled.groupBy("cid").agg(F.collect_set("bucket").alias("buckets")), "cid"), "dup-long")  # at most BANDS each
-    more = written(_offered(unsettled.join(long, "cid"), percent, 1, None), "dup-pairs")
+    shared = unsettled.groupBy("cid").agg(F.collect_set("bucket").alias("buckets"))  # as many as bands, or as the prefix is long
+    long = written(long.join(shared, "cid"), "dup-long")
+    least = 0 if exact else least_matches(percent, LONG, 1)
+    more = written(_compared(_second_units(unsettled.join(long, "cid")), percent, least, False), "dup-pairs")
     found = written(confirmed(more, sets, percent), "dup-links")
     if found.isEmpty():
         return links, labels
@@ -360,8 +463,8 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, j
     return links, components(links)
 
 
-def groups(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document."""
+def groups(docs: DataFrame, size: int, percent: int = 80, exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document. ``exact``: no link is left to chance."""
     rows = written(sketches(docs, size), "dup-sketch")
     real = rows.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     classes = real.groupBy("digest").agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("copies"))
@@ -374,7 +477,7 @@ def groups(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     joined = None
     if not shared.isEmpty():  # an id with several texts joins their classes
         joined = real.join(shared, "id", "left_semi").join(classes, "digest").select(F.col("id").alias("a"), F.col("cid").alias("b")).distinct()
-    _, labels = link_classes(docs, single, size, percent, joined)
+    _, labels = link_classes(docs, single, size, percent, joined, exact)
     named = classes.join(labels, classes["cid"] == labels["node"], "left").select("digest", "copies", F.coalesce("component", "cid").alias("component_id"))
     return _named(rows, written(named, "dup-named"))
 
@@ -399,11 +502,11 @@ def _named(rows: DataFrame, named: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, exact: bool = False) -> DataFrame:
     """The documents without those of a group other than the group's smallest id; all columns kept.
 
     Rows that repeat the kept id are all kept, as are rows with a null id.
     """
-    gone = groups(docs, size, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    gone = groups(docs, size, percent, exact).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
     gone = written(gone, "dup-gone")
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    return docs.join(gone, docs["doc_id"].try_cast("long") == gone["gone"], "left_anti")

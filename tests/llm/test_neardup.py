@@ -42,7 +42,9 @@ def test_equals_brute_force(spark, seed, size):
 
 def test_large_bucket_in_chunks(spark, monkeypatch):
     """Many near copies in the same buckets, some just too far; buckets are cut into chunks."""
+    monkeypatch.setattr(N, "FIRST", 8)
     monkeypatch.setattr(N, "CHUNK", 16)
+    monkeypatch.setattr(N, "BLOCK", 5)
     rnd = random.Random(4)
     base = [f"w{i}" for i in range(120)]
     rows = []
@@ -96,3 +98,58 @@ def test_components(spark):
             parent[a] = parent[b] = min(parent[a], parent[b])
     got = {r.node: r.component for r in N.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: v for k, v in parent.items() if k != 200}
+
+
+def say(rnd, n):
+    return [f"{rnd.choice('abcdefgh')}{rnd.randrange(10**6)}" for _ in range(n)]
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs of exactly 80 % and a little more, of many lengths: every link is found; pairs just below aren't linked."""
+    rnd = random.Random(11)
+    rows, linked, apart = [], 0, 0
+    for _ in range(700):
+        n = rnd.choice([4, 8, 40, 200, 400])
+        base = say(rnd, n + 4)
+        for extra, link in ((n // 4, True), (n // 5, True), (n // 4 + 1, False)):
+            i = len(rows)
+            rows += [(i, " ".join(base)), (i + 1, " ".join(base + say(rnd, extra)))]
+            linked, apart = linked + link, apart + (not link)
+            base = say(rnd, n + 4)
+    got = {r.doc_id: r.component_id for r in N.groups(frame(spark, rows), 5, 80).collect()}
+    found = sum(got[i] == got[i + 1] for i in range(0, len(rows), 2))
+    wrong = sum(got[i] == got[i + 1] for i in range(4, len(rows), 6))
+    assert linked == 1400 and apart == 700 and (found, wrong) == (1400, 0)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_exact_way_equals_brute_force(spark, seed):
+    rows = corpus(seed)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.groups(frame(spark, rows), 4, 80, exact=True).collect()}
+    assert got == brute.components(rows, 4, 80)
+
+
+def test_large_group_at_real_sizes(spark):
+    """Over a thousand near copies in several chunks, two of its parts just too far from each other, and one bridge."""
+    rnd = random.Random(12)
+    base = say(rnd, 104)
+    far = base[:92] + say(rnd, 12)  # 88 of 112 shingles of both
+    rows = [(i, " ".join((base if i % 3 else far) + say(rnd, 2))) for i in range(1100)]
+    want = brute.components(rows, 5, 80)
+    assert len({c for _, c in want.values()}) == 2
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in N.groups(frame(spark, rows), 5, 80).collect()} == want
+    rows.append((5000, " ".join(base[:92] + far[92:98])))
+    assert {r.component_id for r in N.groups(frame(spark, rows), 5, 80).collect()} == {0}
+
+
+def test_a_very_long_text(spark):
+    long = " ".join(f"w{i}" for i in range(300_000))
+    rows = [(1, long), (2, long + " end"), (3, long[:1_000_000]), (4, "short")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.groups(frame(spark, rows), 5, 80).collect()}
+    assert got[1] == (299_996, 1) and got[2] == (299_997, 1) and got[3][1] == 3 and got[4] == (1, 4)
+
+
+def test_ids_that_are_no_integers(spark):
+    rows = spark.createDataFrame([("7", "a b c d e f", "x"), ("x", "a b c d e f", "x"), ("5", "a b c d e f", "y")], "doc_id string, text string, cid string")
+    assert sorted((tuple(r) for r in N.groups(rows, 4).collect()), key=str) == [(5, 3, 5, True), (7, 3, 5, False), (None, 3, None, None)]
+    assert sorted(r.doc_id for r in N.near_duplicates(rows, 4).collect()) == ["5", "x"]
