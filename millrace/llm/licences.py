@@ -1,24 +1,28 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 Words are weighted by inverse document frequency over all documents. A text's headers are its
-lines and short runs of lines; each is compared with every template, as is the whole text. A
-header or text at ``COSINE`` or above carries the template's licence; a text that matches as a
-whole is a licence file and declares its licence for its directory. Whole texts are also compared
-with full licence texts (folder ``licence_texts``), under weights of those texts' words; the better
-match counts. Two full texts are composed, not verbatim: ``AGPL-3.0`` and ``CC-BY-NC-4.0``. Files with no header of
-their own take the licence of the nearest directory above them that declares one, found by joining
-the paths of directories, never of files, with the declaring paths.
-
-Only words of the templates are counted in the corpus; any other word weighs ``OTHER``. Of each
-template the heaviest words are its anchors, so many that what is left can't reach the cosine
-(by the Cauchy-Schwarz bound); lines without an anchor are passed over without loss. By the same
-bound a text is compared with no template if too little of its weight is in templates' words.
+windows of as many words as a notice has, wherever lines break; each notice is compared with all of
+them, and with the text as a whole. A header or text at ``COSINE`` or above carries the notice's
+licence, but of headers that overlap only the best licence's count (so kin are told apart); a text that matches as a whole is a licence file and declares its licence for its directory.
+Whole texts are also compared with full licence texts (folder ``licence_texts``); the better match
+counts. Two full texts are composed, not verbatim: ``AGPL-3.0`` and ``CC-BY-NC-4.0``. Files with no
+header of their own take the licence of the nearest directory above them that declares one, found by
+joining the paths of directories, never of files, with the declaring paths.
+
+The templates' words are counted exactly. All other words are counted in ``SLOTS`` hashed slots, in
+documents that hold any word of the slot, so what is collected has a fixed size; a word that shares
+its slot weighs less than it would alone, and never less than a word that every document holds.
+
+Of each notice the heaviest words are its anchors, so many that what is left can't reach the cosine
+(by the Cauchy-Schwarz bound); windows without an anchor are passed over without loss. By the same
+bound a text is compared with no template if too little of its weight is in templates' words, or if
+it lacks too much of the template's.
 
 Null and odd cases: a null or empty text has no header; a null path is a file in no directory,
-which inherits nothing; several licences in a text are all listed, the best match first, ties to
-the name that sorts first; several declaring files in a directory likewise; whole texts of any
-length are read; repeated rows are each answered; an empty table gives an empty result; other
-columns are ignored.
+which inherits nothing; a text shorter than a notice is one window; several licences in a text are all
+listed, the best match first, ties to the name that sorts first; several declaring files in a directory
+likewise; texts of any length are read whole; repeated rows are each answered; an empty table gives
+an empty result; other columns, of any name, are ignored.
 """
 
 from __future__ import annotations
@@ -26,9 +30,11 @@ from __future__ import annotations
 import math
 import pkgutil
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,9 +82,10 @@ COMPOSED = (
      "including when the Licensed Material is used other than for NonCommercial purposes. Extract, reuse, reproduce, and Share the contents of the database for NonCommercial purposes only."),
 )
 COSINE = 0.75
-OTHER = 1.0
-#: Longest run of lines taken as one header.
-RUN = 6
+#: Hashed slots for the document frequencies of words that no template has.
+SLOTS = 1 << 18
+#: Slots in one row while counts are added up.
+STRIP = 1 << 10
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -94,35 +101,49 @@ def full_texts() -> list[tuple[str, str]]:
     return list(texts.items())
 
 
+def slot_of(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % SLOTS
+
+
 class Matcher:
     """Templates as unit vectors under the corpus's word weights."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], frequency: dict[str, int], documents: int, tags: bool = True):
+    def __init__(self, templates: Sequence[tuple[str, str]], frequency: dict[str, int], slots: np.ndarray, documents: int, tags: bool = True):
         spdx = [(name, f"SPDX-License-Identifier: {name}") for name in sorted({n for n, _ in templates})] if tags else []
-        self.idf: dict[str, float] = {}
-        counted = [(name, Counter(words_of(text))) for name, text in [*templates, *spdx]]
-        for _, c in counted:
-            for w in c:
-                self.idf[w] = math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1
+        counted = [(name, words_of(text)) for name, text in [*templates, *spdx]]
+        self.idf = {w: math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1 for _, words in counted for w in words}
+        self.other = np.log((1 + documents) / (1 + slots.astype(np.float64))) + 1
         self.by_word: dict[str, list[tuple[int, float]]] = {}
-        self.names, self.anchors = [], set()
-        for i, (name, c) in enumerate(counted):
-            v = {w: n * self.idf[w] for w, n in c.items()}
+        self.names, self.lengths, self.units = [], [], []
+        self.anchors: dict[str, list[int]] = {}
+        for i, (name, words) in enumerate(counted):
+            v = {w: n * self.idf[w] for w, n in Counter(words).items()}
             norm = math.sqrt(sum(x * x for x in v.values()))
             self.names.append(name)
+            self.lengths.append(len(words))
+            self.units.append({w: x / norm for w, x in v.items()})
             left = 1.0
             for w in sorted(v, key=lambda w: (-v[w], w)):
                 self.by_word.setdefault(w, []).append((i, v[w] / norm))
                 if math.sqrt(max(left, 0.0)) >= COSINE - 1e-9:
-                    self.anchors.add(w)
+                    self.anchors.setdefault(w, []).append(i)
                 left -= (v[w] / norm) ** 2
 
+    def weight(self, word: str) -> float:
+        known = self.idf.get(word)
+        return float(self.other[slot_of(word)]) if known is None else known
+
     def best(self, words: Counter) -> tuple[float, str] | None:
-        """The best template's cosine and licence, if it reaches the threshold."""
-        norm = math.sqrt(sum((n * self.idf.get(w, OTHER)) ** 2 for w, n in sorted(words.items())))
+        """The best template's cosine and licence for a text as a whole, if it reaches the threshold."""
         known = sorted(words.keys() & self.by_word.keys())
-        if math.sqrt(sum((words[w] * self.idf[w]) ** 2 for w in known)) < (COSINE - 1e-9) * norm:
+        inside = sum((words[w] * self.idf[w]) ** 2 for w in known)
+        least = inside + sum(n * n for n in words.values()) - sum(words[w] ** 2 for w in known)  # no word weighs less than 1
+        if not known or inside < (COSINE**2 - 1e-9) * least:
             return None
+        norm2 = inside + sum((n * self.weight(w)) ** 2 for w, n in sorted(words.items()) if w not in self.by_word)
+        if inside < (COSINE**2 - 1e-9) * norm2:
+            return None
+        norm = math.sqrt(norm2)
         dots: dict[int, float] = {}
         for w in known:
             for i, x in self.by_word[w]:
@@ -130,45 +151,97 @@ class Matcher:
         found = [(-round(d / norm, 6), self.names[i]) for i, d in dots.items() if d / norm >= COSINE]
         return (-min(found)[0], min(found)[1]) if found else None
 
+    def _windows(self, i: int, words: list[str], weights: list[float], at: list[int]) -> Iterator[tuple[float, str, int, int]]:
+        """Windows of template i's length that hold a position in ``at`` and reach the threshold: negated cosine, licence, start, end."""
+        unit, m = self.units[i], min(self.lengths[i], len(words))
+        ranges: list[list[int]] = []  # of starts
+        for p in at:
+            lo, hi = max(0, p - m + 1), min(p, len(words) - m)
+            if ranges and lo <= ranges[-1][1] + 1:
+                ranges[-1][1] = max(ranges[-1][1], hi)
+            else:
+                ranges.append([lo, hi])
+        for lo, hi in ranges:
+            count: dict[str, int] = {}
+            dot = norm2 = 0.0
+            for p in range(lo, hi + m):
+                w, x = words[p], weights[p]
+                n = count.get(w, 0)
+                count[w] = n + 1
+                norm2 += (2 * n + 1) * x * x
+                dot += x * unit.get(w, 0.0)
+                if p >= lo + m:
+                    w, x = words[p - m], weights[p - m]
+                    n = count[w] - 1
+                    count[w] = n
+                    norm2 -= (2 * n + 1) * x * x
+                    dot -= x * unit.get(w, 0.0)
+                if p >= lo + m - 1 and (score := round(min(1.0, dot / math.sqrt(norm2)), 6)) >= COSINE:
+                    yield -score, self.names[i], p - m + 1, p + 1
+
     def scan(self, text: str) -> tuple[list[tuple[float, str]], tuple[float, str] | None]:
         """(licences of headers, best first; licence of the whole text)."""
-        lower = text.lower()
-        if self.anchors.isdisjoint(WORD.findall(lower)):
+        words = words_of(text)
+        there = set(words)
+        if self.anchors.keys().isdisjoint(there):
             return [], None
-        lines = [Counter(WORD.findall(x)) for x in lower.splitlines()]
-        anchored = [i for i, c in enumerate(lines) if not self.anchors.isdisjoint(c)]
+        # a template can only match if the text holds enough of its weight
+        able = {i for w in there & self.anchors.keys() for i in self.anchors[w]}
+        able = {i for i in able if sum(x * x for w, x in self.units[i].items() if w in there) >= COSINE**2 - 1e-9}
         best: dict[str, float] = {}
-        seen: set[tuple[int, int]] = set()
-        for i in anchored:
-            for start in range(max(0, i - RUN + 1), i + 1):
-                for end in range(i + 1, min(len(lines), start + RUN) + 1):
-                    if (start, end) in seen:
-                        continue
-                    seen.add((start, end))
-                    run = lines[start] if end - start == 1 else sum(lines[start:end], Counter())
-                    if (hit := self.best(run)) and hit[0] > best.get(hit[1], 0.0):
-                        best[hit[1]] = hit[0]
-        whole = self.best(sum(lines, Counter()) if len(lines) <= RUN else Counter(WORD.findall(lower)))
-        return sorted(((s, n) for n, s in best.items()), key=lambda x: (-x[0], x[1])), whole
+        if able:
+            at: dict[int, list[int]] = {i: [] for i in sorted(able)}
+            for p, w in enumerate(words):
+                for i in self.anchors.get(w, ()):
+                    if i in able:
+                        at[i].append(p)
+            weights = [self.weight(w) for w in words]
+            owner = np.full(len(words), -1)
+            order = {n: k for k, n in enumerate(sorted(set(self.names)))}
+            for score, name, start, end in sorted(w for i, positions in at.items() for w in self._windows(i, words, weights, positions)):
+                held = owner[start:end]
+                if ((held < 0) | (held == order[name])).all():
+                    owner[start:end] = order[name]
+                    best[name] = max(best.get(name, 0.0), -score)
+        return sorted(((s, n) for n, s in best.items()), key=lambda x: (-x[0], x[1])), self.best(Counter(words))
 
 
 def _frequency(batches: Iterator[pa.RecordBatch], vocabulary: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    """word, n of the vocabulary (the empty word: documents), and strips of the slots' counts."""
     total: Counter = Counter()
+    slots = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for raw in batch["raw"]:
-            total.update(vocabulary.intersection(words_of(raw.as_py().decode("utf-8", "replace"))))
+            words = set(words_of(raw.as_py().decode("utf-8", "replace")))
+            total.update(vocabulary & words)
             total[""] += 1
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
+            slots[list({slot_of(w) for w in words - vocabulary})] += 1
+    if not total:
+        return
+    strips = slots.reshape(-1, STRIP)
+    used = np.flatnonzero(strips.any(axis=1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([*total, *[None] * len(used)], pa.string()), pa.array([*total.values(), *used.tolist()], pa.int64()),
+         pa.array([*[None] * len(total), *(strips[i].tolist() for i in used)], pa.list_(pa.int64()))], names=["word", "n", "strip"])
+
+
+def _added(strips: pa.Table) -> pa.Table:
+    """The sum of one strip's counts."""
+    sums = np.sum([x.values.to_numpy() for x in strips["strip"]], axis=0)
+    return pa.table({"i": strips["i"][:1], "strip": pa.array([sums.tolist()], pa.list_(pa.int64()))})
 
 
 def matchers_for(texts: DataFrame, templates: Sequence[tuple[str, str]], files: Sequence[tuple[str, str]]) -> tuple[Matcher, Matcher]:
-    """Of notices and of full texts. Counts the templates' words in all documents; the vocabulary bounds what is collected."""
-    vocabulary = frozenset(Matcher(templates, {}, 0).idf) | frozenset(Matcher(files, {}, 0, tags=False).idf)
-    counts = texts.select("raw").mapInArrow(lambda it: _frequency(it, vocabulary), "word string, n long")
-    seen = {r["word"]: r["n"] for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    """Of notices and of full texts. The vocabulary and the number of slots bound what is collected."""
+    vocabulary = frozenset(w for _, t in [*templates, *files] for w in words_of(t)) | frozenset(w for n, _ in templates for w in words_of(f"SPDX-License-Identifier: {n}"))
+    counts = written(texts.select("raw").mapInArrow(lambda it: _frequency(it, vocabulary), "word string, n long, strip array<long>"), "licence-counts")
+    seen = {r["word"]: r["n"] for r in counts.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     documents = seen.pop("", 0)
-    return Matcher(templates, seen, documents), Matcher(files, seen, documents, tags=False)
+    slots = np.zeros((SLOTS // STRIP, STRIP), np.int64)
+    strips = counts.where("strip is not null").select(F.col("n").alias("i"), "strip").groupBy("i").applyInArrow(_added, "i long, strip array<long>")
+    for r in strips.toLocalIterator():
+        slots[r["i"]] = r["strip"]
+    return Matcher(templates, seen, slots.reshape(-1), documents), Matcher(files, seen, slots.reshape(-1), documents, tags=False)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], matcher: Matcher, files: Matcher) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -9,14 +10,32 @@ MIT, CC, GPL = "Released under the MIT License.", "Licensed under CC BY-NC 4.0."
 SCHEMA = "doc_id long, path string, text string, licence string, directory int"
 
 
-def cosine(m, text, template):
-    a, b = Counter(L.words_of(text)), Counter(L.words_of(template))
-    weigh = lambda c: {w: n * m.idf.get(w, L.OTHER) for w, n in c.items()}
-    x, y = weigh(a), weigh(b)
+def cosine(idf, words, template):
+    a, b = Counter(words), Counter(L.words_of(template))
+    x, y = ({w: n * idf(w) for w, n in c.items()} for c in (a, b))
     norm = lambda v: math.sqrt(sum(i * i for i in v.values()))
     return sum(x[w] * y[w] for w in x.keys() & y.keys()) / (norm(x) * norm(y)) if x else 0.0
 
 
+def plain_scan(idf, text, templates):
+    """licence -> best cosine of every window of a notice's length, and the best cosine of the whole text."""
+    every = [*templates, *((n, f"SPDX-License-Identifier: {n}") for n in sorted({n for n, _ in templates}))]
+    words = L.words_of(text)
+    windows, whole = [], 0.0
+    for name, template in every:
+        m = min(len(L.words_of(template)), len(words))
+        for i in range(len(words) - m + 1 if words else 0):
+            if (c := round(cosine(idf, words[i : i + m], template), 6)) >= L.COSINE:
+                windows.append((-c, name, i, i + m))
+        whole = max(whole, cosine(idf, words, template))
+    found, taken = {}, []
+    for c, name, i, j in sorted(windows):  # of overlapping licences the best one stays
+        if all(name == other or j <= a or b <= i for other, a, b in taken):
+            taken.append((name, i, j))
+            found[name] = max(found.get(name, 0.0), -c)
+    return found, whole
+
+
 def run(spark, rows):
     return {r.doc_id: r for r in L.scan(spark.createDataFrame(rows, SCHEMA), F.col("path")).collect()}
 
@@ -48,25 +67,48 @@ def test_top_directory_declares_for_all(spark):
     assert got[2].from_dir == "" and got[3].licence == "MIT"
 
 
-def test_scan_equals_plain_cosine():
-    """Every run of lines against every template, without anchors."""
-    frequency = {w: 400 for w in ("the", "under", "this", "is", "of", "to", "in", "and")} | {"license": 30, "licensed": 25}
-    m = L.Matcher(L.TEMPLATES, frequency, 500)
-    every = [*L.TEMPLATES, *((n, f"SPDX-License-Identifier: {n}") for n in {n for n, _ in L.TEMPLATES})]
+def test_whole_scan_equals_brute_force(spark):
+    """Counts of all words over all texts, every window against every notice, without anchors, slots or bounds."""
+    rnd = random.Random(3)
+    common = ["the", "under", "this", "is", "of", "to", "in", "and", "a", "version", "license"]
     parts = [t for _, t in L.TEMPLATES] + ["the under this is of", "license", "Copyright 2020 Someone", "", "x y z", "SPDX-License-Identifier: MIT", "the license the version 3"]
-    for i in range(len(parts)):
-        lines = [parts[i], parts[(i * 7 + 3) % len(parts)], parts[(i * 5 + 1) % len(parts)], "licensed under", parts[(i * 3) % len(parts)]]
-        want: dict[str, float] = {}
-        for s in range(len(lines)):
-            for e in range(s + 1, min(len(lines), s + L.RUN) + 1):
-                scores = [(round(c, 6), n) for n, t in every if (c := cosine(m, "\n".join(lines[s:e]), t)) >= L.COSINE]
-                if scores:
-                    top = max(x for x, _ in scores)
-                    name = min(n for x, n in scores if x == top)
-                    want[name] = max(want.get(name, 0), top)
-        found, whole = m.scan("\n".join(lines))
-        assert dict((n, s) for s, n in found) == want
-        assert (whole is not None) == any(cosine(m, "\n".join(lines), t) >= L.COSINE for _, t in every)
+    rows = []
+    for i in range(60):
+        lines = [" ".join(rnd.choice(common) if rnd.random() < 0.6 else f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(12))) for _ in range(rnd.randrange(6))]
+        for _ in range(rnd.randrange(3)):
+            words = rnd.choice(parts).split()
+            for _ in range(rnd.randrange(3)):
+                words.insert(rnd.randrange(len(words) + 1), f"w{rnd.randrange(300)}")
+            lines.insert(rnd.randrange(len(lines) + 1), (" " if rnd.random() < 0.5 else "\n// ").join(words))
+        rows.append(row(i, f"d/{i}", "\n".join(lines)))
+    texts = {r[0]: r[2] for r in rows}
+    df = Counter(w for t in texts.values() for w in set(L.words_of(t)))
+    idf = lambda w: math.log((1 + len(rows)) / (1 + df[w])) + 1
+    got = {r.doc_id: r for r in L.scan(spark.createDataFrame(rows, SCHEMA), F.col("path"), full=[]).collect()}
+    assert sum(r.basis != "none" for r in got.values()) > 20
+    for i, text in texts.items():
+        found, whole = plain_scan(idf, text, L.TEMPLATES)
+        sure = {n for n, c in found.items() if c > L.COSINE + 1e-5}
+        assert sure <= set(filter(None, got[i].licences.split(","))) <= set(found), text
+        if sure:
+            assert abs(got[i].score - (whole if whole >= L.COSINE else max(found.values()))) < 1e-5
+        assert (got[i].basis == "file") == (whole >= L.COSINE)
+
+
+def test_line_breaks_do_not_matter(spark):
+    """A notice on one line, over nine and one word a line scores alike, wherever it stands."""
+    filler = "\n".join(f"line {i} of plain words that say nothing" for i in range(30))
+    notice = next(t for n, t in L.TEMPLATES if n == "GPL-3.0" and len(t) > 150)
+    words = notice.split()
+    step = -(-len(words) // 9)
+    shapes = [notice, "\n * ".join(" ".join(words[i : i + step]) for i in range(0, len(words), step)), "\n# ".join(words)]
+    got = run(spark, [row(i, f"d{i}/x", f"{filler}\n/* {s} */\n{filler}") for i, s in enumerate(shapes)])
+    assert {(r.licence, r.basis, r.score) for r in got.values()} == {("GPL-3.0", "header", 1.0)}
+
+
+def test_a_very_long_text(spark):
+    got = run(spark, [row(1, "a/x", "plain words here " * 100_000 + GPL), row(2, "a/y", "license " * 100_000)])
+    assert (got[1].licence, got[1].basis) == ("GPL-3.0", "header") and got[2].basis == "none"
 
 
 def test_a_hot_directory(spark):
