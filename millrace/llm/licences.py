@@ -222,25 +222,25 @@ def _frequency(batches: Iterator[pa.RecordBatch], vocabulary: frozenset[str]) ->
     used = np.flatnonzero(strips.any(axis=1))
     yield pa.RecordBatch.from_arrays(
         [pa.array([*total, *[None] * len(used)], pa.string()), pa.array([*total.values(), *used.tolist()], pa.int64()),
-         pa.array([*[None] * len(total), *(strips[i].tolist() for i in used)], pa.list_(pa.int64()))], names=["word", "n", "strip"])
+         pa.array([*[None] * len(total), *(strips[i].tobytes() for i in used)], pa.binary())], names=["word", "n", "strip"])
 
 
 def _added(strips: pa.Table) -> pa.Table:
     """The sum of one strip's counts."""
-    sums = np.sum([x.values.to_numpy() for x in strips["strip"]], axis=0)
-    return pa.table({"i": strips["i"][:1], "strip": pa.array([sums.tolist()], pa.list_(pa.int64()))})
+    sums = np.sum([np.frombuffer(x.as_py(), np.int64) for x in strips["strip"]], axis=0)
+    return pa.table({"i": strips["i"][:1], "strip": pa.array([sums.tobytes()], pa.binary())})
 
 
 def matchers_for(texts: DataFrame, templates: Sequence[tuple[str, str]], files: Sequence[tuple[str, str]]) -> tuple[Matcher, Matcher]:
     """Of notices and of full texts. The vocabulary and the number of slots bound what is collected."""
     vocabulary = frozenset(w for _, t in [*templates, *files] for w in words_of(t)) | frozenset(w for n, _ in templates for w in words_of(f"SPDX-License-Identifier: {n}"))
-    counts = written(texts.select("raw").mapInArrow(lambda it: _frequency(it, vocabulary), "word string, n long, strip array<long>"), "licence-counts")
+    counts = written(texts.select("raw").mapInArrow(lambda it: _frequency(it, vocabulary), "word string, n long, strip binary"), "licence-counts")
     seen = {r["word"]: r["n"] for r in counts.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     documents = seen.pop("", 0)
     slots = np.zeros((SLOTS // STRIP, STRIP), np.int64)
-    strips = counts.where("strip is not null").select(F.col("n").alias("i"), "strip").groupBy("i").applyInArrow(_added, "i long, strip array<long>")
+    strips = counts.where("strip is not null").select(F.col("n").alias("i"), "strip").groupBy("i").applyInArrow(_added, "i long, strip binary")
     for r in strips.toLocalIterator():
-        slots[r["i"]] = r["strip"]
+        slots[r["i"]] = np.frombuffer(r["strip"], np.int64)
     return Matcher(templates, seen, slots.reshape(-1), documents), Matcher(files, seen, slots.reshape(-1), documents, tags=False)
 
 
