@@ -4,12 +4,65 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.sources.storage import scratch, shared_dir, written
 
-__all__ = ["joined_by_share", "scratch", "shared_dir", "utf8", "written"]
+__all__ = ["bitmap_of", "in_bitmap", "joined_by_share", "rolled", "scratch", "shared_dir", "utf8", "written"]
+
+#: Least and most bits (powers of two) of a bitmap.
+BITMAP_LEAST, BITMAP_MOST = 25, 28
+#: Odd factors that a shingle's words are mixed with.
+STEP = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9, 0xABC98388FB8FAC03], dtype=np.uint64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def rolled(words: list[bytes], size: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` words from each position on; none for fewer words."""
+    from xxhash import xxh3_64_intdigest as h
+
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    w = np.fromiter(map(h, words), dtype=np.uint64, count=len(words))
+    s = w[:n]
+    for i in range(1, size):
+        s = mixed(s * STEP[i % len(STEP)] + w[i : i + n])
+    return s
+
+
+def bitmap_of(values: DataFrame) -> bytes:
+    """A bitmap of the longs in the only column of ``values``, one bit for each value's low bits: about
+    16 bits a value, within fixed bounds. Few other values have their bit set; none of these is missed."""
+    bits = 1 << min(BITMAP_MOST, max(BITMAP_LEAST, (16 * values.count()).bit_length()))
+    at = F.pmod(F.col(values.columns[0]), F.lit(bits)).cast("long")
+    pages = (
+        values.select(at.alias("at"))
+        .groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("page"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("bits"))
+    )
+    page_bytes = 4096
+    out = bytearray(bits // 8)
+    for r in pages.toLocalIterator():
+        start = (r["page"] - 1) * page_bytes
+        out[start : start + page_bytes] = r["bits"]
+    return bytes(out)
+
+
+def in_bitmap(values: np.ndarray, bitmap: bytes) -> np.ndarray:
+    """Which of the 64-bit values have their bit set."""
+    at = values.view(np.uint64) & np.uint64(len(bitmap) * 8 - 1)
+    held = np.frombuffer(bitmap, dtype=np.uint8)
+    return (held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def utf8(text: str | Column) -> Column:

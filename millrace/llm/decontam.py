@@ -7,9 +7,10 @@ rarest shingle, so that one shingle is the window's prefix. Joining documents wi
 prefixes gives candidates at known positions; a candidate must fit into the document (positional
 and length bounds) and is then compared word by word, over the window's whole length.
 
-Windows are cut into blocks of bounded size. One block (the usual case) is joined where the
-documents are read, without any shuffle. More blocks are joined one after the other, and what
-they find is merged for each document, so a benchmark of any size is matched exactly.
+Up to ``BLOCK_BYTES`` of benchmark text, windows are broadcast and joined where the documents are
+read, without any shuffle. Beyond, the same join is one of tables: documents are passed three times
+(to count shingles, to give the places of prefixes with the words around them, to take the answers),
+however large the benchmark is, and bitmaps of bounded size keep out shingles that no window has.
 
 Null and odd cases: a null text has no words and is not contaminated; an item without words has no
 window; words are found in texts of any length; repeated documents give repeated rows; an item
@@ -24,16 +25,19 @@ import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import utf8, written
+from millrace.llm.common import bitmap_of, in_bitmap, joined_by_share, rolled, utf8, written
 
 SHINGLE = 3
-#: UTF-8 bytes of benchmark text in one block.
+#: Most UTF-8 bytes of benchmark text that are broadcast.
 BLOCK_BYTES = 1 << 20
+#: Hashes held in a task before they are added up and handed on.
+HELD = 1 << 20
 #: ASCII letters in lower case and digits stay, so do all bytes above ASCII; the rest separates words.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -55,7 +59,7 @@ def shingles_of(words: list[bytes], size: int) -> list:
 
 
 class Block:
-    """The windows of a part of the items, with an index by prefix once rarity is known."""
+    """The windows of items of bounded size, with an index by prefix once rarity is known."""
 
     def __init__(self, items: Iterable[tuple[str | None, bytes]], window: int):
         owners: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
@@ -105,12 +109,12 @@ def find(words: list[bytes], index: dict[int, dict]) -> tuple[list[tuple[int, in
     return merged, items
 
 
-def _count(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], wanted_by_size: dict[int, set]) -> Iterator[pa.RecordBatch]:
     total: Counter = Counter()
     for batch in batches:
         for raw in batch["raw"]:
             words = words_of(raw.as_py())
-            for size, wanted in block.wanted.items():
+            for size, wanted in wanted_by_size.items():
                 total.update(_key(x) for x in shingles_of(words, size) if x in wanted)
     if total:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["shingle", "n"])
@@ -118,7 +122,8 @@ def _count(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.Recor
 
 def rarity(docs: DataFrame, block: Block) -> Counter:
     """How often each of the block's shingles occurs in all documents; the block bounds the result."""
-    rows = docs.select(utf8("text").alias("raw")).mapInArrow(lambda it: _count(it, block), "shingle binary, n long")
+    shared = docs.sparkSession.sparkContext.broadcast(block.wanted)
+    rows = docs.select(utf8("text").alias("raw")).mapInArrow(lambda it: _count(it, shared.value), "shingle binary, n long")
     return Counter({bytes(r["shingle"]): r["n"] for r in rows.groupBy("shingle").agg(F.sum("n").alias("n")).toLocalIterator()})
 
 
@@ -143,63 +148,124 @@ def _scan(batches: Iterator[pa.RecordBatch], index: dict[int, dict]) -> Iterator
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *own], names=["doc_id", *(f.name for f in DIGEST)])
 
 
-def _scan_block(batches: Iterator[pa.RecordBatch], index: dict[int, dict]) -> Iterator[pa.RecordBatch]:
-    """Each document's key, with the stretches and items of this block, where there are any."""
-    kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+def _bytes_of(benchmark: DataFrame) -> int:
+    return benchmark.agg(F.sum(F.octet_length(utf8("text")))).first()[0] or 0
+
+
+def _small_index(docs: DataFrame, benchmark: DataFrame, window: int) -> dict[int, dict]:
+    """The windows of a benchmark of bounded size by prefix."""
+    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), utf8("text").alias("raw"))
+    block = Block(((r["item_id"], bytes(r["raw"])) for r in items.toLocalIterator()), window)
+    return block.ranked(rarity(docs, block)) if block.windows else {}
+
+
+def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """window (its words), n, item_id, and the hashes of its shingles in order."""
+    for batch in batches:
+        rows = []
+        for item, raw in zip(batch["item_id"].to_pylist(), batch["raw"], strict=True):
+            for w in windows_of(words_of(raw.as_py()), window):
+                rows.append((b" ".join(w).decode(), len(w), item, rolled(list(w), min(SHINGLE, len(w))).view(np.int64).tolist()))
+        cols = zip(*rows, strict=True) if rows else ([], [], [], [])
+        types = (pa.string(), pa.int32(), pa.string(), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=["window", "n", "item_id", "shingles"])
+
+
+def _count_held(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: bytes) -> Iterator[pa.RecordBatch]:
+    """How often shingles occur whose bits are set, partly added up."""
+    held: list[np.ndarray] = []
+
+    def flush() -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    for batch in batches:
+        for raw in batch["raw"]:
+            words = words_of(raw.as_py())
+            for size in sizes:
+                h = rolled(words, size)
+                held.append(h[in_bitmap(h, bitmap)])
+        if sum(map(len, held)) > HELD:
+            yield flush()
+    if held:
+        yield flush()
+
+
+def _places(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: bytes, window: int) -> Iterator[pa.RecordBatch]:
+    """Where prefixes may be: the text's key, the shingle's hash, how many words of it come before in
+    ``words``, the place of the first of these, and the words around it."""
+    names = ["key", "h", "ahead", "first", "words"]
+    types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
     for batch in batches:
-        keep, spans, items = [], [], []
-        for i, raw in enumerate(batch["raw"]):
-            s, own = find(words_of(raw.as_py()), index)
-            if s:
-                keep.append(i)
-                spans.append([{"a": a, "b": b} for a, b in s])
-                items.append(sorted(own))
-        yield pa.RecordBatch.from_arrays([batch["key"].take(pa.array(keep, pa.int64())), pa.array(spans, pa.list_(kind)), pa.array(items, pa.list_(pa.string()))], names=["key", "spans", "items"])
-
-
-def blocks_of(benchmark: DataFrame, block_bytes: int, window: int) -> Iterator[Block]:
-    """Items dealt to blocks by a hash; each block is fetched on its own."""
+        rows = []
+        for raw in batch["raw"]:
+            text = raw.as_py()
+            words = words_of(text)
+            key = None
+            for size in sizes:
+                h = rolled(words, size)
+                for at in np.flatnonzero(in_bitmap(h, bitmap)).tolist():
+                    key = key or hashlib.sha256(text).hexdigest()
+                    first = max(0, at - window)
+                    rows.append((key, int(h[at].view(np.int64)), at - first, first, [w.decode("utf-8", "replace") for w in words[first : at + window]]))
+            if len(rows) > 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+
+def _joined(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """key (the text's SHA-256), spans and items of every contaminated text, by joins of tables."""
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    texts = docs.select(utf8("text").alias("raw"))
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), utf8("text").alias("raw"))
-    total = items.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    for b in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "raw"), F.lit(n)) == b)
-        yield Block(((r["item_id"], bytes(r["raw"])) for r in part.toLocalIterator()), window)
+    owned = written(items.mapInArrow(lambda it: _windows(it, window), "window string, n int, item_id string, shingles array<long>").distinct(), "decontam-windows")
+    windows = written(owned.select("window", "n", "shingles").distinct(), "decontam-distinct")
+    sizes = sorted(r["s"] for r in windows.select(F.least(F.col("n"), F.lit(SHINGLE)).alias("s")).distinct().collect())  # SHINGLE rows at most
+    own = windows.select("window", "n", F.posexplode("shingles").alias("offset", "h"))
+    held = broadcast(bitmap_of(own.select("h").distinct()))
+    counts = texts.mapInArrow(lambda it: _count_held(it, sizes, held.value), "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
+    rarest = F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "h", "offset")).alias("p")
+    prefix = own.join(counts, "h", "left").groupBy("window", "n").agg(rarest).select("p.h", "p.offset", "window", "n")
+    prefix = written(prefix, "decontam-prefixes")
+    wanted = broadcast(bitmap_of(prefix.select("h").distinct()))
+    kind = "key string, h long, ahead int, first int, words array<string>"
+    places = texts.mapInArrow(lambda it: _places(it, sizes, wanted.value, window), kind).distinct()  # equal texts count once
+    start = F.col("ahead") - F.col("offset")
+    found = places.join(prefix, "h").where(start >= 0).where(F.array_join(F.slice("words", start + 1, F.col("n")), " ") == F.col("window"))
+    span = F.struct((F.col("first") + start).cast("long").alias("a"), (F.col("first") + start + F.col("n")).cast("long").alias("b"))
+    found = written(found.select("key", "window", span.alias("span")).distinct(), "decontam-found")
+    spans = found.groupBy("key").agg(F.collect_set("span").alias("spans"))  # as many as the text has words, at most
+    named = found.select("key", "window").distinct().join(owned.where(F.col("item_id").isNotNull()).select("window", "item_id"), "window")
+    listed = named.select("key", "item_id").distinct().groupBy("key").agg(F.collect_list("item_id").alias("items"))
+    return written(spans.join(listed, "key", "left"), "decontam-hits")
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
-    blocks = blocks_of(benchmark, block_bytes, window)
-    block, more = next(blocks), next(blocks, None)
-    schema = T.StructType([docs.schema["doc_id"], *DIGEST])
     rows = docs.select("doc_id", utf8("text").alias("raw"))
-    if more is None:
-        index = block.ranked(rarity(docs, block)) if block.windows else {}
-        return _with_index(rows, _scan, index, schema)
-    key = F.sha2("raw", 256)
-    keyed = rows.select(key.alias("key"), "raw")
-    kind = "key string, spans array<struct<a:bigint,b:bigint>>, items array<string>"
-    parts = []
-    todo: list[Block | None] = [block, more]
-    while todo:
-        b = todo.pop(0)
-        if b.windows:
-            part = _with_index(keyed, _scan_block, b.ranked(rarity(docs, b)), kind).distinct()
-            parts.append(written(part, "decontam-block"))
-        if not todo and (b := next(blocks, None)) is not None:
-            todo.append(b)
-    found = parts[0] if parts else docs.sparkSession.createDataFrame([], kind)
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    merged = found.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    counted = rows.select("doc_id", key.alias("key"), _word_count(F.col("raw")).alias("n_words")).join(merged, "key", "left")
-    return counted.select(
-        "doc_id",
-        "n_words",
+    if _bytes_of(benchmark) <= block_bytes:
+        return _with_index(rows, _scan, _small_index(docs, benchmark, window), T.StructType([docs.schema["doc_id"], *DIGEST]))
+    hits = _joined(docs, benchmark, window)
+    narrow = written(rows.select("doc_id", F.sha2("raw", 256).alias("key"), _word_count(F.col("raw")).alias("n_words")), "decontam-rows")
+    copies = narrow.join(hits.select("key"), "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    digests = hits.select(
+        "key",
         _covered(F.col("spans")).alias("n_hit"),
-        F.when(F.col("items").isNull(), F.lit(0)).otherwise(F.size("items")).cast("long").alias("n_items"),
+        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join(F.array_sort("items"), ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
-        F.col("spans").isNotNull().alias("contaminated"),
+    )
+    digests = written(digests.join(copies, "key"), "decontam-digests")
+    out = joined_by_share(narrow, F.col("key"), digests, "key", "copies", narrow.count())
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.when(F.col("n_hit").isNull(), F.lit(0)).otherwise(F.col("n_items")).cast("long").alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
+        F.col("n_hit").isNotNull().alias("contaminated"),
     )
 
 
@@ -225,19 +291,17 @@ def _covered(spans: Column) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents without those that hold a window of an item, all columns kept."""
     own = docs.columns
+    if _bytes_of(benchmark) > block_bytes:
+        # the keys of contaminated texts; whole rows only move if these are too many to be broadcast
+        hit = _joined(docs, benchmark, window).select(F.col("key").alias("_hit"))
+        return docs.join(hit, F.sha2(utf8("text"), 256) == F.col("_hit"), "left_anti").select(*[F.col(f"`{c}`") for c in own])
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), utf8("text").alias("raw"))
     schema = T.StructType([kept.schema["row"], kept.schema["raw"]])
-    for index in _indexes(docs, benchmark, window, block_bytes):
+    if index := _small_index(docs, benchmark, window):
         kept = _with_index(kept, _clean, index, schema)
     return kept.select(*[F.col("row")[c].alias(c) for c in own])
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[dict[int, dict]]:
-    for block in blocks_of(benchmark, block_bytes, window):
-        if block.windows:
-            yield block.ranked(rarity(docs, block))
-
-
 def _clean(batches: Iterator[pa.RecordBatch], index: dict[int, dict]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         clean = pa.array([not find(words_of(raw.as_py()), index)[0] for raw in batch["raw"]], pa.bool_())

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import utf8, written
+from millrace.llm.common import STEP, bitmap_of, in_bitmap, mixed, rolled, utf8, written
 
 BANDS, ROWS, BITS = 32, 5, 4
 HASHES = BANDS * ROWS
@@ -56,8 +56,6 @@ BLOCK, LARGE = 256, 1 << 16
 PARTNERS = 3
 #: One-bit values of the second signature.
 LONG = 4096
-#: Least and most bits (powers of two) of the filter that keeps the texts of non-candidates out of the confirming shuffle.
-FILTER_LEAST, FILTER_MOST = 25, 28
 #: Stands for the chunks that hold several components.
 MIXED = -(1 << 63)
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -68,21 +66,12 @@ def _constants(name: str, n: int, dtype) -> np.ndarray:
     return np.frombuffer(raw, dtype=dtype).copy()
 
 
-STEP = _constants("step", 8, np.uint64) | np.uint64(1)
 FACTOR = _constants("factor", HASHES, np.uint32) | np.uint32(1)
 SHIFT = _constants("shift", HASHES, np.uint32)
 LONG_FACTOR = _constants("long factor", LONG, np.uint32) | np.uint32(1)
 LONG_SHIFT = _constants("long shift", LONG, np.uint32)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def words_of(raw: bytes | None) -> list[bytes]:
     return (raw or b"").translate(LOWER).split()
 
@@ -93,12 +82,7 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
 
     if len(words) < size:
         return np.array([h(b" ".join(words), 1)] if words else [], dtype=np.uint64)
-    w = np.fromiter(map(h, words), dtype=np.uint64, count=len(words))
-    n = len(words) - size + 1
-    s = w[:n]
-    for i in range(1, size):
-        s = _mixed(s * STEP[i % len(STEP)] + w[i : i + n])
-    return np.unique(s)
+    return np.unique(rolled(words, size))
 
 
 def minima(shingles: np.ndarray, factor: np.ndarray = FACTOR, shift: np.ndarray = SHIFT) -> np.ndarray:
@@ -125,7 +109,7 @@ def band_hashes(mins: np.ndarray) -> np.ndarray:
     m = mins.reshape(BANDS, ROWS).astype(np.uint64)
     x = np.arange(1, BANDS + 1, dtype=np.uint64) * STEP[0]
     for i in range(ROWS):
-        x = _mixed(x * STEP[1] + m[:, i])
+        x = mixed(x * STEP[1] + m[:, i])
     return x.view(np.int64)
 
 
@@ -285,11 +269,9 @@ def _second_units(members: DataFrame) -> DataFrame:
     return placed.join(tiles, ["bucket", "of", "i"]).select("unit", "bucket", "cid", "label", "n", "side", "sig", "buckets")
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int, bits: bytes) -> Iterator[pa.RecordBatch]:
-    wanted = np.frombuffer(bits, dtype=np.uint8)
+def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int, wanted: bytes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = batch["at"].to_numpy()
-        keep = np.flatnonzero((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+        keep = np.flatnonzero(in_bitmap(batch["at"].to_numpy(), wanted))
         part = batch.take(pa.array(keep))
         sets = [shingle_hashes(words_of(raw.as_py()), size).view(np.int64) for raw in part["raw"]]
         yield pa.RecordBatch.from_arrays([part["id"], pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
@@ -298,24 +280,12 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch], size: int, bits: bytes) ->
 def full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """cid, shingles of the classes in ``nodes`` (cid).
 
-    A bitmap, one bit for each candidate's hashed id, lets other texts fall away where they are read;
-    what slips through falls away in the join. It has 16 bits a candidate, within fixed bounds.
+    A bitmap of the candidates' hashed ids lets other texts fall away where they are read; what slips
+    through falls away in the join.
     """
-    filter_bits = 1 << min(FILTER_MOST, max(FILTER_LEAST, (16 * nodes.count()).bit_length()))
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(filter_bits)).cast("long")
-    pages = (
-        nodes.select(at("cid").alias("at"))
-        .groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("page"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("bits"))
-    )
-    page_bytes = 4096
-    bits = bytearray(filter_bits // 8)
-    for r in pages.toLocalIterator():
-        start = (r["page"] - 1) * page_bytes
-        bits[start : start + page_bytes] = r["bits"]
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(bits))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(nodes.select(F.xxhash64("cid"))))
     named = F.col("doc_id").try_cast("long")
-    rows = docs.where(named.isNotNull()).select(named.alias("id"), at(named).alias("at"), utf8("text").alias("raw"))
+    rows = docs.where(named.isNotNull()).select(named.alias("id"), F.xxhash64(named).alias("at"), utf8("text").alias("raw"))
     sets = rows.mapInArrow(lambda it: _shingle_sets(it, size, shared.value), "id long, shingles array<long>")
     return sets.join(nodes.select(F.col("cid").alias("id")), "id", "left_semi").select(F.col("id").alias("cid"), "shingles")
 

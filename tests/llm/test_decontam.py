@@ -51,3 +51,35 @@ def test_prefix_is_the_rarest_shingle():
     counts = {b"the of the": 90, b"of the of": 80, b"the of rare": 1, b"of rare the": 2, b"rare the of": 2}
     index = block.ranked(Counter(counts))
     assert list(index[3]) == [(b"the", b"of", b"rare")] and index[3][(b"the", b"of", b"rare")][0][0] == 2
+
+
+def test_passes_do_not_grow_with_the_benchmark(spark):
+    """How often the documents are read, counted by a function that every read runs."""
+    from pyspark.sql import functions as F
+
+    docs, _ = example(5)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    passes = []
+    for n in (4, 60):
+        items = [(i, f"rare{i} of the a x1 É rare{i % 7} the the of {i}") for i in range(n)]
+        d, b = frames(spark, docs, items)
+        d = d.withColumn("text", F.udf(counted, "string").asNondeterministic()("text"))
+        before = seen.value
+        got = decontam.scan(d, b, 10, block_bytes=40).collect()
+        passes.append((seen.value - before) / len(docs))
+        assert sorted(map(tuple, got), key=str) == sorted(brute.contamination(docs, items, 10), key=str)
+    assert passes[0] == passes[1] <= 3
+
+
+def test_one_text_in_a_third_of_all_rows_by_joins(spark):
+    item = "a b c d e f g h i j k"
+    docs = [(i, f"x {item} y" if i % 3 == 0 else f"plain {i}") for i in range(900)]
+    d, b = frames(spark, docs, [(1, item), (2, "q " * 30)])
+    got = decontam.scan(d, b, 10, block_bytes=10).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.contamination(docs, [(1, item)], 10))
+    assert decontam.decontaminate(d, b, 10, block_bytes=10).count() == 600
