@@ -50,6 +50,18 @@ def test_walk_equals_sequential(spark, seed):
             assert got[s][2] == figures[s][2]
 
 
+def test_odd_source_ids(spark):
+    """An empty id, null and ids that look like paths are sources like any other."""
+    names = ["", None, "a/b", "__HIVE_DEFAULT_PARTITION__", "x=y", " "]
+    rows = [(names[i % 6], i, f"h{i % 40}", 3, hashlib.md5(str(i).encode()).hexdigest()) for i in range(120)]
+    df = spark.createDataFrame(rows, "source_id string, row_id long, prompt_hash string, tokens long, key string")
+    order = [(n, q) for n, q in zip(names, (9, None, 20, 10**6, 1, None), strict=True)]
+    picked, stats = priority_select(df, [Part(s, q) for s, q in order], strict=False)
+    want, figures = sequential([(s, *r) for s, *r in rows], order)
+    assert {(r.source_id, r.row_id) for r in picked.collect()} == want
+    assert {r.source_id: (r.selected_rows, r.selected_tokens, r.duplicates_skipped) for r in stats.collect()} == figures
+
+
 def test_shortfall_is_an_error(spark):
     df = spark.createDataFrame([("a", 1, "h", 5, "0" * 32)], "source_id string, row_id long, prompt_hash string, tokens long, key string")
     with pytest.raises(RecipeError):
