@@ -17,7 +17,7 @@ from millrace.operators.normalize import CANONICAL, normalized
 from millrace.operators.select import Part, claims, order_key, priority_select
 from millrace.plans import artifact
 from millrace.plans.recipe import ALL_ONCE, WEIGHTED, Recipe, RecipeError, Source
-from millrace.sources.scan import scan
+from millrace.sources.scan import scan, table_digest
 from millrace.sources.storage import written
 
 
@@ -105,7 +105,7 @@ def build(spark: SparkSession, recipe: Recipe, root: Path, output: Path, counter
         "target_tokens": recipe.target_tokens, "consume_once_tokens": fixed, "selected_tokens": total, "selected_rows": table.count(),
         "min_tokens_per_example": recipe.min_tokens_per_example, "max_tokens_per_example": recipe.max_tokens_per_example, "sources": described,
     }
-    artifact.write_manifest(output, doc)
+    artifact.write_manifest(spark, output, doc)
     return artifact.read_manifest(output)
 
 
@@ -115,7 +115,7 @@ def validate(spark: SparkSession, recipe: Recipe, output: Path, full: bool = Tru
     path = output / artifact.TABLE
     if doc.get("recipe") != recipe.version or doc.get("target_tokens") != recipe.target_tokens:
         raise RecipeError("the manifest is of another recipe")
-    if artifact.digest_of(path) != doc["output"]["sha256"]:
+    if table_digest(spark, path) != doc["output"]["sha256"]:
         raise RecipeError("the table's digest differs from the manifest")
     table = spark.read.parquet(str(path))
     if table.count() != doc["selected_rows"]:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterable, Mapping, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans.recipe import RecipeError
-from millrace.sources.scan import sha256_file
 
 MATRIX = "model_id string, model_path string, task string, capability string, num_fewshot int, max_gen_toks int"
 RESULT = "model_id string, task string, metric string, value double, stderr double, num_fewshot int, result_sha256 string"
@@ -23,22 +24,25 @@ def only_result(folder: Path) -> Path:
     return found[0]
 
 
-def read_result(path: Path, model: str, task: str) -> list[tuple]:
-    """Rows of RESULT: every numeric metric of a task with its standard error, if given."""
-    doc = json.loads(path.read_text(encoding="utf-8"))
-    values = doc["results"][task]
-    number = lambda v: float(v) if isinstance(v, (int, float)) else None
-    digest, shots = sha256_file(path), doc.get("n-shot", {}).get(task)
-    return [
-        (model, task, metric, number(v), number(values.get(metric.replace(",", "_stderr,", 1))), shots, digest)
-        for metric, v in values.items()
-        if number(v) is not None and "_stderr," not in metric
-    ]
-
-
-def read_results(spark: SparkSession, root: Path, pairs: list[tuple[str, str]]) -> DataFrame:
-    """The results of every (model, task), each below root/model/task."""
-    rows = [r for model, task in pairs for r in read_result(only_result(root / model / task), model, task)]
+def read_result(path: Path, model: str, task: str, primary: Sequence[str]) -> list[tuple]:
+    """Rows of RESULT: the task's primary metrics, each with its standard error if there is one.
+    Every primary metric must be there as a number; other metrics don't count."""
+    raw = path.read_bytes()
+    doc = json.loads(raw)
+    values = doc.get("results", {}).get(task)
+    if values is None:
+        raise RecipeError(f"{path}: no result of {task}")
+    numeric = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool)
+    if lacking := [m for m in primary if not numeric(values.get(m))]:
+        raise RecipeError(f"{path}: no number for {', '.join(lacking)}")
+    digest, shots = hashlib.sha256(raw).hexdigest(), doc.get("n-shot", {}).get(task)
+    error = lambda m: values.get(m.replace(",", "_stderr,", 1))
+    return [(model, task, m, float(values[m]), float(error(m)) if numeric(error(m)) else None, shots, digest) for m in primary]
+
+
+def read_results(spark: SparkSession, root: Path, models: Iterable[str], primary: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The results of every model on every task, each below root/model/task; ``primary`` has the tasks' primary metrics."""
+    rows = [r for model in models for task, metrics in primary.items() for r in read_result(only_result(root / model / task), model, task, metrics)]
     return spark.createDataFrame(rows, RESULT)
 
 

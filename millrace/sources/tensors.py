@@ -69,8 +69,8 @@ def measured(chunks: DataFrame) -> DataFrame:
     return each.groupBy("file", "name", "dtype").agg(*[F.sum(c).alias(c) for c in ("values", "nan", "inf")], F.max("absmax").alias("absmax"))
 
 
-def verdict(tensors: DataFrame, required: tuple[str, ...] = (), expected_tensors: int | None = None, expected_values: int | None = None) -> dict:
-    """tensors, values, nonfinite and what is wrong: duplicate or missing names, unexpected totals."""
+def verdict(tensors: DataFrame, required: tuple[str, ...] = (), expected_tensors: int | None = None, expected_values: int | None = None, dtype: str | None = None) -> dict:
+    """tensors, values, nonfinite and what is wrong: duplicate or missing names, unexpected totals, element types other than ``dtype``."""
     t = tensors.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("name").alias("d"), F.sum("values").alias("v"), F.sum(F.col("nan") + F.col("inf")).alias("bad")).first()
     there = {r["name"] for r in tensors.where(F.col("name").isin(*required)).select("name").distinct().collect()} if required else set()
     wrong = []
@@ -81,6 +81,9 @@ def verdict(tensors: DataFrame, required: tuple[str, ...] = (), expected_tensors
         wrong.append(f"{t['n']} tensors, not {expected_tensors}")
     if expected_values is not None and t["v"] != expected_values:
         wrong.append(f"{t['v']} values, not {expected_values}")
+    others = sorted(r["dtype"] for r in tensors.select("dtype").distinct().collect()) if dtype is not None else []  # element types are few
+    if dtype is not None and others != [dtype]:
+        wrong.append(f"element types are {', '.join(others)}, not {dtype}")
     if t["bad"]:
         wrong.append(f"{t['bad']} values aren't finite")
     return {"tensors": t["n"], "values": t["v"] or 0, "nonfinite": t["bad"] or 0, "wrong": wrong}

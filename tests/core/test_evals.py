@@ -27,9 +27,10 @@ def test_matrix_scores_and_choice(spark, tmp_path):
     for (m, t), v in values.items():
         folder = tmp_path / "eval" / m / t / "sub"
         folder.mkdir(parents=True)
-        doc = {"results": {t: {"acc,none": v, "acc_stderr,none": 0.01, "alias": t, "f1,x": v}}, "n-shot": {t: 4}}
+        doc = {"results": {t: {"acc,none": v, "acc_stderr,none": 0.01, "alias": t, "f1,x": v, "other,x": 77.0}}, "n-shot": {t: 4}}
         (folder / "results_1.json").write_text(json.dumps(doc))
-    rows = results.read_results(spark, tmp_path / "eval", list(values))
+    primary = {"t0": ["acc,none", "f1,x"], "t1": ["acc,none", "f1,x"]}
+    rows = results.read_results(spark, tmp_path / "eval", ["m0", "m1", "m2"], primary)
     assert rows.count() == 12 and rows.where("metric = 'acc,none' and stderr = 0.01").count() == 6 and rows.where("metric = 'f1,x' and stderr is null").count() == 6
     assert evals.required_rows(matrix.select("model_id", "task"), rows).isEmpty()
     assert evals.required_rows(matrix.select("model_id", "task"), rows.where("model_id <> 'm1'")).count() == 2
@@ -43,7 +44,10 @@ def test_matrix_scores_and_choice(spark, tmp_path):
     assert "Selected: **m1**" in evals.markdown(table, "T", [("x", "why")], "m1")
     (tmp_path / "eval" / "m0" / "t0" / "results_2.json").write_text("{}")
     with pytest.raises(RecipeError):
-        results.read_results(spark, tmp_path / "eval", [("m0", "t0")])
+        results.read_results(spark, tmp_path / "eval", ["m0"], {"t0": ["acc,none"]})
+    for wrong in (["missing,none"], ["alias"]):  # a primary metric must be there, as a number
+        with pytest.raises(RecipeError):
+            results.read_results(spark, tmp_path / "eval", ["m1"], {"t0": ["acc,none", *wrong]})
 
 
 def test_stderr_name(spark):

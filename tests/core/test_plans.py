@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.tokens import PatternCounter
 from millrace.plans import artifact, mix
-from millrace.plans.recipe import ALL_ONCE, Input, Recipe, RecipeError, Source, lint, load
+from millrace.plans.lint import RULES, Plan, broken, lint, model_violations
+from millrace.plans.recipe import ALL_ONCE, Input, Recipe, RecipeError, Source, load
 from millrace.sources import scan as S
 
 SCHEMA = "messages array<struct<role:string,content:string>>, language string, id string"
@@ -88,12 +89,12 @@ def test_resolve_snapshot(spark, tmp_path):
         spark.range(3).coalesce(1).write.parquet(str(root / "data" / f"p{i}.parquet"))
     source = Source("s", input=Input(kind="huggingface_snapshot", repo_id="org/set", revision="r" * 40, files="data/p*.parquet"))
     with pytest.raises(FileNotFoundError):
-        S.resolve(source, tmp_path)
-    doc = S.write_snapshot(root, "org/set", "r" * 40, ["data/*"])
+        S.resolve(spark, source, tmp_path)
+    doc = S.write_snapshot(spark, root, "org/set", "r" * 40, ["data/*"])
     assert json.loads((root / "snapshot.json").read_text())["manifest_sha256"] == doc["manifest_sha256"]
-    assert [p.name for p in S.resolve(source, tmp_path)] == ["p0.parquet", "p1.parquet"]
+    assert [p.path.split("/")[-1] for p in S.resolve(spark, source, tmp_path)] == ["p0.parquet", "p1.parquet"]
     with pytest.raises(RecipeError):
-        S.resolve(replace(source, input=replace(source.input, revision="x" * 40)), tmp_path)
+        S.resolve(spark, replace(source, input=replace(source.input, revision="x" * 40)), tmp_path)
     rows, figures = S.scan(spark, replace(source, max_input_files=1, max_raw_rows=2), tmp_path)
     assert rows.count() == 2 and figures["available_input_files"] == 2 and len(figures["resolved_files"]) == 1
     for bad in ({"max_input_files": 0}, {"max_raw_rows": -1}, {"input": replace(source.input, expected_rows=5)}, {"input": Input(kind="ftp")}):
@@ -110,10 +111,36 @@ def test_lint(tmp_path):
     training = {"max_length": 16, "max_steps": 2, "ranks": 2, "save_steps": 1, "save_total_limit": 2}
     twin = replace(good, sources=tuple(replace(s, selection="token_weighted", token_share=0.5, max_raw_rows=5000, max_input_files=1) for s in good.sources))
     assert lint(good, twin, training, first="p") == []
-    broken = replace(good, sources=(good.sources[1], replace(good.sources[0], token_share=0.2, expected_languages=None)), selection_order=("w",), model={"revision": "z"})
-    found = lint(broken, twin, {**training, "max_steps": 3}, first="p")
-    for part in ("selection_order must", "p must come first", "has a share", "lacks expected_languages", "before weighted", "the model has no pinned", "packed budget", "retention", "sanity sources differ", "the sanity model differs"):
-        assert any(part in x for x in found), part
+    bad = replace(good, sources=(good.sources[1], replace(good.sources[0], token_share=0.2, expected_languages=None)), selection_order=("w",), model={"revision": "z"})
+    found = {name for name, _ in broken(Plan(bad, twin, {**training, "max_steps": 3}, first="p"))}
+    assert found == {
+        "selection_order names every source once", "the fixed source comes first in selection_order", "a consume-once source has no share", "a consume-once source states what it expects",
+        "consume-once sources come before weighted ones", "the model is pinned to a commit", "the packed budget is the token target", "retention keeps every checkpoint",
+        "sanity sources are the recipe's, in order", "the sanity model is the recipe's",
+    }
+    s, t = good.sources[1], twin.sources[1]
+    one = lambda **k: replace(good, sources=(good.sources[0], replace(s, **k)))
+    two = lambda **k: replace(twin, sources=(twin.sources[0], replace(t, **k)))
+    run = {**training, "use_liger_kernel": True, "liger_kernel_config": {"rope": False, "cross_entropy": False, "fused_linear_cross_entropy": True, "rms_norm": False, "swiglu": False}}
+    cases = {
+        "source ids differ": Plan(one(id="p")), "weighted shares sum to one": Plan(one(token_share=0.9)), "a weighted source has a positive share": Plan(one(token_share=-1.0)),
+        "a selection is all_once or token_weighted": Plan(one(selection="some")), "a snapshot is pinned to a commit": Plan(one(input=replace(pinned, revision="main"))),
+        "a replay demands no reasoning": Plan(one(role="capability_replay", require_reasoning_trace=True)), "every source has a card": Plan(good, cards=tmp_path),
+        "the model has the expected architecture": Plan(replace(good, model={"revision": "a" * 40, "expected": {"x": 1}}), architecture={"x": 2}),
+        "a sanity source is weighted": Plan(good, two(selection="all_once")), "a sanity source has a positive row cap": Plan(good, two(max_raw_rows=0)),
+        "a sanity source has the reviewed row cap": Plan(good, two(max_raw_rows=9)), "a sanity source has the reviewed file cap": Plan(good, two(max_input_files=2)),
+        "sanity inputs are the recipe's": Plan(good, two(input=Input(path="/y"))), "sanity shares sum to one": Plan(good, two(token_share=0.4)),
+        "the sanity run's length is its longest example's": Plan(good, twin, trials={"sanity": {**training, "max_length": 8}}),
+        "the sanity target covers its packed budget": Plan(good, twin, trials={"sanity": {**training, "max_steps": 99}}),
+        "training length is the longest example's": Plan(good, settings={**training, "max_length": 8}), "checkpoints hold the optimizer": Plan(good, settings={**training, "save_only_model": True}),
+        "steps and save interval are the reviewed ones": Plan(good, settings=training, steps=5), "packing has the attention it needs": Plan(good, settings={**training, "packing": False}),
+        "a reduced run differs in size alone": Plan(good, settings=training, trials={"sanity": {**training, "learning_rate": 1}}),
+        "the loss is fused": Plan(good, settings=run, trials={"smoke": {**run, "use_liger_kernel": False}}), "the loss is on the assistant only": Plan(good, trials={"smoke": {"assistant_only_loss": False}}),
+        "job scripts have their lines": Plan(good, wrappers={"train": ("#SBATCH --nodes=8", ("#SBATCH --nodes=9",))}), "the mask template is there": Plan(good, template=tmp_path / "none"),
+    }
+    for name, plan in cases.items():
+        assert name in {n for n, _ in broken(plan)}, name
+    assert set(cases) | found == set(RULES)
     (tmp_path / "r.yaml").write_text("version: v\ntarget_tokens: 5\nsources:\n- id: a\n  token_share: 1.0\n  input: {kind: local_parquet, path: /x}\n  extra: 1\n")
     assert load(tmp_path / "r.yaml").sources[0].input.path == "/x"
 
@@ -125,3 +152,49 @@ def test_run_record(tmp_path):
     got = artifact.record_run(path, "2", "completed", {"container": "c"})
     assert [(a["job_id"], a["status"]) for a in got["attempts"]] == [("1", "failed"), ("2", "completed")]
     assert got["attempts"][0]["exit_code"] == 3 and got["container"] == "c"
+
+
+def test_promotion_preconditions(tmp_path):
+    def built(name, **changes):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / artifact.TABLE).write_bytes(b"parquet")
+        (folder / artifact.CLAIMS).write_bytes(b"claims")
+        doc = {"repository_git_sha": "a" * 40, "selected_tokens": 101, "target_tokens": 100, "output": {"path": str(folder / artifact.TABLE), "bytes": 7, "sha256": "b" * 64}}
+        doc = {**doc, **{k: v for k, v in changes.items() if k != "output"}, "output": {**doc["output"], **changes.get("output", {})}}
+        (folder / artifact.MANIFEST).write_text(json.dumps(doc))
+        return folder
+
+    cases = [{"repository_git_sha": "c"}, {"selected_tokens": 99}, {"output": {"path": "/other"}}, {"output": {"bytes": 8}}, {"output": {"sha256": "b" * 63}}]
+    broken_rules = [artifact.unmet(artifact.Built(f := built(f"bad{i}", **c), artifact.read_manifest(f), "a" * 40)) for i, c in enumerate(cases)]
+    empty = built("empty")
+    (empty / artifact.CLAIMS).write_bytes(b"")
+    broken_rules.append(artifact.unmet(artifact.Built(empty, artifact.read_manifest(empty), "a" * 40)))
+    assert all(len(r) == 1 for r in broken_rules) and {r[0] for r in broken_rules} == set(artifact.PRECONDITIONS)
+    good = built("good")
+    artifact.promote(good, tmp_path / "live", "a" * 40)
+    assert (tmp_path / "live").is_symlink() and (tmp_path / "live").resolve() == good.resolve()
+    with pytest.raises(FileExistsError):
+        artifact.promote(good, tmp_path / "live", "a" * 40)
+    with pytest.raises(RecipeError):
+        artifact.promote(tmp_path / "none", tmp_path / "other", "a" * 40)
+
+
+def test_run_description(tmp_path):
+    (tmp_path / "manifest.json").write_text(json.dumps({"selected_rows": 3, "selected_tokens": 9, "output": {"sha256": "d" * 64}}))
+    (tmp_path / "config.json").write_text("{}")
+    (tmp_path / "snapshot.json").write_text(json.dumps({"repo_id": "o/m", "revision": "r"}))
+    doc = artifact.describe_run(tmp_path / "manifest.json", tmp_path, tmp_path / "config.json", tmp_path / "none", {"output_dir": "o"}, "a" * 40, False)
+    assert doc["parent_model"]["repo_id"] == "o/m" and len(doc["parent_model"]["config_sha256"]) == 64
+    assert doc["data"]["selected_rows"] == 3 and doc["data"]["parquet_sha256"] == "d" * 64 and doc["training"]["template_sha256"] is None
+
+
+def test_model_invariants(tmp_path):
+    assert len(model_violations(tmp_path, {})) == 3
+    (tmp_path / "config.json").write_text(json.dumps({"architectures": ["A"], "vocab_size": 5, "rope_parameters": {"rope_theta": 7}}))
+    (tmp_path / "tokenizer_config.json").write_text(json.dumps({"eos_token": "<e>"}))
+    (tmp_path / "chat_template.jinja").write_text("<start_of_turn>x<end_of_turn>")
+    good = {"architecture": "A", "vocab_size": 5, "rope_theta": 7, "eos_token": "<e>"}
+    assert model_violations(tmp_path, good) == [] and len(model_violations(tmp_path, {**good, "vocab_size": 6, "pad_token": "<p>"})) == 2
+    (tmp_path / "chat_template.jinja").write_text("x")
+    assert len(model_violations(tmp_path, good)) == 2
