@@ -7,6 +7,7 @@ so both are built here from plain columns; no Python runs on the executors.
 from __future__ import annotations
 
 import functools
+import hashlib
 import sys
 
 from pyspark.sql import Column
@@ -20,9 +21,16 @@ SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 PLAIN = r"\A[\x00-\xb4\xb6-\u012f\u0131-\u0148\u014a-\u017e]*+\z"
 
 
+#: Fixed value: SHA-256 of the folding table that all prompt hashes are made with.
+FOLD_SHA256 = "6b5c0c485c5e7fd5707eec56af54a443a1651dc16e37ca22184985b72d142c42"
+
+
 @functools.lru_cache(maxsize=1)
 def fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """(characters that fold to one, what they fold to, pairs that fold to several), by rule."""
+    """(characters that fold to one, what they fold to, pairs that fold to several), by rule.
+
+    The rule is the interpreter's, so its outcome is held against a fixed digest: under another Unicode
+    version prompt hashes would change unseen, and this raises instead."""
     one, to, several = [], [], []
     for cp in range(sys.maxunicode + 1):
         if 0xD800 <= cp < 0xE000:
@@ -36,7 +44,10 @@ def fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
             to.append(f)
         else:
             several.append((c, f))
-    return "".join(one), "".join(to), tuple(several)
+    made = "".join(one), "".join(to), tuple(several)
+    if (got := hashlib.sha256(repr(made).encode("utf-8", "surrogatepass")).hexdigest()) != FOLD_SHA256:
+        raise RuntimeError(f"case folding differs from the one that hashes are made with: {got}")
+    return made
 
 
 def casefold(text: Column) -> Column:

@@ -38,7 +38,8 @@ class PatternCounter:
 
 @dataclass(frozen=True)
 class FileCounter:
-    """Counts the ids of a tokenizer file (.json of ``tokenizers``), in Arrow batches."""
+    """Counts the ids of a tokenizer file (.json of ``tokenizers``), in Arrow batches. A text that the
+    tokenizer fails on has no count, which normalization gives as the row's reason."""
 
     path: str
 
@@ -57,7 +58,17 @@ class FileCounter:
             for batch in batches:
                 known = batch.notna()
                 counts = pd.Series([None] * len(batch), dtype="Int64", index=batch.index)
-                counts[known] = [len(e.ids) for e in tokenizer.encode_batch(list(batch[known]), add_special_tokens=False)]
+                counts[known] = _lengths(tokenizer, list(batch[known]))
                 yield counts
 
         return lengths(text)
+
+
+def _lengths(tokenizer, texts: list[str]) -> list[int | None]:
+    try:
+        return [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    except Exception:  # noqa: BLE001  the library raises plain exceptions; find the texts that it fails on
+        if len(texts) == 1:
+            return [None]
+        half = len(texts) // 2
+        return _lengths(tokenizer, texts[:half]) + _lengths(tokenizer, texts[half:])

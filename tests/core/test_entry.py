@@ -32,3 +32,18 @@ def test_query_equals_sql(spark, name):
 
 def test_flagship(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_entry_without_the_subpackage(tmp_path):
+    """A folder that only a cache is left in is no subpackage; the other queries stay."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    shutil.copytree(root / "millrace", tmp_path / "millrace", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "millrace/llm/__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as e; assert 'mix_select' in e.queries() and not any(q.startswith('op') and q[2].isdigit() for q in e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})

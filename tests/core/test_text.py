@@ -42,3 +42,19 @@ def test_forms(spark):
     df = spark.createDataFrame([("a" * 40, "b" * 64, "org/name"), ("A" * 40, "b", "x"), ("a" * 40 + "\n", None, "a/b/c")], "c string, s string, r string")
     got = df.select(X.is_commit(F.col("c")), X.looks_like_sha256(F.col("s")), X.repo_folder(F.col("r"))).collect()
     assert [tuple(r) for r in got] == [(True, True, "org--name"), (False, False, "x"), (False, False, "a--b--c")]
+
+
+def test_a_text_that_the_tokenizer_fails_on_has_no_count():
+    from millrace.functions.tokens import _lengths
+
+    class Encoded:
+        def __init__(self, text):
+            self.ids = text.split()
+
+    class Tokenizer:
+        def encode_batch(self, texts, add_special_tokens):
+            if any("bad" in t for t in texts):
+                raise Exception("no")
+            return [Encoded(t) for t in texts]
+
+    assert _lengths(Tokenizer(), ["a b", "bad", "c", "", "d e f"]) == [2, None, 1, 0, 3]
