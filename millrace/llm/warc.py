@@ -3,12 +3,14 @@
 Writing: of records with equal payloads of at least ``min_revisit_bytes`` the one with the
 largest page id is a ``response``, the others are ``revisit`` records that refer to it. Payloads
 are compared by SHA-1 and length. Each task writes one ``.warc.gz`` file into the shared folder,
-first under a name of its own, then renamed, so a repeated task replaces its file whole.
+first under a name of its own, then renamed. The name that counts is the one that the task returns, and
+holds its attempt, so a repeated or speculative task neither replaces nor mixes with another's file.
 
 Reading: a file streams through an incremental decompressor in small pieces; at each member's
 start the header block is framed by its blank line and the content block by Content-Length; the
 block digest, and for responses the payload digest and length, must hold. A payload is hashed as
-it passes and never kept whole. Any break of the format raises ``WarcError``.
+it passes and never kept whole. Any break of the format raises ``WarcError``, and so does a revisit
+whose target isn't a response with the same payload digest and length.
 
 Null and odd cases: null html is an empty payload; a null page id is smaller than every other
 and reads back as null; repeated rows (same id and payload) are each a record, all responses if
@@ -30,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import scratch, utf8
+from millrace.llm.common import scratch, utf8, written
 
 #: All records carry one date, so that equal input gives equal archives.
 DATE = "2026-01-01T00:00:00Z"
@@ -100,8 +102,8 @@ def _write(batches: Iterator[pa.RecordBatch], uri: str) -> Iterator[pa.RecordBat
     if first is None:
         return
     fs, folder = _filesystem(uri)
-    name = f"part-{context.partitionId():06d}.warc.gz"
-    mine = f"{folder}/_{name}.{context.taskAttemptId()}"
+    name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}.warc.gz"
+    mine = f"{folder}/_{name}"
     n = 0
     with fs.open_output_stream(mine, compression=None) as out:
         for batch in itertools.chain([first], batches):
@@ -247,9 +249,24 @@ def read_archives(spark, uri: str, names: list[str]) -> DataFrame:
     return files.repartitionById(len(names), F.col("i")).select("name").mapInArrow(lambda it: _read(it, uri), ROW)
 
 
+def dangling(records: DataFrame) -> DataFrame:
+    """Revisits whose target is no response of the same payload: refers_to, payload_digest, payload_bytes.
+
+    Revisits of one target fold before the join, so a payload of very many pages is one row.
+    """
+    same = ["refers_to", "payload_digest", "payload_bytes"]
+    asked = records.where(F.col("record_type") == "revisit").select(*same).distinct()
+    given = records.where(F.col("record_type") == "response").select(F.col("page_id").alias("refers_to"), *same[1:])
+    return asked.join(given, same, "left_anti")
+
+
 def round_trip(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
-    """Write all pages to archives in the shared folder and read every record back."""
+    """Write all pages to archives in the shared folder and read every record back; a revisit without
+    its response is an error."""
     spark = pages.sparkSession
     uri = scratch(spark, "warc")
     files = write_archives(decide(pages, min_revisit_bytes), uri)
-    return read_archives(spark, uri, [name for name, _ in files])
+    records = written(read_archives(spark, uri, [name for name, _ in files]), "warc-records")
+    if lost := dangling(records).limit(3).collect():
+        raise WarcError(f"revisits without their response: {lost}")
+    return records

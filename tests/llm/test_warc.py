@@ -77,3 +77,10 @@ def test_files_are_real_archives(spark, tmp_path):
 def test_a_very_long_url(spark):
     rows = [(1, "http://x/" + "u" * 3_000_000, "a"), (2, "http://y/", "a"), (3, None, "b")]
     assert sorted((tuple(r)[:5] for r in warc.round_trip(pages(spark, rows)).collect()), key=str) == brute(rows)
+
+
+def test_a_revisit_needs_its_response(spark):
+    kind = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    rows = [(5, 1, "A", "response", None), (4, 1, "A", "revisit", 5), (3, 1, "A", "revisit", 5), (2, 2, "A", "revisit", 5), (1, 1, "B", "revisit", 5), (0, 1, "A", "revisit", 9)]
+    assert warc.dangling(spark.createDataFrame(rows[:3], kind)).isEmpty()
+    assert sorted(tuple(r) for r in warc.dangling(spark.createDataFrame(rows, kind)).collect()) == [(5, "A", 2), (5, "B", 1), (9, "A", 1)]
