@@ -215,10 +215,11 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, least: int, fi
         if not first_round:  # of all buckets that a pair shares, the least one gives it
             keep = np.array([min(shared[x] & shared[y]) == bucket[0] for x, y in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
             i, j = i[keep], j[keep]
-        swap = cid[i] > cid[j]
+        partners = np.bincount(i, minlength=len(cid)) + np.bincount(j, minlength=len(cid))
+        swap = (partners[i] < partners[j]) | ((partners[i] == partners[j]) & (cid[i] > cid[j]))
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(cid[i]), pa.array(cid[j]), pa.array(n[i]), pa.array(n[j])], names=["a", "b", "na", "nb"])
+            yield pa.RecordBatch.from_arrays([pa.array(cid[i]), pa.array(cid[j]), pa.array(n[j])], names=["hub", "end", "n"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -237,9 +238,9 @@ def _pair_stream(batches: Iterator[pa.RecordBatch], percent: int, least: int, fi
 
 
 def _compared(units: DataFrame, percent: int, least: int, first_round: bool) -> DataFrame:
-    """a, b, na, nb: pairs of the rows that share a unit."""
+    """hub, end, n: pairs of the rows that share a unit, the end with fewer partners there second, with its shingles."""
     stream = units.repartition("unit").sortWithinPartitions("unit", "side", "cid")
-    pairs = stream.mapInArrow(lambda it: _pair_stream(it, percent, least, first_round), "a long, b long, na long, nb long")
+    pairs = stream.mapInArrow(lambda it: _pair_stream(it, percent, least, first_round), "hub long, end long, n long")
     return pairs.distinct() if first_round else pairs
 
 
@@ -329,19 +330,14 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b of the ``pairs`` (a, b, na, nb) whose full sets are similar enough.
+    """a, b of the ``pairs`` (hub, end, n) whose full sets are similar enough.
 
-    The end with fewer partners names the block, so a hub's pairs spread and its set goes to each
-    block once. A task holds one block's ends, and one other set at a time.
+    The end names the block, so a hub's pairs spread and its set goes to each block once. A task holds
+    one block's ends, and one other set at a time.
     """
-    ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
-    degree = ends.groupBy("cid").agg(F.count(F.lit(1)).alias("d"))
-    known = pairs.join(degree.select(F.col("cid").alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col("cid").alias("b"), F.col("d").alias("db")), "b")
-    hub_first = F.col("da") > F.col("db")
-    turned = known.select(F.when(hub_first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub_first, F.col("b")).otherwise(F.col("a")).alias("end"), F.when(hub_first, F.col("nb")).otherwise(F.col("na")).alias("n"))
     blocks = max(1, math.ceil(pairs.count() / BLOCK))  # there are no more ends than pairs
     block = F.when(F.col("n") > LARGE, F.pmod(F.xxhash64("end"), F.lit(1 << 40)) + blocks).otherwise(F.pmod(F.xxhash64("end"), F.lit(blocks)))
-    turned = written(turned.withColumn("block", block), "dup-blocks")
+    turned = written(pairs.withColumn("block", block), "dup-blocks")
     none = F.lit(None).cast("array<long>")
     held = turned.select("block", F.col("end").alias("cid")).distinct().select("*", F.lit(0).alias("kind"), none.alias("partners"))
     asked = turned.groupBy("block", F.col("hub").alias("cid")).agg(F.collect_list("end").alias("partners")).select("block", "cid", F.lit(1).alias("kind"), "partners")
@@ -408,7 +404,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, j
     least = 0 if exact else least_matches(percent)
     pairs = written(_compared(_first_units(members), percent, least, True), "dup-pairs")
     # whoever has any partner in a chunk is in a pair now; those who had none there may have one in another chunk
-    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).union(members.where(F.col("size") > FIRST).select("cid")).distinct()
+    nodes = pairs.select(F.col("hub").alias("cid")).union(pairs.select(F.col("end").alias("cid"))).union(members.where(F.col("size") > FIRST).select("cid")).distinct()
     sets = written(full_sets(docs, nodes, size), "dup-sets")
     links = written(confirmed(pairs, sets, percent), "dup-links")
     if joined is not None:
