@@ -33,6 +33,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -183,25 +184,23 @@ def train_chain(full: _Rows, by_fold: list[_Rows], labels: list[np.ndarray], fol
 
 def _count_features(batches: Iterator[pa.RecordBatch], categories: int) -> Iterator[pa.RecordBatch]:
     """feature, fold, rows that hold it, and how many of these have each label."""
-    seen: dict[tuple[str, int], np.ndarray] = {}
-    none = np.zeros(categories + 1, np.int64)
-
-    def flush() -> pa.RecordBatch:
-        names, folds = zip(*seen, strict=True)
-        counts = np.stack(list(seen.values()))
+    seen: dict[tuple[int, tuple[int, ...]], Counter] = defaultdict(Counter)
+    names = ["feature", "fold", *(f"c{i}" for i in range(categories + 1))]
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (fold, flags), counts in seen.items():
+            n = np.fromiter(counts.values(), np.int64, len(counts))
+            own = [pa.array(n * flag) for flag in (1, *flags)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(np.full(len(n), fold, np.int32)), *own], names=names)
         seen.clear()
-        own = [pa.array(counts[:, i]) for i in range(categories + 1)]
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(folds, pa.int32()), *own], names=["feature", "fold", *(f"c{i}" for i in range(categories + 1))])
 
     for batch in batches:
-        flags = np.array([[1] * batch.num_rows, *([int((v or 0) > 0) for v in batch[f"y{i}"].to_pylist()] for i in range(categories))]).T
-        for raw, row, fold in zip(batch["raw"], flags, batch["fold"].to_pylist(), strict=True):
-            for f in {f for w in set(words_of(raw.as_py())) for f in features_of(w)}:
-                seen[f, fold] = seen.get((f, fold), none) + row
-            if len(seen) > HELD:
-                yield flush()
-    if seen:
-        yield flush()
+        given = [[int((v or 0) > 0) for v in batch[f"y{i}"].to_pylist()] for i in range(categories)]
+        for raw, fold, *flags in zip(batch["raw"], batch["fold"].to_pylist(), *given, strict=True):
+            seen[fold, tuple(flags)].update({f for w in set(words_of(raw.as_py())) for f in features_of(w)})
+            if sum(map(len, seen.values())) > HELD:
+                yield from flush()
+    yield from flush()
 
 
 def _likelihood_ratio(p: np.ndarray, n: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
