@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +51,31 @@ def test_recall_is_whole_with_a_shared_vector(spark, monkeypatch):
     rows = [(i, [1.0, 0.5] if i % 3 == 0 else [i / 1024, 0.0]) for i in range(400)]
     got = topk.top_k(frame(spark, rows), F.col("vec_id") % 10 == 0, k=10)
     assert sorted(map(tuple, got.collect())) == brute(rows, 10)
+
+
+def test_regions_cover_space_and_boxes_rule_out():
+    """Every region of a layout holds its sample rows alone, and a floor keeps the regions that reach it."""
+    rnd = np.random.default_rng(3)
+    rows = rnd.integers(-1000, 1000, (500, 4))
+    layout = topk.Layout(list(rows), 16)
+    region = layout.of(rows)
+    assert set(region) == set(range(1, 17)) and max(np.bincount(region)) < 70
+    lo = np.stack([rows[region == r].min(axis=0) for r in range(1, 17)])
+    hi = np.stack([rows[region == r].max(axis=0) for r in range(1, 17)])
+    scores = rows @ rows[0]
+    floor = int(np.sort(scores)[-10])
+    batch = topk.pa.RecordBatch.from_pydict({"id": [0, 1, 2], "v": [rows[0].tolist(), rows[0].tolist(), [1]], "floor": [floor, None, 5]})
+    out = next(topk._reached(iter([batch]), 4, np.arange(1, 17, dtype=np.int32), lo, hi))["regions"].to_pylist()
+    assert set(region[scores >= floor]) <= set(out[0]) and len(out[0]) < 16
+    assert out[1:] == [list(range(1, 17)), [0]]
+
+
+def test_mixed_lengths_and_large_numbers(spark, monkeypatch):
+    """Other lengths than the usual one, equal vectors beyond a shard's rows, and products beyond doubles."""
+    monkeypatch.setattr(topk, "MIN_SHARD_ROWS", 30)
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    rnd = random.Random(5)
+    rows = [(i, [float(rnd.randint(-50, 50)) * (2.0**30 if i % 7 == 0 else 1.0) for _ in range(3 if i % 4 else 2)]) for i in range(240)]
+    rows += [(i, [1.0, 2.0, 3.0]) for i in range(240, 360)]
+    got = topk.top_k(frame(spark, rows), F.col("vec_id") % 10 == 0, k=4)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4)
