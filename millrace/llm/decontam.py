@@ -289,20 +289,20 @@ def _covered(spans: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents without those that hold a window of an item, all columns kept."""
+    """The documents without those that hold a window of an item, all columns kept. Only texts go to Python, only verdicts return."""
     own = docs.columns
     if _bytes_of(benchmark) > block_bytes:
         # the keys of contaminated texts; whole rows only move if these are too many to be broadcast
         hit = _joined(docs, benchmark, window).select(F.col("key").alias("_hit"))
         return docs.join(hit, F.sha2(utf8("text"), 256) == F.col("_hit"), "left_anti").select(*[F.col(f"`{c}`") for c in own])
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), utf8("text").alias("raw"))
-    schema = T.StructType([kept.schema["row"], kept.schema["raw"]])
-    if index := _small_index(docs, benchmark, window):
-        kept = _with_index(kept, _clean, index, schema)
-    return kept.select(*[F.col("row")[c].alias(c) for c in own])
+    index = _small_index(docs, benchmark, window)
+    if not index:
+        return docs.select(*[F.col(f"`{c}`") for c in own])
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
+    @F.arrow_udf("boolean")
+    def contaminated(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for raws in texts:
+            yield pa.array([bool(find(words_of(raw.as_py()), shared.value)[0]) for raw in raws], pa.bool_())
 
-def _clean(batches: Iterator[pa.RecordBatch], index: dict[int, dict]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        clean = pa.array([not find(words_of(raw.as_py()), index)[0] for raw in batch["raw"]], pa.bool_())
-        yield batch.filter(clean)
+    return docs.where(~contaminated(utf8("text"))).select(*[F.col(f"`{c}`") for c in own])

@@ -107,6 +107,13 @@ class Model:
             out.append(float(_sigmoid(z)))
         return out
 
+    def cuts(self) -> list[float]:
+        return self.thresholds or [2.0] * len(self.categories)
+
+    def rejects(self, words: list[str]) -> bool:
+        """Whether any category holds."""
+        return any(p >= cut for p, cut in zip(self.probabilities(words), self.cuts(), strict=True))
+
 
 def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
@@ -287,11 +294,14 @@ def labelled(docs: DataFrame, labels: DataFrame, categories: Sequence[str], samp
 def _featurize(batches: Iterator[pa.RecordBatch], models: list[Model]) -> Iterator[pa.RecordBatch]:
     """For each model the present features, log of hits and share."""
     for batch in batches:
-        words = [words_of(raw.as_py()) for raw in batch["raw"]]
+        found = []
+        for raw in batch["raw"]:  # the words of one text at a time
+            words = words_of(raw.as_py())
+            found.append([model.features(words) for model in models])
         keep = [n for n in batch.schema.names if n != "raw"]
         own, names = [], []
-        for k, model in enumerate(models):
-            rows = [model.features(w) for w in words]
+        for k in range(len(models)):
+            rows = [f[k] for f in found]
             own += [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.float64())]
             names += [f"present{k}", f"log_hits{k}", f"share{k}"]
         yield pa.RecordBatch.from_arrays([*(batch[n] for n in keep), *own], names=[*keep, *names])
@@ -339,8 +349,7 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def _flags(model: Model) -> list[Column]:
-    cuts = model.thresholds or [2.0] * len(model.categories)
-    return [F.col("p")[i] >= F.lit(c) for i, c in enumerate(cuts)]
+    return [F.col("p")[i] >= F.lit(c) for i, c in enumerate(model.cuts())]
 
 
 def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), sample: int = SAMPLE) -> DataFrame:
@@ -353,8 +362,12 @@ def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("t
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("toxic",), sample: int = SAMPLE) -> DataFrame:
-    """The documents that no category of the chain holds for, all columns kept."""
-    model = train(docs, labels, categories, sample)
-    own = docs.columns
-    out = scored(docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), utf8("text").alias("raw")), model)
-    return out.where(~_any(_flags(model))).select(*[F.col("row")[c].alias(c) for c in own])
+    """The documents that no category of the chain holds for, all columns kept. Only texts go to Python, only verdicts return."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, categories, sample))
+
+    @F.arrow_udf("boolean")
+    def rejected(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for raws in texts:
+            yield pa.array([shared.value.rejects(words_of(raw.as_py())) for raw in raws], pa.bool_())
+
+    return docs.where(~rejected(utf8("text")))
