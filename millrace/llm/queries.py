@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, licences, mixing, neardup, sharding, tokens, topk, toxicity, warc
+from millrace.llm import chat, decontam, licences, mixing, neardup, resample, sharding, tokens, topk, toxicity, warc
 
 SEED = 20260818
 
@@ -56,7 +56,11 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup)}
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, min_words=20, most_words=1, buckets=10_000, seed=2024)
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup, op13_resample)}
 
 _OP8 = f"""
 with d as (
@@ -162,4 +166,26 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = comp
 from d left join n using (doc_id) join c on c.node = doc_id
 """
 
-ORACLES = {"op1_topk": _OP1, "op4_sharding": _OP4, "op7_warc": _OP7, "op8_mixing": _OP8, "op9_decontam": _OP9, "op10_neardup": _OP10}
+# checksums by table as above, of distinct words only
+_OP13 = f"""
+with recursive bits as (select i, 0 as k, i as v from range(256) t(i) union all
+    select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+tab as (select list(v order by i) as tab from bits where k = 8),
+d as (select row_number() over () as r, doc_id, regexp_extract_all({_ASCII_LOWER}, '{_BENCH_WORD}') as w from documents),
+dw as (select r, unnest(w) as word from d),
+bw as (select unnest(regexp_extract_all({_ASCII_LOWER}, '{_BENCH_WORD}')) as word from benchmark),
+v as (select word, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda x: ('0x' || x)::bigint), lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)]), 4294967295::bigint), 4294967295) % 10000 as b
+      from (select word from dw union select word from bw), tab),
+s as (select b, count(*) as n from dw join v using (word) group by b),
+t as (select b, count(*) as n from bw join v using (word) group by b),
+g as (select i as b, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * (select count(*) + 10000 from dw)::double
+        / ((coalesce(s.n, 0) + 1)::double * (select count(*) + 10000 from bw)::double)))::bigint as gain
+      from range(10000) q(i) left join s on s.b = i left join t on t.b = i),
+m as (select r, floor(sum(gain)::double / count(*))::bigint as weight from dw join v using (word) join g using (b) group by r),
+x as (select r, doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight, ('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h from d left join m using (r)),
+y as (select *, (weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))))::bigint as score from x),
+z as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls last, n_features, weight) as place, count(*) over (partition by n_features >= 20) as able from y)
+select doc_id, n_features, weight, score, case when n_features >= 20 and place <= 10 * able // 100 then place end as rank from z
+"""
+
+ORACLES = {"op1_topk": _OP1, "op4_sharding": _OP4, "op7_warc": _OP7, "op8_mixing": _OP8, "op9_decontam": _OP9, "op10_neardup": _OP10, "op13_resample": _OP13}
