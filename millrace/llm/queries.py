@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, licences, mixing, neardup, resample, sharding, tokens, topk, toxicity, warc
+from millrace.llm import chat, decontam, licences, mixing, neardup, resample, sharding, structure, tokens, topk, toxicity, warc
 
 SEED = 20260818
 
@@ -56,11 +56,15 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op12_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.digests(*structure.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, min_words=20, most_words=1, buckets=10_000, seed=2024)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup, op13_resample)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup, op12_structure, op13_resample)}
 
 _OP8 = f"""
 with d as (
@@ -166,6 +170,59 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = comp
 from d left join n using (doc_id) join c on c.node = doc_id
 """
 
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _edit(state: str, cost: str, letter: str, piece: str | None = None) -> str:
+    """The (cost, audit, text) of a state after one more edit; null stays null."""
+    text = f"{state}.t || chr(10) || {piece}" if piece else f"{state}.t"
+    return f"case when {state} is not null then {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}} end"
+
+
+def _stay(state: str, role: int) -> str:
+    """Keep or rerole a row as user (2) or assistant (3)."""
+    kept = _edit(state, "extra", "K", "(role || ':' || text)")
+    moved = _edit(state, "1 + extra", "R", f"('{structure.NAMES[role]}:' || text)")
+    return f"case when fault in (1, 2) then null when kind = {role} then {kept} else {moved} end"
+
+
+def _inserted(source: str) -> str:
+    """n0 to n3 of ``source`` become s0 to s3: empty user and assistant turns may come next."""
+    user, assistant = (lambda s: _edit(s, "5", "I", "'user:'")), (lambda s: _edit(s, "5", "I", "'assistant:'"))
+    return f"""(select * exclude (n0, n1, n2, n3, y2), n0 as s0, n1 as s1, {_least("y2", user("n3"))} as s2, {_least("n3", assistant("y2"))} as s3
+      from (select *, {_least("n2", user("n0"), user("n1"))} as y2 from {source}))"""
+
+
+# least (cost, audit) of each state after each row, forwards; that is enough, since letters decide cost and state
+_OP12 = f"""
+with recursive bits as (select i, 0 as k, i as v from range(256) t(i) union all
+    select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+tab as (select list(v order by i) as tab from bits where k = 8),
+r as (select conv_id, dense_rank() over (order by conv_id nulls first) as q, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        hex(encode(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))) as k from conversations),
+g as (select r.*, xor(list_reduce(list_transform(regexp_extract_all(k, '..'), lambda x: ('0x' || x)::bigint), lambda c, x: xor(c >> 8, tab[1 + (xor(c, x) & 255)]), 4294967295::bigint), 4294967295) % 20 as d from r, tab),
+e as (select q, turn, case when d = 4 then 'user' else role end as role, case d when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+        unnest(range(case d when 0 then 0 when 3 then 2 else 1 end)) as copy from g),
+o as (select *, row_number() over (partition by q order by turn nulls first, role, text, copy) as i from e),
+p as (select *, row_number() over (partition by q, role, text order by i) > 1 as again,
+        case left(role, 1) when 's' then 1 when 'u' then 2 when 'a' then 3 else 0 end as kind from o),
+f as (select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 1 when again then 2 when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 3 else 0 end as fault,
+        lag(kind) over (partition by q order by i) as was from p),
+c as (select q, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (where fault = 1) as blank, count(*) filter (where fault = 2) as duplicate,
+        count(*) filter (where fault = 3) as truncated, count(*) filter (where was is not null and (was, kind) not in ((1, 2), (2, 3), (3, 2))) as illegal from f group by q),
+w as (select q, 0::bigint as i, s0, s1, s2, s3 from {_inserted("""(select distinct q, {'c': 0::bigint, 'a': '', 't': ''} as n0, null::struct(c bigint, a varchar, t varchar) as n1,
+        null::struct(c bigint, a varchar, t varchar) as n2, null::struct(c bigint, a varchar, t varchar) as n3 from r)""")} union all
+    select q, i, s0, s1, s2, s3 from {_inserted(f"""(select q, i, {_edit("s0", "2", "D")} as n0,
+        {_least(_edit("s1", "2", "D"), f"case when fault not in (1, 2) and kind = 1 then {_edit('s0', 'extra', 'K', chr(40) + 'role || chr(58) || text)')} end")} as n1,
+        {_least(_edit("s2", "2", "D"), _stay("s0", 2), _stay("s1", 2), _stay("s3", 2))} as n2, {_least(_edit("s3", "2", "D"), _stay("s2", 3))} as n3
+      from (select w.q, f.i, s0, s1, s2, s3, role, text, kind, fault, case when fault = 3 then 5 else 0 end::bigint as extra from w join f on f.q = w.q and f.i = w.i + 1))""")}),
+b as (select q, arg_max({_least("s0", "s3")}, i) as x from w group by q)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+       x.c as cost, x.a as audit, sha256(substr(x.t, 2)) as repaired_sha256
+from (select distinct conv_id, q from r) join b using (q) left join c using (q)
+"""
+
 # checksums by table as above, of distinct words only
 _OP13 = f"""
 with recursive bits as (select i, 0 as k, i as v from range(256) t(i) union all
@@ -188,4 +245,4 @@ z as (select *, row_number() over (partition by n_features >= 20 order by score
 select doc_id, n_features, weight, score, case when n_features >= 20 and place <= 10 * able // 100 then place end as rank from z
 """
 
-ORACLES = {"op1_topk": _OP1, "op4_sharding": _OP4, "op7_warc": _OP7, "op8_mixing": _OP8, "op9_decontam": _OP9, "op10_neardup": _OP10, "op13_resample": _OP13}
+ORACLES = {"op1_topk": _OP1, "op4_sharding": _OP4, "op7_warc": _OP7, "op8_mixing": _OP8, "op9_decontam": _OP9, "op10_neardup": _OP10, "op12_structure": _OP12, "op13_resample": _OP13}
