@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, licences, mixing, neardup, resample, sharding, structure, tokens, topk, toxicity, warc
+from millrace.llm import chat, decontam, licences, mixing, neardup, resample, sharding, structure, tokens, topk, toxicity, warc, wavelet
 
 SEED = 20260818
 
@@ -56,6 +56,10 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_tokenids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(_table(spark, sf_dir, "documents"), tokenizer="word_bpe_49k.json", end_id=1)
+
+
 def op12_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.digests(*structure.damaged(_table(spark, sf_dir, "conversations")))
 
@@ -64,7 +68,7 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, min_words=20, most_words=1, buckets=10_000, seed=2024)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup, op12_structure, op13_resample)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_licences, op3_tokens, op4_sharding, op5_chat, op6_toxicity, op7_warc, op8_mixing, op9_decontam, op10_neardup, op11_tokenids, op12_structure, op13_resample)}
 
 _OP8 = f"""
 with d as (
