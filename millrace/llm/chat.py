@@ -8,18 +8,18 @@ relabel it. Dynamic programming finds the cheapest way through all turns; the en
 empty assistant turn. No text is ever dropped or reordered.
 
 The result has one row for each given turn: what was done and the text to append. The pieces of
-a conversation, in order, are its rendering. ``render`` joins them, in parts where
+a conversation, in the order of their position in it (from 0), are its rendering. ``render`` joins them, in parts where
 conversations are long.
 
 Turns are sorted by (conversation, turn) into ranges, so a conversation of any length spreads
 over partitions. Of each range, only the first and the last conversation can go on elsewhere. For
-these a 4 x 4 cost matrix (entry state to exit state) is taken; the driver chains the matrices, at
+these a 4 x 4 cost matrix (entry state to exit state) and the number of turns are taken; the driver chains the matrices, at
 most two a partition, backwards to costs-to-go; a second pass finds where each entry state then
 leads, and the driver chains these forwards to the entry states. Going forwards with exact
 costs-to-go and a fixed order among equals makes the result independent of the partitions.
 
 Null and odd cases: a null conversation id is a conversation; a null turn comes first; equal
-turns are ordered by role, then text; repeated rows are turns of their own; a null text is empty;
+turns are ordered by role, then the text's first 64 characters, its checksum and the whole text; repeated rows are turns of their own; a null text is empty;
 roles are read without case and spaces, with usual synonyms, and any other role (or null) must be
 relabelled; an empty table gives an empty result; other columns are ignored.
 """
@@ -44,6 +44,8 @@ SYNONYMS = {"system": 1, "developer": 1, "user": 2, "human": 2, "prompter": 2, "
 #: What an edit costs. Relabelling an unknown role is cheaper than relabelling a known one.
 MERGE, RELABEL, RELABEL_UNKNOWN, INSERT = 2, 7, 1, 4
 FAR = 1 << 60
+#: Characters of a text that stand in the order before its checksum.
+HEAD = 64
 #: Which role may follow a state.
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 SCHEMA = T.StructType(
@@ -54,7 +56,7 @@ SCHEMA = T.StructType(
         T.StructField("action", T.StringType()),
         T.StructField("cost", T.IntegerType()),
         T.StructField("piece", T.StringType()),
-        T.StructField("seq", T.LongType()),
+        T.StructField("position", T.LongType()),
     ]
 )
 
@@ -160,7 +162,7 @@ def _runs(batches: Iterator[pa.RecordBatch], text: bool) -> Iterator[tuple[objec
 
 
 def _edges(batches: Iterator[pa.RecordBatch], after: dict | None) -> Iterator[pa.RecordBatch]:
-    """One row for the first and for the last conversation of this partition: its cost matrix, or,
+    """One row for the first and for the last conversation of this partition: its cost matrix and length, or,
     once ``after`` has the costs that follow each of them, its exits."""
     part = TaskContext.get().partitionId()
     found: list[tuple] = []
@@ -170,14 +172,14 @@ def _edges(batches: Iterator[pa.RecordBatch], after: dict | None) -> Iterator[pa
     out = []
     for j, (i, conv, codes) in enumerate(found):
         if after is None:
-            out.append((part, j, "" if conv is None else f"={conv}", [c for row in matrix(list(codes)) for c in row]))
+            out.append((part, j, "" if conv is None else f"={conv}", [*(c for row in matrix(list(codes)) for c in row), len(codes)]))
         elif (part, j) in after:
             out.append((part, j, "" if conv is None else f"={conv}", exits(list(codes), after[part, j])))
     if out:
         yield pa.RecordBatch.from_arrays([pa.array(c) if k < 3 else pa.array(c, pa.list_(pa.int64())) for k, c in enumerate(zip(*out, strict=True))], names=["part", "j", "conv", "v"])
 
 
-def _repair(batches: Iterator[pa.RecordBatch], entry: dict, after: dict) -> Iterator[pa.RecordBatch]:
+def _repair(batches: Iterator[pa.RecordBatch], entry: dict, after: dict, ahead: dict) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     out: list[tuple] = []
     first = next(batches, None)
@@ -191,7 +193,6 @@ def _repair(batches: Iterator[pa.RecordBatch], entry: dict, after: dict) -> Iter
         return batch
 
     groups = _runs(itertools.chain([first], batches), True)
-    seq = part << 40
     held = next(groups, None)
     i = 0
     while held is not None:
@@ -203,13 +204,14 @@ def _repair(batches: Iterator[pa.RecordBatch], entry: dict, after: dict) -> Iter
         follows = after.get((part, j), END)
         to_go = costs_to_go(codes, follows)
         arcs = list(walk(codes, state, to_go))
+        position = ahead.get((part, j), 0)
         goes_on = (part, j, "on") in after
         costs = [arc[0] for arc in arcs]
         if not goes_on:
             costs[-1] += END[arcs[-1][3]]
         for r, arc, cost, piece in zip(rows, arcs, costs, pieces(arcs, [r[3] or "" for r in rows], state, not goes_on), strict=True):
-            out.append((conv, r[1], r[2], ROLES[arc[3]], arc[1], cost, piece, seq))
-            seq += 1
+            out.append((conv, r[1], r[2], ROLES[arc[3]], arc[1], cost, piece, position))
+            position += 1
             if len(out) >= 4096:
                 yield packed()
         i += 1
@@ -236,16 +238,15 @@ def _ordered(conversations: DataFrame, per_part: int) -> DataFrame:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     rows = conversations.select(F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"), F.col("role").alias("role"), F.col("text").alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // per_part + 1)
-    order: list[Column] = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    # ranges are cut by text as well only through its checksum: sampling long texts would be dear
-    spread = rows.withColumn("sum", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    dealt = spread.repartitionByRange(parts, *order[:3], F.col("sum")).drop("sum")
-    return dealt.sortWithinPartitions(*order).checkpoint()
+    # of a text only its start and checksum stand in the order of ranges: sampling long texts would be dear
+    head, check = F.substring("text", 1, HEAD), F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    order: list[Column] = [c.asc_nulls_first() for c in (F.col("conv"), F.col("turn"), F.col("role"), head, check)]
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, F.col("text").asc_nulls_first()).checkpoint()
 
 
 def repair(conversations: DataFrame, per_part: int = 200_000) -> DataFrame:
-    """conv_id, turn, role_in, role_out, action, cost, piece, seq of every given turn. Pieces stand in
-    the order of seq; the number itself depends on the ranges."""
+    """conv_id, turn, role_in, role_out, action, cost, piece, position of every given turn. The position in the
+    conversation, from 0, depends on the data alone."""
     rows = _ordered(conversations, per_part)
     kind = rows.schema["conv"].dataType
     edge = "part long, j long, conv string, v array<long>"
@@ -256,9 +257,12 @@ def repair(conversations: DataFrame, per_part: int = 200_000) -> DataFrame:
 
     after: dict = {}
     entry: dict = {}
+    ahead: dict = {}
     chains = _chain(edges(None))
     for chain in chains:
         follows: tuple[int, ...] = END
+        for (part, j, *_), n in zip(chain, itertools.accumulate((v[16] for *_, v in chain), initial=0), strict=False):
+            ahead[part, j] = n
         for part, j, _, v in reversed(chain):
             after[part, j] = follows
             if (part, j) != chain[-1][:2]:
@@ -272,18 +276,17 @@ def repair(conversations: DataFrame, per_part: int = 200_000) -> DataFrame:
                 entry[part, j] = state
                 state = leads[part, j][state]
     schema = T.StructType([T.StructField("conv", kind), *SCHEMA.fields])
-    out = rows.mapInArrow(lambda it: _repair(it, entry, after), schema)
+    out = rows.mapInArrow(lambda it: _repair(it, entry, after, ahead), schema)
     return out.withColumnRenamed("conv", "conv_id")
 
 
 def render(repaired: DataFrame, most_turns: int = 10_000) -> DataFrame:
     """conv_id, part, rendered, cost. A conversation of up to ``most_turns`` turns is one row, part 0.
     Since one text can't hold a conversation of any length, a longer one has several rows of up to
-    ``most_turns`` turns: in the order of part they are its rendering, and their costs add up to its
-    cost. Like seq, the numbers of such parts depend on the ranges."""
+    ``most_turns`` turns: in the order of part they are its rendering, and their costs add up to its cost."""
     long = repaired.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns")).where(F.col("turns") > most_turns).select(F.col("conv_id").alias("long"), F.lit(True).alias("cut"))
     rows = repaired.join(long, F.col("conv_id").eqNullSafe(F.col("long")), "left")
-    part = F.when(F.col("cut"), F.expr(f"seq div {int(most_turns)}")).otherwise(F.lit(0)).cast("long")
-    pieces = F.array_sort(F.collect_list(F.struct("seq", "piece")))
+    part = F.when(F.col("cut"), F.expr(f"position div {int(most_turns)}")).otherwise(F.lit(0)).cast("long")
+    pieces = F.array_sort(F.collect_list(F.struct("position", "piece")))
     joined = F.array_join(F.transform(pieces, lambda p: p["piece"]), "")
     return rows.groupBy("conv_id", part.alias("part")).agg(joined.alias("rendered"), F.sum("cost").alias("cost"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.sources.storage import scratch, shared_dir, written
 
-__all__ = ["bitmap_of", "in_bitmap", "joined_by_share", "rolled", "scratch", "shared_dir", "utf8", "written"]
+__all__ = ["bitmap_of", "in_bitmap", "joined_by_share", "named", "rolled", "scratch", "shared_dir", "utf8", "written"]
 
 #: Least and most bits (powers of two) of a bitmap.
 BITMAP_LEAST, BITMAP_MOST = 25, 28
@@ -71,6 +71,11 @@ def utf8(text: str | Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever signs that holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def joined_by_share(rows: DataFrame, key: Column, table: DataFrame, table_key: str, n: str, total: int, share: float = 0.001) -> DataFrame:
     """Left join of ``rows`` with a table of one row a key, whose column ``n`` counts the key's rows.
 

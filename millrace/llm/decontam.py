@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import bitmap_of, in_bitmap, joined_by_share, rolled, utf8, written
+from millrace.llm.common import bitmap_of, in_bitmap, joined_by_share, named, rolled, utf8, written
 
 SHINGLE = 3
 #: Most UTF-8 bytes of benchmark text that are broadcast.
@@ -160,12 +160,12 @@ def _small_index(docs: DataFrame, benchmark: DataFrame, window: int) -> dict[int
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """window (its words), n, item_id, and the hashes of its shingles in order."""
+    """window (its words, a sign a byte), n, item_id, and the hashes of its shingles in order."""
     for batch in batches:
         rows = []
         for item, raw in zip(batch["item_id"].to_pylist(), batch["raw"], strict=True):
             for w in windows_of(words_of(raw.as_py()), window):
-                rows.append((b" ".join(w).decode(), len(w), item, rolled(list(w), min(SHINGLE, len(w))).view(np.int64).tolist()))
+                rows.append((b" ".join(w).decode("latin-1"), len(w), item, rolled(list(w), min(SHINGLE, len(w))).view(np.int64).tolist()))
         cols = zip(*rows, strict=True) if rows else ([], [], [], [])
         types = (pa.string(), pa.int32(), pa.string(), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=["window", "n", "item_id", "shingles"])
@@ -194,7 +194,8 @@ def _count_held(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: byt
 
 def _places(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: bytes, window: int) -> Iterator[pa.RecordBatch]:
     """Where prefixes may be: the text's key, the shingle's hash, how many words of it come before in
-    ``words``, the place of the first of these, and the words around it."""
+    ``words``, the place of the first of these, and the words around it, a sign a byte: so bytes of any
+    kind are compared as they are."""
     names = ["key", "h", "ahead", "first", "words"]
     types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
     for batch in batches:
@@ -208,7 +209,7 @@ def _places(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: bytes,
                 for at in np.flatnonzero(in_bitmap(h, bitmap)).tolist():
                     key = key or hashlib.sha256(text).hexdigest()
                     first = max(0, at - window)
-                    rows.append((key, int(h[at].view(np.int64)), at - first, first, [w.decode("utf-8", "replace") for w in words[first : at + window]]))
+                    rows.append((key, int(h[at].view(np.int64)), at - first, first, [w.decode("latin-1") for w in words[first : at + window]]))
             if len(rows) > 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
                 rows = []
@@ -294,10 +295,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     if _bytes_of(benchmark) > block_bytes:
         # the keys of contaminated texts; whole rows only move if these are too many to be broadcast
         hit = _joined(docs, benchmark, window).select(F.col("key").alias("_hit"))
-        return docs.join(hit, F.sha2(utf8("text"), 256) == F.col("_hit"), "left_anti").select(*[F.col(f"`{c}`") for c in own])
+        return docs.join(hit, F.sha2(utf8("text"), 256) == F.col("_hit"), "left_anti").select(*[named(c) for c in own])
     index = _small_index(docs, benchmark, window)
     if not index:
-        return docs.select(*[F.col(f"`{c}`") for c in own])
+        return docs.select(*[named(c) for c in own])
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf("boolean")
@@ -305,4 +306,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
         for raws in texts:
             yield pa.array([bool(find(words_of(raw.as_py()), shared.value)[0]) for raw in raws], pa.bool_())
 
-    return docs.where(~contaminated(utf8("text"))).select(*[F.col(f"`{c}`") for c in own])
+    return docs.where(~contaminated(utf8("text"))).select(*[named(c) for c in own])

@@ -16,7 +16,7 @@ copies are folded, counted and unfolded again, so a group of any size is split e
 Null and odd cases: a null text has no words; a null source is a source, ranked last; a null id
 sorts as an id of its own; rows that share an id alone are documents of their own; texts of any length
 are counted whole; of copies that differ in other columns, those come first whose row has the
-smaller hash; a mix without words has targets of 0; an empty table gives an empty result; other
+smaller digest; a mix without words has targets of 0; an empty table gives an empty result; other
 columns, of any name, pass through ``mix`` and are ignored by ``mix_digest``.
 """
 
@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import named, written
 
 #: A run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,6 +38,8 @@ CELL_ROWS = 4096
 SLOTS = 4096
 #: Copies of one row are unfolded in chunks of this many.
 CHUNK = 65536
+#: A row as JSON without loss.
+EXACT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def word_count(text: Column) -> Column:
@@ -154,7 +156,7 @@ def _taken(rows: DataFrame, plan: DataFrame, own: list[str]) -> DataFrame:
     """``own`` columns and times of ``rows`` (own columns, source, key): how often each row is taken.
 
     Only the copies of a cut key that is split need more than a look at the plan, and they are alike
-    in id, text and source: they fold, are ranked by a hash of their other columns, and unfold again.
+    in id, text and source: they fold, are ranked by a digest of their other columns, and unfold again.
     """
     cell = F.floor(F.conv(F.substring(F.col("key"), 1, 8), 16, 10).cast("long") * F.col("cells") / F.lit(2**32)).cast("long")
     again = (cell < F.col("cut_cell")) | ((cell == F.col("cut_cell")) & (F.col("key") <= F.col("last_key")))
@@ -163,13 +165,16 @@ def _taken(rows: DataFrame, plan: DataFrame, own: list[str]) -> DataFrame:
     plain = planned.where(~split).select(*own, (F.col("whole") + F.when(F.coalesce(again, F.lit(False)), F.lit(1)).otherwise(F.lit(0))).alias("times"))
     if plan.where("last_fits < last_n").isEmpty():
         return plain
-    hashed = planned.where(split).withColumn("h", F.xxhash64(*own))
-    folded = written(hashed.groupBy("plan_source", "h", "whole", "last_fits", *own).agg(F.count(F.lit(1)).alias("n")), "mix-split")
+    # columns of any type fold by a digest of all of them; equal digests are equal rows
+    digest = F.sha2(F.to_json(F.struct(*[named(c) for c in own]), EXACT), 256)
+    hashed = planned.where(split).withColumn("h", digest)
+    one = [F.any_value(named(c)).alias(c) for c in own]
+    folded = written(hashed.groupBy("plan_source", "h", "whole", "last_fits").agg(F.count(F.lit(1)).alias("n"), *one), "mix-split")
     by_slot = folded.groupBy("plan_source", _slot(F.col("h")).alias("slot")).agg(F.sum("n").alias("rows"))
     ahead = Window.partitionBy("plan_source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_slot.select(F.col("plan_source").alias("slot_source"), "slot", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("offset"))
     placed = folded.withColumn("own_slot", _slot(F.col("h"))).join(offsets, F.col("plan_source").eqNullSafe(F.col("slot_source")) & (F.col("own_slot") == F.col("slot")))
-    within = Window.partitionBy("plan_source", "slot").orderBy("h", *own).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("plan_source", "slot").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("place", F.col("offset") + F.coalesce(F.sum("n").over(within), F.lit(0)))
     more = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), F.col("last_fits") - F.col("place")))
     halves = F.array(F.struct(more.alias("rows"), (F.col("whole") + 1).alias("times")), F.struct((F.col("n") - more).alias("rows"), F.col("whole").alias("times")))
@@ -178,7 +183,7 @@ def _taken(rows: DataFrame, plan: DataFrame, own: list[str]) -> DataFrame:
 
 
 def _slot(h: Column) -> Column:
-    return F.pmod(h, F.lit(SLOTS))
+    return F.pmod(F.xxhash64(h), F.lit(SLOTS))
 
 
 def _unfolded(rows: DataFrame, count: str) -> DataFrame:
@@ -202,7 +207,7 @@ def mix(docs: DataFrame, seed: int = 20260818, **shares) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
     _, plan = plan_mix(docs, seed, **shares)
     own = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col("source"), order_key(F.col("doc_id"), F.col("text"), seed).alias("key"))
+    packed = docs.select(F.struct(*[named(c) for c in own]).alias("row"), F.col("source"), order_key(F.col("doc_id"), F.col("text"), seed).alias("key"))
     taken = _taken(packed, plan, ["row"])
     copies = taken.where(F.col("times") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     return copies.select(*[F.col("row")[c].alias(c) for c in own])

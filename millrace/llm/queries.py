@@ -37,7 +37,7 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.repair(_table(spark, sf_dir, "conversations")).drop("seq")
+    return chat.repair(_table(spark, sf_dir, "conversations"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,9 +145,9 @@ def traverse(rows: list[tuple[int, int]], before: tuple[int, ...], after: tuple[
             i += 1
 
 
-def prepared(conversations: DataFrame, copies: Column | None = None) -> DataFrame:
-    """conv, turn, role, text, n, code: folded rows with their fault and role. ``copies`` says how often a row
-    stands there; a row with 0 only makes its conversation known."""
+def prepared(conversations: DataFrame, copies: Column | None = None) -> tuple[DataFrame, int, int]:
+    """conv, turn, role, text, n, code: folded rows with their fault and role; how many, and their bytes of text. ``copies``
+    says how often a row stands there; a row with 0 only makes its conversation known."""
     rows = conversations.select(
         F.col("conv_id").alias("conv"), F.col("turn").try_cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"), (F.lit(1) if copies is None else copies).cast("long").alias("n"),
@@ -158,24 +158,23 @@ def prepared(conversations: DataFrame, copies: Column | None = None) -> DataFram
     keyed = written(folded.withColumn("key", F.sha2(F.concat(part(conv), part(F.col("role")), F.col("text")).cast("binary"), 256)), "structure-rows")
     turn = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
     repeats = keyed.where("n > 0").groupBy("key").agg(F.count(F.lit(1)).alias("times"), F.min(turn).alias("earliest")).where("times > 1")
-    joined = joined_by_share(keyed, F.when(F.col("n") > 0, F.col("key")), written(repeats, "structure-repeats"), "key", "times", keyed.count())
+    total, size = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    joined = joined_by_share(keyed, F.when(F.col("n") > 0, F.col("key")), written(repeats, "structure-repeats"), "key", "times", total)
     end = F.right(F.rtrim(F.col("text"), F.lit(WHITE)), F.lit(1))
     fault = F.when(end == "", BLANK).when(turn > F.col("earliest"), REPEAT).when(end.isin(".", "!", "?"), FINE).otherwise(CUT)
     initial = F.substring("role", 1, 1)
     role = F.when(initial == "s", SYSTEM).when(initial == "u", USER).when(initial == "a", ASSISTANT).otherwise(0)
-    return joined.select("conv", "turn", "role", "text", "n", (fault * 4 + role).cast("int").alias("code"))
+    return joined.select("conv", "turn", "role", "text", "n", (fault * 4 + role).cast("int").alias("code")), total, size
 
 
-def _ordered(rows: DataFrame, per_part: int) -> DataFrame:
+def _ordered(rows: DataFrame, total: int, size: int, per_part: int) -> DataFrame:
     """Rows in order, in ranges, kept in the shared folder so that every pass sees the same ranges."""
     spark = rows.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    held = written(rows.withColumn("sum", F.crc32(F.col("text").cast("binary"))), "structure-coded")
-    n, size = held.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / per_part), math.ceil(size / RANGE_BYTES))
-    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc(), F.substring("text", 1, HEAD).asc(), F.col("sum").asc()]
-    dealt = held.repartitionByRange(parts, *order).sortWithinPartitions(*order, F.col("text").asc())
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / per_part), math.ceil(size / RANGE_BYTES))
+    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc(), F.substring("text", 1, HEAD).asc(), F.crc32(F.col("text").cast("binary")).asc()]
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, F.col("text").asc())
     return dealt.select("conv", "turn", F.col("role").cast("binary").alias("role"), F.col("text").cast("binary").alias("text"), "n", "code").checkpoint()
 
 
@@ -393,7 +392,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repair(conversations: DataFrame, copies: Column | None = None, per_part: int = 200_000) -> DataFrame:
     """conv_id, place, turn, edits, role, text: every row (equal ones as one, with several letters) and insertion in
     the order of place; what is deleted has no role and text. The number itself depends on the ranges."""
-    rows = _ordered(prepared(conversations, copies), per_part)
+    rows = _ordered(*prepared(conversations, copies), per_part)
     chained = _chained(rows)
     schema = T.StructType([rows.schema["conv"], *T.StructType.fromDDL(EDIT).fields])
     return rows.mapInArrow(lambda it: _edit_rows(it, chained), schema).withColumnRenamed("conv", "conv_id")
@@ -401,7 +400,7 @@ def repair(conversations: DataFrame, copies: Column | None = None, per_part: int
 
 def digests(conversations: DataFrame, copies: Column | None = None, per_part: int = 200_000) -> DataFrame:
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of each conversation."""
-    rows = _ordered(prepared(conversations, copies), per_part)
+    rows = _ordered(*prepared(conversations, copies), per_part)
     chained = _chained(rows)
     schema = T.StructType([rows.schema["conv"], *T.StructType.fromDDL(SPAN).fields])
     spans = rows.mapInArrow(lambda it: _spans(it, chained), schema)

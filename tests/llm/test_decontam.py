@@ -83,3 +83,30 @@ def test_one_text_in_a_third_of_all_rows_by_joins(spark):
     got = decontam.scan(d, b, 10, block_bytes=10).collect()
     assert sorted(map(tuple, got)) == sorted(brute.contamination(docs, [(1, item)], 10))
     assert decontam.decontaminate(d, b, 10, block_bytes=10).count() == 600
+
+
+def test_bytes_that_are_no_text_in_both_ways(spark):
+    """Items and documents of invalid UTF-8 are compared byte by byte, however large the benchmark is."""
+    raw = [b"one \xff two \xfe three a b c d e f g", b"one \xfd two \xfe three a b c d e f g", b"caf\xe9 x"]
+    sql = "doc_id long, raw binary"
+    d = spark.createDataFrame([(1, b"so " + raw[0] + b" end"), (2, b"so " + raw[1] + b" end"), (3, b"CAF\xe9 X!"), (4, b"caf\xe8 x")], sql).selectExpr("doc_id", "cast(raw as string) as text")
+    b = spark.createDataFrame([(1, raw[0]), (2, raw[2])], sql).selectExpr("doc_id as item_id", "cast(raw as string) as text")
+    ways = [sorted(map(tuple, decontam.scan(d, b, 10, block).collect())) for block in (1 << 20, 1)]
+    assert ways[0] == ways[1] and [(r[0], r[2], r[5]) for r in ways[0]] == [(1, 12, True), (2, 10, True), (3, 2, True), (4, 0, False)]
+
+
+def test_columns_of_any_name(spark):
+    d = spark.createDataFrame([(1, "a b", "x", {"k": 1}), (2, "c", "y", {"k": 2})], "doc_id long, text string, `o`` d.d` string, key map<string,int>")
+    b = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    for block in (1 << 20, 1):
+        kept = decontam.decontaminate(d, b, 10, block)
+        assert kept.columns == d.columns and [r["doc_id"] for r in kept.collect()] == [2]
+
+
+def test_large_way_on_odd_tables(spark):
+    """A word in every document as an item, long texts, and tables without rows, by joins."""
+    docs = [(i, f"the the {i} of the") for i in range(200)] + [(900, "long " * 150_000 + "a b c d e f g h i j"), (901, None), (None, "the")]
+    items = [(1, "the"), (2, "A b c d e f g h i j k"), (None, "of the")]
+    d, b = frames(spark, docs, items)
+    assert sorted((tuple(r) for r in decontam.scan(d, b, 10, 1).collect()), key=str) == sorted(brute.contamination(docs, items, 10), key=str)
+    assert decontam.scan(d.limit(0), b, 10, 1).count() == 0 and decontam.scan(d, b.limit(0), 10, -1).where("contaminated").count() == 0

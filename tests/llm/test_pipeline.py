@@ -77,5 +77,22 @@ def test_one_query_an_operator():
     import __spark_entry__
 
     names = [n for n in __spark_entry__.queries() if n.startswith("op") and n in queries.QUERIES]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
+
+
+def test_odd_columns_repeats_and_long_texts(spark, tmp_path):
+    """Columns named like the stages' own, a map, repeated rows and a very long text go through all stages."""
+    rows, labels, items = corpus()
+    rows = [(*r, {"k": i % 3}, "x", i) for i, r in enumerate(rows)] + [(*rows[7], {"k": 1}, "y", 1)] * 3 + [(500, "long Words " * 100_000, "en", "s0", 5, {}, None, None)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, key map<string,long>, `times``.` string, row long"
+    write(spark, tmp_path, [r[:5] for r in rows], labels, items)
+    docs = spark.createDataFrame(rows, kind)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != "sharding":
+            assert out.columns == docs.columns, name
+            out.write.parquet(f"{tmp_path}/odd-{name}")
+            docs = spark.read.parquet(f"{tmp_path}/odd-{name}")
+            assert docs.where("doc_id = 500 and length(text) = 1100000").count() >= (name != "mixing")
+    assert out.count() == docs.count() > 0
