@@ -28,6 +28,7 @@ import functools
 import itertools
 import json
 import math
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -47,8 +48,8 @@ MAGIC = b"WVLT0001"
 SHARD_IDS, BLOCK = 1 << 24, 1 << 18
 #: Documents in a range, about.
 RANGE_ROWS = 200_000
-#: Documents encoded together.
-TOGETHER = 512
+#: Documents encoded together, and new chunks that go to the library as one text.
+TOGETHER, JOINED = 512, 1000
 SHARD = "part long, seq long, name string, n_docs long, n_ids long"
 DOC = "part long, seq long, place long, doc_id long, offset long, n_tokens long, ids binary"
 
@@ -220,51 +221,95 @@ class Encoder:
     """Token ids as the tokenizer file's library gives them, without begin, end or added special tokens."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel part; threads of each would only wait for cores
         spec = json.load(open(path, encoding="utf-8"))
         self.library = Tokenizer.from_file(path)
         specials = [t["content"] for t in spec["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
+        self.special = re.compile("|".join(map(re.escape, specials)), re.IGNORECASE) if specials else None
+        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        end, vocabulary = spec["model"].get("end_of_word_suffix") or "", spec["model"]["vocab"]
+        #: Which ids end a piece of a word.
+        self.ends_piece = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_piece[[i for t, i in vocabulary.items() if end and t.endswith(end)]] = True
+        #: The memo: a number for each chunk, the ids of chunk k at ``pool[ends[k] : ends[k + 1]]``, and how often it was met.
         self.at: dict[str, int] = {}
-        self.pool, self.offsets, self.used = np.zeros(1 << 16, dtype=np.uint32), [0], 0
+        self.pool, self.ends, self.uses, self.known = np.zeros(1 << 16, dtype=np.uint16), np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64), 0
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another, and how many each has."""
+        ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint32, count=int(lengths.sum())), lengths
+
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks without white space. Many go to the library as one text; the ids that end a piece, and the
+        number of pieces of each chunk, tell where a chunk ends. Where these don't agree, each chunk goes alone."""
+        ids, _ = self._library([" ".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)])
+        stops = np.flatnonzero(self.ends_piece[ids]) + 1
+        last = np.cumsum(np.fromiter(map(len, map(self.pieces, chunks)), dtype=np.int64, count=len(chunks)))
+        if len(stops) != last[-1] or (len(stops) and stops[-1] != len(ids)):
+            return self._library(chunks)
+        bounds = np.concatenate((np.zeros(1, dtype=np.int64), stops))[last]
+        return ids, np.diff(bounds, prepend=0)
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks by the library and keep their ids in the pool."""
-        for e in self.library.encode_batch_fast(chunks, add_special_tokens=False):
-            ids = e.ids
-            if self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate((self.pool, np.zeros(max(len(self.pool), len(ids)), dtype=np.uint32)))
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.offsets.append(self.used)
-        self.at.update(zip(chunks, range(len(self.offsets) - 1 - len(chunks), len(self.offsets) - 1), strict=True))
+        """Encode chunks and keep their ids in the pool, which grows by doubling."""
+        ids, lengths = self._chunks(chunks)
+        used, end, k = int(self.ends[self.known]), int(self.ends[self.known]) + len(ids), self.known + len(chunks)
+        kind = np.uint32 if len(ids) and int(ids.max()) >= 1 << 16 else self.pool.dtype
+        if end > len(self.pool) or kind != self.pool.dtype:
+            self.pool = np.concatenate((self.pool[:used], np.zeros(max(end, 2 * used) - used, dtype=kind)), dtype=kind)
+        if k >= len(self.ends):
+            more = np.zeros(max(k + 1, 2 * len(self.ends)) - len(self.ends), dtype=np.int64)
+            self.ends, self.uses = np.concatenate((self.ends, more)), np.concatenate((self.uses, more))
+        self.pool[used:end] = ids
+        self.ends[self.known + 1 : k + 1] = used + np.cumsum(lengths)
+        self.at.update(zip(chunks, range(self.known, k), strict=True))
+        self.known = k
 
     def _forget(self) -> None:
-        self.at.clear()
-        self.offsets, self.used = [0], 0
+        """Keep the chunks met most often, half of the memo at most."""
+        uses = self.uses[: self.known]
+        kept = np.sort(np.argsort(-uses, kind="stable")[: min(MEMO // 2, int((uses > 1).sum()))])
+        number = np.full(self.known, -1)
+        number[kept] = np.arange(len(kept))
+        starts, lengths = self.ends[kept], self.ends[kept + 1] - self.ends[kept]
+        ends = np.cumsum(lengths)
+        self.pool = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)]
+        self.ends = np.concatenate((np.zeros(1, dtype=np.int64), ends, np.zeros(1, dtype=np.int64)))
+        self.uses = np.concatenate((uses[kept] // 2, np.zeros(2, dtype=np.int64)))
+        self.known = len(kept)
+        self.at = {c: k for c, i in self.at.items() if (k := int(number[i])) >= 0}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. Texts are met in small groups, so that new chunks go to the library together."""
-        if len(self.at) > MEMO:
+        if self.known > MEMO:
             self._forget()
         out: list[np.ndarray | None] = [None] * len(texts)
         plain, whole = [], []
         for i, t in enumerate(texts):
             (whole if UNSURE.search(t) or (self.special is not None and self.special.search(t)) else plain).append(i)
-        for i, e in zip(whole, self.library.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, dtype=np.uint32)
+        if whole:
+            ids, lengths = self._library([texts[i] for i in whole])
+            for i, part in zip(whole, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
+                out[i] = part
         cut = [texts[i].lower().split() for i in plain]
-        new = {c for words in cut for c in words if c not in self.at}
+        new = set(itertools.chain.from_iterable(cut)).difference(self.at)
         if new:
-            self._learn(sorted(new))
-        offsets = np.array(self.offsets, dtype=np.int64)
-        for i, words in zip(plain, cut, strict=True):
-            at = np.fromiter(map(self.at.__getitem__, words), dtype=np.int64, count=len(words))
-            starts, lengths = offsets[at], offsets[at + 1] - offsets[at]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            out[i] = self.pool[np.arange(total) + np.repeat(starts - ends + lengths, lengths)]
+            self._learn(list(new))
+        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        at = np.fromiter(map(self.at.__getitem__, itertools.chain.from_iterable(cut)), dtype=np.int64, count=int(counts.sum()))
+        self.uses[: self.known] += np.bincount(at, minlength=self.known)
+        starts = self.ends[at]
+        lengths = self.ends[at + 1] - starts
+        ends = np.cumsum(lengths)
+        every = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)].astype(np.uint32)
+        bounds = np.concatenate((np.zeros(1, dtype=np.int64), ends))[np.cumsum(counts)]
+        for i, part in zip(plain, np.split(every, bounds[:-1]), strict=True):
+            out[i] = part
         for c in [c for c in new if len(c) > LONG_CHUNK]:  # not remembered
             del self.at[c]
         return out
