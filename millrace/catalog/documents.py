@@ -9,7 +9,7 @@ from millrace.catalog.common import COUNTER, document_rows, sql_document_rows, s
 from millrace.functions import text as X
 from millrace.operators import gates, vectors
 from millrace.operators.normalize import TRACE, length_reason
-from millrace.sources.scan import head, row_counts
+from millrace.sources.scan import file_rows, head_rows, row_counts
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -42,8 +42,9 @@ def accepted_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row cap in an explicit order, as an operator of its own."""
-    return head(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), 500, "doc_id")
+    """A row cap by file and place in it, as a source's scan applies it."""
+    docs = table(spark, sf_dir, "documents")
+    return head_rows(docs, file_rows(docs), 500).select("doc_id", "source", "lang")
 
 
 def row_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

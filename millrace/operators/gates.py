@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from millrace.plans.recipe import ALL_ONCE, Recipe, RecipeError, Source
@@ -15,11 +17,38 @@ def missing_columns(df: DataFrame, required: tuple[str, ...] = REQUIRED) -> list
     return sorted(set(required) - set(df.columns))
 
 
+def _sound(least: int, most: int) -> tuple[Column, Column]:
+    """Whether a row ends on the assistant, and whether its tokens are within bounds."""
+    last = F.get(F.col("messages"), F.size("messages") - 1)["role"]
+    return F.coalesce(last == "assistant", F.lit(False)), F.coalesce(F.col("token_count").between(least, most), F.lit(False))
+
+
+def observed(rows: DataFrame, sources: Sequence[str], least: int, most: int) -> tuple[DataFrame, Observation]:
+    """``rows`` and what is seen of them while they are written: rows, tokens and tagged rows, in all and by source,
+    and rows that break the contract. So no gate reads the messages again."""
+    ends, inside = _sound(least, most)
+    seen = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("token_count"), F.lit(0)).alias("tokens"), F.count_if(~ends).alias("unended"), F.count_if(~inside).alias("unbounded")]
+    for i, s in enumerate(sources):
+        own = F.col("source_id") == s
+        seen += [F.count_if(own).alias(f"rows_{i}"), F.coalesce(F.sum(F.when(own, F.col("token_count"))), F.lit(0)).alias(f"tokens_{i}"), F.count_if(own & F.col("has_think_tags")).alias(f"tagged_{i}")]
+    what = Observation()
+    return rows.observe(what, *seen), what
+
+
+def check_written(seen: dict[str, int], expected: dict[str, tuple[int, int]]) -> None:
+    """What was written must be what was selected: (rows, tokens) of each source in order, and every row must be sound."""
+    for i, (source, want) in enumerate(expected.items()):
+        if (got := (seen[f"rows_{i}"], seen[f"tokens_{i}"])) != want:
+            raise RecipeError(f"{source}: the table has {got[0]} rows and {got[1]} tokens, {want[0]} and {want[1]} were selected")
+    if seen["rows"] != sum(r for r, _ in expected.values()):
+        raise RecipeError(f"the table has {seen['rows']} rows, {sum(r for r, _ in expected.values())} were selected")
+    if seen["unended"] or seen["unbounded"]:
+        raise RecipeError(f"{seen['unended']} rows of the table don't end on the assistant, {seen['unbounded']} are out of bounds")
+
+
 def row_violations(rows: DataFrame, least: int, most: int) -> DataFrame:
     """Every row whose last message isn't the assistant's or whose token count is out of bounds."""
-    last = F.get(F.col("messages"), F.size("messages") - 1)["role"]
-    ends = F.coalesce(last == "assistant", F.lit(False))
-    inside = F.col("token_count").between(least, most)
+    ends, inside = _sound(least, most)
     return rows.withColumn("ends_on_assistant", ends).withColumn("tokens_in_bounds", inside).where(~ends | ~inside)
 
 

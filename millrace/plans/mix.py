@@ -4,40 +4,65 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections import defaultdict
 from dataclasses import asdict
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.messages import REASONS
 from millrace.functions.tokens import PatternCounter, TokenCounter
 from millrace.operators import gates
 from millrace.operators.normalize import CANONICAL, normalized
-from millrace.operators.select import Part, claims, order_key, priority_select
+from millrace.operators.select import Part, cell_of, claims, order_key, priority_select
 from millrace.plans import artifact
 from millrace.plans.recipe import ALL_ONCE, WEIGHTED, Recipe, RecipeError, Source
-from millrace.sources.scan import scan, table_digest
+from millrace.sources.scan import Store, scan, table_digest
 from millrace.sources.storage import written
 
 
-def shuffled(rows: DataFrame, seed: int, *keys: str) -> DataFrame:
-    """A seeded global order, dealt by range so that no task sorts everything."""
-    return rows.withColumn("_key", order_key(seed, F.concat_ws(":", *keys))).orderBy("_key", *keys).drop("_key")
+#: Rows in a file of a built table, about.
+FILE_ROWS = 250_000
 
 
-def normalize_source(spark: SparkSession, source: Source, index: int, recipe: Recipe, root: Path, counter: TokenCounter) -> tuple[DataFrame, dict, dict[str, int]]:
-    """Canonical rows with their row id and seeded key (written once), scan figures, reject reasons."""
-    raw, figures = scan(spark, source, root)
-    rows = normalized(raw, source, recipe.min_tokens_per_example, recipe.max_tokens_per_example, counter, keep=("_row_id",))
-    rows = written(rows.withColumn("_key", order_key(recipe.seed + index, F.col("_row_id"))), f"rows-{index}")
-    reasons = {r["_reason"]: r["n"] for r in rows.groupBy("_reason").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return rows, figures, reasons
+def shuffled(rows: DataFrame, seed: int, *keys: str, total: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """A seeded global order. Its key is uniform, so equal ranges of it are known beforehand: rows go straight to the range
+    that is theirs, without a pass to sample keys, and are sorted there. Files follow each other in the order."""
+    parts = max(1, math.ceil(total / file_rows))
+    keyed = rows.withColumn("_key", order_key(seed, F.concat_ws(":", *keys)))
+    return keyed.repartitionById(parts, cell_of(F.col("_key"), parts).cast("int")).sortWithinPartitions("_key", *keys).drop("_key")
+
+
+NARROW = ("source_id", "prompt_hash", "token_count", "language", "has_think_tags", "_valid", "_reason")
+
 
+def _normalized(raw: DataFrame, source: Source, recipe: Recipe, counter: TokenCounter) -> DataFrame:
+    return normalized(raw, source, recipe.min_tokens_per_example, recipe.max_tokens_per_example, counter, keep=("_row_id",))
 
-def build(spark: SparkSession, recipe: Recipe, root: Path, output: Path, counter: TokenCounter | None = None, git_sha: str = "", force: bool = False) -> dict:
-    """Write the selected rows, the claimed prompts and the manifest to ``output``."""
-    artifact.make_room(output, force)
+
+def normalize_source(spark: SparkSession, source: Source, index: int, recipe: Recipe, root: str | Path, counter: TokenCounter) -> tuple[DataFrame, DataFrame, dict, dict[str, int]]:
+    """The raw rows; what selection needs of the canonical ones, without messages (written once); scan figures; reject
+    reasons, counted while that is written."""
+    raw, figures = scan(spark, source, root)
+    seen = Observation()
+    rows = _normalized(raw, source, recipe, counter).select("_row_id", *NARROW, order_key(recipe.seed + index, F.col("_row_id")).alias("_key"))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("_reason") == r).alias(r) for r in REASONS])
+    rows = written(rows, f"rows-{index}")
+    counts = seen.get
+    if counts["rows"] != sum(counts[r] for r in REASONS):
+        raise RecipeError(f"{source.id}: rows were rejected for reasons that aren't known")
+    return raw, rows, figures, {r: counts[r] for r in REASONS if counts[r]}
+
+
+def build(spark: SparkSession, recipe: Recipe, root: str | Path, output: str | Path, counter: TokenCounter | None = None, git_sha: str = "", force: bool = False) -> dict:
+    """Write the selected rows, the claimed prompts and the manifest to ``output``, a folder in any store.
+
+    Messages are read to normalize them and read again for the selected rows alone, and written once.
+    """
+    working = artifact.make_room(spark, output, force)
+    place = Store(spark, output)
     counter = counter or PatternCounter()
     order = recipe.ordered()
     kinds = [s.selection for s in order]
@@ -45,11 +70,12 @@ def build(spark: SparkSession, recipe: Recipe, root: Path, output: Path, counter
         raise RecipeError("unknown selection")
     if WEIGHTED in kinds and ALL_ONCE in kinds[kinds.index(WEIGHTED) :]:
         raise RecipeError("consume-once sources must be selected before weighted ones")
+    raws: dict[str, DataFrame] = {}
     tables: dict[str, DataFrame] = {}
     figures: dict[str, dict] = {}
     reasons: dict[str, dict[str, int]] = {}
     for i, source in enumerate(order):
-        tables[source.id], figures[source.id], reasons[source.id] = normalize_source(spark, source, i, recipe, root, counter)
+        raws[source.id], tables[source.id], figures[source.id], reasons[source.id] = normalize_source(spark, source, i, recipe, root, counter)
         for reason, n in (source.expected_filter_reasons or {}).items():
             if reasons[source.id].get(reason, 0) != n:
                 raise RecipeError(f"{source.id}: {reasons[source.id].get(reason, 0)} rows are {reason}, not {n}")
@@ -71,30 +97,32 @@ def build(spark: SparkSession, recipe: Recipe, root: Path, output: Path, counter
         chosen, st = priority_select(every, [Part(s.id, quotas[s.id]) for s in order if s.selection == WEIGHTED], claimed)
         picked.append(written(chosen, "weighted"))
         stats |= {r["source_id"]: r.asDict() for r in st.collect()}
-    selected = picked[0] if len(picked) == 1 else picked[0].unionByName(picked[1])
+    selected = written(picked[0] if len(picked) == 1 else picked[0].unionByName(picked[1]), "selection", by="source_id")
     combined = None
-    for source in order:  # the messages come back by row id, once
+    for source in order:  # the messages of the selected rows, by row id, from the source itself; a source's ids are files of their own
         ids = selected.where(F.col("source_id") == source.id).select(F.col("row_id").alias("_row_id"))
-        part = tables[source.id].where("_valid").join(ids, "_row_id", "left_semi").select("_row_id", *CANONICAL)
+        part = _normalized(raws[source.id].join(ids, "_row_id", "left_semi"), source, recipe, counter).select("_row_id", *CANONICAL)
         combined = part if combined is None else combined.unionByName(part)
-    shuffled(combined, recipe.seed, "source_id", "_row_id").drop("_row_id").write.parquet(str(output / artifact.TABLE))
-    claims(selected).write.parquet(str(output / artifact.CLAIMS))
-    table = spark.read.parquet(str(output / artifact.TABLE))
-    metrics = {r["source_id"]: r.asDict() for r in gates.source_metrics(table).collect()}
+    expected = {s.id: (stats[s.id]["selected_rows"], stats[s.id]["selected_tokens"]) for s in order}
+    ordered = shuffled(combined, recipe.seed, "source_id", "_row_id", total=sum(r for r, _ in expected.values())).drop("_row_id")
+    watched, seen = gates.observed(ordered, list(expected), recipe.min_tokens_per_example, recipe.max_tokens_per_example)
+    watched.write.parquet(place.uri(f"{working}/{artifact.TABLE}"))
+    gates.check_written(seen.get, expected)
+    claims(selected).write.parquet(place.uri(f"{working}/{artifact.CLAIMS}"))
     languages: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in gates.language_counts(table).collect():
+    for r in gates.language_counts(spark.read.parquet(place.uri(f"{working}/{artifact.TABLE}"))).collect():  # two columns
         languages[r["source_id"]][r["language"]] = r["rows"]
     total = sum(x["selected_tokens"] for x in stats.values())
     described = []
-    for source in order:
-        got, st = metrics.get(source.id, {}), stats[source.id]
+    for i, source in enumerate(order):
+        st = stats[source.id]
         gates.check_source(source, reasons[source.id], st["selected_rows"], st["selected_tokens"], len(languages[source.id]))
         described.append(
             {
                 "id": source.id, "role": source.role, "language": source.language, "license": source.license, "selection": source.selection,
                 "requested_token_share": source.token_share, "token_quota": quotas.get(source.id), "input": asdict(source.input),
                 "valid_rows": reasons[source.id].get("ok", 0), "filter_reasons": dict(sorted(reasons[source.id].items())),
-                "think_tag_rows": got.get("think_tag_rows", 0), "language_counts": dict(sorted(languages[source.id].items())),
+                "think_tag_rows": seen.get[f"tagged_{i}"], "language_counts": dict(sorted(languages[source.id].items())),
                 "actual_token_share": st["selected_tokens"] / total if total else 0.0, **figures[source.id], **{k: v for k, v in st.items() if k != "source_id"},
             }
         )
@@ -102,22 +130,21 @@ def build(spark: SparkSession, recipe: Recipe, root: Path, output: Path, counter
         "recipe": recipe.version,
         "recipe_sha256": hashlib.sha256(json.dumps(asdict(recipe), sort_keys=True, default=str).encode()).hexdigest(),
         "repository_git_sha": git_sha, "built_at": artifact.now(), "seed": recipe.seed, "token_counter": counter.name, "model": recipe.model,
-        "target_tokens": recipe.target_tokens, "consume_once_tokens": fixed, "selected_tokens": total, "selected_rows": table.count(),
+        "target_tokens": recipe.target_tokens, "consume_once_tokens": fixed, "selected_tokens": total, "selected_rows": seen.get["rows"],
         "min_tokens_per_example": recipe.min_tokens_per_example, "max_tokens_per_example": recipe.max_tokens_per_example, "sources": described,
     }
-    artifact.write_manifest(spark, output, doc)
-    return artifact.read_manifest(output)
+    return artifact.publish(spark, output, working, doc)
 
 
-def validate(spark: SparkSession, recipe: Recipe, output: Path, full: bool = True) -> dict:
+def validate(spark: SparkSession, recipe: Recipe, output: str | Path, full: bool = True) -> dict:
     """Hold a built artifact against its recipe and manifest; raises at the first break."""
-    doc = artifact.read_manifest(output)
-    path = output / artifact.TABLE
+    doc = artifact.read_manifest(spark, output)
+    path = Store(spark, output).uri(artifact.TABLE)
     if doc.get("recipe") != recipe.version or doc.get("target_tokens") != recipe.target_tokens:
         raise RecipeError("the manifest is of another recipe")
     if table_digest(spark, path) != doc["output"]["sha256"]:
         raise RecipeError("the table's digest differs from the manifest")
-    table = spark.read.parquet(str(path))
+    table = spark.read.parquet(path)
     if table.count() != doc["selected_rows"]:
         raise RecipeError("the table's rows differ from the manifest")
     by_id = {x["id"]: x for x in doc["sources"]}
@@ -135,7 +162,7 @@ def validate(spark: SparkSession, recipe: Recipe, output: Path, full: bool = Tru
     return doc
 
 
-def audit(spark: SparkSession, recipe: Recipe, root: Path, source_ids: list[str], seed_claims: DataFrame | None = None, counter: TokenCounter | None = None) -> list[dict]:
+def audit(spark: SparkSession, recipe: Recipe, root: str | Path, source_ids: list[str], seed_claims: DataFrame | None = None, counter: TokenCounter | None = None) -> list[dict]:
     """What sources could give beyond claimed prompts, against their quotas; caps are ignored and
     consume-once tokens are the expected ones."""
     unknown = sorted(set(source_ids) - {s.id for s in recipe.sources})

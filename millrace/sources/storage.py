@@ -33,10 +33,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage at a table in the shared folder: a lost executor then costs a reread."""
+def written(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Cut the lineage at a table in the shared folder: a lost executor then costs a reread. ``by``: a column whose
+    values have folders of their own."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

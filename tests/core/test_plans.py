@@ -1,4 +1,6 @@
+import hashlib
 import json
+import re
 from dataclasses import replace
 
 import pytest
@@ -50,11 +52,11 @@ def test_build_validate_promote(spark, recipe, tmp_path):
     strip = lambda d: {k: v for k, v in d.items() if k not in ("built_at", "output")}
     assert strip(again) == strip(doc)
     with pytest.raises(RecipeError):
-        artifact.promote(out, tmp_path / "live", "b" * 40)
-    artifact.promote(out, tmp_path / "live", "a" * 40)
+        artifact.promote(spark, out, tmp_path / "live", "b" * 40)
+    artifact.promote(spark, out, tmp_path / "live", "a" * 40)
     assert (tmp_path / "live").resolve() == out.resolve()
     with pytest.raises(FileExistsError):
-        artifact.promote(out, tmp_path / "live", "a" * 40)
+        artifact.promote(spark, out, tmp_path / "live", "a" * 40)
     with pytest.raises(RecipeError):
         mix.validate(spark, replace(recipe, version="w"), out)
 
@@ -154,39 +156,81 @@ def test_run_record(tmp_path):
     assert got["attempts"][0]["exit_code"] == 3 and got["container"] == "c"
 
 
-def test_promotion_preconditions(tmp_path):
-    def built(name, **changes):
-        folder = tmp_path / name
-        folder.mkdir()
-        (folder / artifact.TABLE).write_bytes(b"parquet")
-        (folder / artifact.CLAIMS).write_bytes(b"claims")
-        doc = {"repository_git_sha": "a" * 40, "selected_tokens": 101, "target_tokens": 100, "output": {"path": str(folder / artifact.TABLE), "bytes": 7, "sha256": "b" * 64}}
-        doc = {**doc, **{k: v for k, v in changes.items() if k != "output"}, "output": {**doc["output"], **changes.get("output", {})}}
-        (folder / artifact.MANIFEST).write_text(json.dumps(doc))
-        return folder
-
-    cases = [{"repository_git_sha": "c"}, {"selected_tokens": 99}, {"output": {"path": "/other"}}, {"output": {"bytes": 8}}, {"output": {"sha256": "b" * 63}}]
-    broken_rules = [artifact.unmet(artifact.Built(f := built(f"bad{i}", **c), artifact.read_manifest(f), "a" * 40)) for i, c in enumerate(cases)]
-    empty = built("empty")
-    (empty / artifact.CLAIMS).write_bytes(b"")
-    broken_rules.append(artifact.unmet(artifact.Built(empty, artifact.read_manifest(empty), "a" * 40)))
-    assert all(len(r) == 1 for r in broken_rules) and {r[0] for r in broken_rules} == set(artifact.PRECONDITIONS)
-    good = built("good")
-    artifact.promote(good, tmp_path / "live", "a" * 40)
-    assert (tmp_path / "live").is_symlink() and (tmp_path / "live").resolve() == good.resolve()
+def test_promotion_of_a_real_build(spark, recipe, tmp_path):
+    """Every change to what was built stops promotion, by the rule that it breaks and no other."""
+    out = tmp_path / "built"
+    doc = mix.build(spark, recipe, tmp_path, out, git_sha="5" * 40)
+    store = S.Store(spark, out)
+    state = lambda d: artifact.unmet(artifact.Built(store, d, "5" * 40))
+    assert state(doc) == []
+    changed = {
+        "it was built by the expected revision": {"repository_git_sha": None},
+        "its tokens reach the target": {"target_tokens": doc["selected_tokens"] + 1},
+        "its manifest names this table": {"output": {**doc["output"], "path": doc["output"]["path"] + "2"}},
+        "its table has the manifest's size": {"output": {**doc["output"], "bytes": 0}},
+        "its table has the digest's form in the manifest": {"output": {**doc["output"], "sha256": doc["output"]["sha256"].upper() + "0"}},
+    }
+    for rule, change in changed.items():
+        assert state(doc | change) == [rule]
+    for p in (out / artifact.CLAIMS).glob("*part-*"):
+        p.unlink()
+    assert state(doc) == ["every part of it is there and not empty"] and {*changed, *state(doc)} == set(artifact.PRECONDITIONS)
+    with pytest.raises(RecipeError, match="every part"):
+        artifact.promote(spark, out, tmp_path / "there", "5" * 40)
+    with pytest.raises(RecipeError, match="no manifest"):
+        artifact.promote(spark, tmp_path / "nothing", tmp_path / "there", "5" * 40)
+
+
+def test_build_and_promotion_by_uri(spark, recipe, tmp_path, monkeypatch):
+    """A store without links gets a file that names the artifact; a build that breaks off is never seen."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.shelf.link./a", f"file://{tmp_path}")
+    out, live = "viewfs://shelf/a/far/out", "viewfs://shelf/a/far/live"
+    with monkeypatch.context() as m:
+        m.setattr(mix.gates, "check_written", lambda *a: (_ for _ in ()).throw(RecipeError("lost")))
+        with pytest.raises(RecipeError, match="lost"):
+            mix.build(spark, recipe, tmp_path, out, git_sha="e" * 40)
+    with pytest.raises(RecipeError, match="no manifest"):
+        artifact.read_manifest(spark, out)
+    doc = mix.build(spark, recipe, tmp_path, out, git_sha="e" * 40)
+    assert mix.validate(spark, recipe, out) == doc and doc["output"]["path"] == f"{out}/{artifact.TABLE}"
+    artifact.promote(spark, out, live, "e" * 40)
+    assert artifact.promoted(spark, live) == out
     with pytest.raises(FileExistsError):
-        artifact.promote(good, tmp_path / "live", "a" * 40)
-    with pytest.raises(RecipeError):
-        artifact.promote(tmp_path / "none", tmp_path / "other", "a" * 40)
+        artifact.promote(spark, out, live, "e" * 40)
+
+
+def reads_of(spark, column):
+    """For each finished execution, how often its plan scans a column of that name from files."""
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [re.findall(rf"ReadSchema: struct<[^\n]*\b{column}:", runs.apply(i).physicalPlanDescription()) for i in range(runs.size())]
+
+
+def test_messages_are_written_once_and_never_read_back(spark, recipe, tmp_path):
+    before = len(reads_of(spark, "messages"))
+    mix.build(spark, recipe, tmp_path, tmp_path / "out")
+    # each source to select, then all three to write; a plan is described twice, as first made and as run
+    assert [len(x) for x in reads_of(spark, "messages")[before:] if x] == [2, 2, 2, 6]
+
+
+def test_global_order_is_not_sampled(spark):
+    rows = spark.range(5000).select(F.lit("s").alias("source_id"), F.col("id").alias("_row_id"))
+    out = mix.shuffled(rows, 7, "source_id", "_row_id", total=5000, file_rows=700)
+    got = [r["_row_id"] for r in out.collect()]
+    key = F.md5(F.concat_ws(":", F.lit("7"), F.concat_ws(":", "source_id", "_row_id")).cast("binary"))
+    assert got == [r["_row_id"] for r in rows.orderBy(key).collect()]
+    assert "rangepartitioning" not in out._jdf.queryExecution().toString()
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 800
 
 
-def test_run_description(tmp_path):
-    (tmp_path / "manifest.json").write_text(json.dumps({"selected_rows": 3, "selected_tokens": 9, "output": {"sha256": "d" * 64}}))
-    (tmp_path / "config.json").write_text("{}")
-    (tmp_path / "snapshot.json").write_text(json.dumps({"repo_id": "o/m", "revision": "r"}))
-    doc = artifact.describe_run(tmp_path / "manifest.json", tmp_path, tmp_path / "config.json", tmp_path / "none", {"output_dir": "o"}, "a" * 40, False)
-    assert doc["parent_model"]["repo_id"] == "o/m" and len(doc["parent_model"]["config_sha256"]) == 64
-    assert doc["data"]["selected_rows"] == 3 and doc["data"]["parquet_sha256"] == "d" * 64 and doc["training"]["template_sha256"] is None
+def test_run_description(spark, tmp_path):
+    (tmp_path / "settings.yaml").write_text("a: 1\n")
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "rows"))
+    doc = artifact.describe_run(spark, {"settings": tmp_path / "settings.yaml", "data": tmp_path / "rows", "template": tmp_path / "none"}, {"steps": 3})
+    by = {x["role"]: x for x in doc["inputs"]}
+    assert doc["facts"] == {"steps": 3} and doc["missing"] == ["template"]
+    assert by["settings"]["sha256"] == hashlib.sha256(b"a: 1\n").hexdigest() and by["settings"]["bytes"] == 5
+    assert by["data"]["sha256"] == S.table_digest(spark, tmp_path / "rows") and by["data"]["bytes"] > 100 and by["template"]["bytes"] is None
 
 
 def test_model_invariants(tmp_path):
