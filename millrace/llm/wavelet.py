@@ -13,7 +13,8 @@ a checksum of the directory; every block has a checksum as well. A file is writt
 attempt, and the rows that the task returns name the files that count, so repeated tasks neither replace nor mix files.
 
 The library encodes: a text as a whole if it holds characters on which Python and the library could differ, else each
-distinct run without white space once, since no token crosses white space (the memo of a worker is bounded).
+distinct run without white space once, cut into the tokenizer's pieces, of which new ones go to the library: no token crosses
+white space or the ends of a piece. A worker's memo is bounded and keeps what it meets most often.
 
 Null and odd cases: a null text is empty and has the end id alone; special strings inside a text are handled as
 the library does by default; a null id comes before all others; rows that share an id stand by a checksum of their
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import scratch, utf8, written
-from millrace.llm.tokens import LONG_CHUNK, MEMO, UNSURE
+from millrace.llm.tokens import LONG_CHUNK, UNSURE
 from millrace.llm.warc import _filesystem
 
 MAGIC = b"WVLT0001"
@@ -48,6 +49,8 @@ MAGIC = b"WVLT0001"
 SHARD_IDS, BLOCK = 1 << 24, 1 << 18
 #: Documents in a range, about.
 RANGE_ROWS = 200_000
+#: Strings in a memo, of which a worker has two (some 150 MB each when full).
+MEMO = 1_000_000
 #: Documents encoded together, and new chunks that go to the library as one text.
 TOGETHER, JOINED = 512, 1000
 SHARD = "part long, seq long, name string, n_docs long, n_ids long"
@@ -64,7 +67,7 @@ class WaveletError(ValueError):
 def planes_of(values: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     """The bits of each plane, highest first."""
     for b in range(bits - 1, -1, -1):
-        ones = (values >> b) & 1 > 0
+        ones = (values & values.dtype.type(1 << b)) != 0
         yield ones
         values = np.concatenate((values[~ones], values[ones]))
 
@@ -217,48 +220,27 @@ class Shard:
 # ---- encoding
 
 
-class Encoder:
-    """Token ids as the tokenizer file's library gives them, without begin, end or added special tokens."""
+def _gathered(pool: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``pool[ends[k] : ends[k + 1]]`` for each k in ``at``, one after another, and the ends of each among them."""
+    starts = ends[at]
+    lengths = ends[at + 1] - starts
+    upto = np.cumsum(lengths)
+    return pool[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts - upto + lengths, lengths)], upto
 
-    def __init__(self, path: str):
-        import regex
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel part; threads of each would only wait for cores
-        spec = json.load(open(path, encoding="utf-8"))
-        self.library = Tokenizer.from_file(path)
-        specials = [t["content"] for t in spec["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, specials)), re.IGNORECASE) if specials else None
-        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
-        end, vocabulary = spec["model"].get("end_of_word_suffix") or "", spec["model"]["vocab"]
-        #: Which ids end a piece of a word.
-        self.ends_piece = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends_piece[[i for t, i in vocabulary.items() if end and t.endswith(end)]] = True
-        #: The memo: a number for each chunk, the ids of chunk k at ``pool[ends[k] : ends[k + 1]]``, and how often it was met.
-        self.at: dict[str, int] = {}
-        self.pool, self.ends, self.uses, self.known = np.zeros(1 << 16, dtype=np.uint16), np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64), 0
+class Memo:
+    """The ids of strings: a number for each string, the ids of number k at ``pool[ends[k] : ends[k + 1]]``, and how often
+    it was met."""
 
-    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after another, and how many each has."""
-        ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        return np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint32, count=int(lengths.sum())), lengths
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.learn, self.at = learn, {}
+        self.pool, self.ends, self.uses, self.known = np.zeros(1 << 16, dtype=np.uint16), np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64), 0
 
-    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for chunks without white space. Many go to the library as one text; the ids that end a piece, and the
-        number of pieces of each chunk, tell where a chunk ends. Where these don't agree, each chunk goes alone."""
-        ids, _ = self._library([" ".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)])
-        stops = np.flatnonzero(self.ends_piece[ids]) + 1
-        last = np.cumsum(np.fromiter(map(len, map(self.pieces, chunks)), dtype=np.int64, count=len(chunks)))
-        if len(stops) != last[-1] or (len(stops) and stops[-1] != len(ids)):
-            return self._library(chunks)
-        bounds = np.concatenate((np.zeros(1, dtype=np.int64), stops))[last]
-        return ids, np.diff(bounds, prepend=0)
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks and keep their ids in the pool, which grows by doubling."""
-        ids, lengths = self._chunks(chunks)
-        used, end, k = int(self.ends[self.known]), int(self.ends[self.known]) + len(ids), self.known + len(chunks)
+    def _add(self, new: list[str]) -> None:
+        """Learn strings; the pool grows by doubling."""
+        ids, lengths = self.learn(new)
+        used, k = int(self.ends[self.known]), self.known + len(new)
+        end = used + len(ids)
         kind = np.uint32 if len(ids) and int(ids.max()) >= 1 << 16 else self.pool.dtype
         if end > len(self.pool) or kind != self.pool.dtype:
             self.pool = np.concatenate((self.pool[:used], np.zeros(max(end, 2 * used) - used, dtype=kind)), dtype=kind)
@@ -267,51 +249,92 @@ class Encoder:
             self.ends, self.uses = np.concatenate((self.ends, more)), np.concatenate((self.uses, more))
         self.pool[used:end] = ids
         self.ends[self.known + 1 : k + 1] = used + np.cumsum(lengths)
-        self.at.update(zip(chunks, range(self.known, k), strict=True))
+        self.at.update(zip(new, range(self.known, k), strict=True))
         self.known = k
 
     def _forget(self) -> None:
-        """Keep the chunks met most often, half of the memo at most."""
+        """Keep the strings met most often, half of the memo at most."""
         uses = self.uses[: self.known]
         kept = np.sort(np.argsort(-uses, kind="stable")[: min(MEMO // 2, int((uses > 1).sum()))])
         number = np.full(self.known, -1)
         number[kept] = np.arange(len(kept))
-        starts, lengths = self.ends[kept], self.ends[kept + 1] - self.ends[kept]
-        ends = np.cumsum(lengths)
-        self.pool = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)]
-        self.ends = np.concatenate((np.zeros(1, dtype=np.int64), ends, np.zeros(1, dtype=np.int64)))
+        self.pool, upto = _gathered(self.pool, self.ends, kept)
+        self.ends = np.concatenate((np.zeros(1, dtype=np.int64), upto, np.zeros(1, dtype=np.int64)))
         self.uses = np.concatenate((uses[kept] // 2, np.zeros(2, dtype=np.int64)))
         self.known = len(kept)
         self.at = {c: k for c, i in self.at.items() if (k := int(number[i])) >= 0}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. Texts are met in small groups, so that new chunks go to the library together."""
+    def ids(self, groups: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the groups' strings, and where each group ends among them."""
         if self.known > MEMO:
             self._forget()
+        new = set(itertools.chain.from_iterable(groups)).difference(self.at)
+        if new:
+            self._add(list(new))
+        counts = np.fromiter(map(len, groups), dtype=np.int64, count=len(groups))
+        at = np.fromiter(map(self.at.__getitem__, itertools.chain.from_iterable(groups)), dtype=np.int64, count=int(counts.sum()))
+        self.uses[: self.known] += np.bincount(at, minlength=self.known)
+        every, upto = _gathered(self.pool, self.ends, at)
+        for c in [c for c in new if len(c) > LONG_CHUNK]:  # not remembered
+            del self.at[c]
+        return every, np.concatenate((np.zeros(1, dtype=np.int64), upto))[np.cumsum(counts)]
+
+
+class Encoder:
+    """Token ids as the tokenizer file's library gives them, without begin, end or added special tokens. Chunks without white
+    space are remembered, and so are the pieces that the tokenizer cuts them into; the library gets new pieces."""
+
+    def __init__(self, path: str):
+        import regex
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel part; threads of each would only wait for cores
+        spec = json.load(open(path, encoding="utf-8"))
+        self.library = Tokenizer.from_file(path)
+        specials = [t["content"] for t in spec["added_tokens"]]
+        self.special, self.mark = re.compile("|".join(map(re.escape, specials)), re.IGNORECASE), os.path.commonprefix(specials)
+        self.specials = bool(specials)
+        self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        end, vocabulary = spec["model"].get("end_of_word_suffix") or "", spec["model"]["vocab"]
+        #: Which ids end a piece.
+        self.ends_piece = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_piece[[i for t, i in vocabulary.items() if end and t.endswith(end)]] = True
+        self.pieces, self.chunks = Memo(self._pieces), Memo(self._chunks)
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another, and how many each has."""
+        ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint32, count=int(lengths.sum())), lengths
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces. Many go to the library as one text, and the ids that end a piece tell where; if these aren't as
+        many as the pieces, each goes alone."""
+        ids, _ = self._library([" ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)])
+        stops = np.flatnonzero(self.ends_piece[ids]) + 1
+        return (ids, np.diff(stops, prepend=0)) if len(stops) == len(pieces) and stops[-1] == len(ids) else self._library(pieces)
+
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, upto = self.pieces.ids(list(map(self.cut, chunks)))
+        return ids, np.diff(upto, prepend=0)
+
+    def _unsure(self, text: str) -> bool:
+        """Whether the library is to see the text as a whole."""
+        return bool(UNSURE.search(text) or (self.specials and self.mark.lower() in text.lower() and self.special.search(text)))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Texts are met in small groups, so that new pieces go to the library together."""
         out: list[np.ndarray | None] = [None] * len(texts)
-        plain, whole = [], []
-        for i, t in enumerate(texts):
-            (whole if UNSURE.search(t) or (self.special is not None and self.special.search(t)) else plain).append(i)
+        whole = [i for i, t in enumerate(texts) if self._unsure(t)]
         if whole:
             ids, lengths = self._library([texts[i] for i in whole])
             for i, part in zip(whole, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
                 out[i] = part
-        cut = [texts[i].lower().split() for i in plain]
-        new = set(itertools.chain.from_iterable(cut)).difference(self.at)
-        if new:
-            self._learn(list(new))
-        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-        at = np.fromiter(map(self.at.__getitem__, itertools.chain.from_iterable(cut)), dtype=np.int64, count=int(counts.sum()))
-        self.uses[: self.known] += np.bincount(at, minlength=self.known)
-        starts = self.ends[at]
-        lengths = self.ends[at + 1] - starts
-        ends = np.cumsum(lengths)
-        every = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)].astype(np.uint32)
-        bounds = np.concatenate((np.zeros(1, dtype=np.int64), ends))[np.cumsum(counts)]
-        for i, part in zip(plain, np.split(every, bounds[:-1]), strict=True):
+        plain = [i for i in range(len(texts)) if out[i] is None]
+        every, upto = self.chunks.ids([texts[i].lower().split() for i in plain])
+        every = every.astype(np.uint32)
+        for i, part in zip(plain, np.split(every, upto[:-1]), strict=True):
             out[i] = part
-        for c in [c for c in new if len(c) > LONG_CHUNK]:  # not remembered
-            del self.at[c]
         return out
 
 

@@ -85,10 +85,11 @@ def test_encoder_equals_library(monkeypatch):
     code = wavelet.Encoder(public_tokenizers.path(NAME))
     for start in range(0, len(texts), 500):
         assert [x.tolist() for x in code.encode(texts[start : start + 500])] == library(texts[start : start + 500])
-    assert max(map(len, code.at)) <= wavelet.LONG_CHUNK
+    assert max(map(len, [*code.chunks.at, *code.pieces.at])) <= wavelet.LONG_CHUNK
     monkeypatch.setattr(wavelet, "MEMO", 300)  # the memo forgets, again and again
     for start in range(0, len(texts), 100):
         assert [x.tolist() for x in code.encode(texts[start : start + 100])] == library(texts[start : start + 100])
+    code = wavelet.Encoder(public_tokenizers.path(NAME))
     code.ends_piece[:] = False  # a vocabulary that doesn't mark ends
     assert [x.tolist() for x in code.encode(["some chunks, never met before"])] == library(["some chunks, never met before"])
 
