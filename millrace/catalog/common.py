@@ -28,7 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source_index():
-    return F.substring("source", 4, 9).cast("int")
+    """A source's number, from which its seed follows; a name without one has none."""
+    return F.coalesce(F.substring("source", 4, 9).try_cast("int"), F.lit(0))
+
+
+def sources_of(rows: DataFrame) -> tuple[str, ...]:
+    """All sources, by number, then name: one row a source."""
+    found = [r["source_id"] for r in rows.select("source_id").distinct().collect()]
+    return tuple(sorted((s for s in found if s is not None), key=lambda s: (int(s[3:]) if s[3:].isdigit() else 1 << 31, s)))
 
 
 def document_rows(spark: SparkSession, sf_dir: str, banded: bool = True) -> DataFrame:
