@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.common import table
 from millrace.operators import evals
+from millrace.sources import results
 
 METRICS = ["quality,none", "toxic,none"]
 TASKS = ["de", "en", "es", "fr"]
@@ -43,6 +44,17 @@ def eval_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evals.required_rows(pairs, found)
 
 
+def eval_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by way of result documents: one JSON document a model and task, written and read as variants; one task in four
+    has its second metric as a text, which is a problem and no value."""
+    per = _scores(spark, sf_dir).groupBy("model_id", "task").agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("m"))
+    text = F.when(F.col("task") == TASKS[0], F.to_json(F.struct(F.col("m")[METRICS[0]].alias(METRICS[0]), F.lit("none").alias(METRICS[1])))).otherwise(F.to_json("m"))
+    content = F.concat(F.lit('{"results": {"'), "task", F.lit('": '), text, F.lit('}, "n-shot": {"'), "task", F.lit('": 3}}'))
+    docs = per.select("model_id", "task", F.concat_ws("/", "model_id", "task").alias("path"), content.cast("binary").alias("content"))
+    pairs = per.select("model_id", "task", F.explode(F.array(*map(F.lit, METRICS))).alias("metric"))
+    return results.results_of(docs, pairs).select("model_id", "task", "metric", F.round("value", 6).alias("value"), "num_fewshot", "problem")
+
+
 def eval_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _macro(spark, sf_dir)[1].select("model_id", F.round("macro", 6).alias("macro"))
 
@@ -64,13 +76,15 @@ def latest_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evals.last_attempt(events, "user_id", "ts", "event_id").select("user_id", "event_id", "event_type")
 
 
-QUERIES = {f.__name__: f for f in (eval_matrix, eval_rows, eval_missing, eval_macro, eval_select, eval_report, latest_attempt)}
+QUERIES = {f.__name__: f for f in (eval_documents, eval_matrix, eval_rows, eval_missing, eval_macro, eval_select, eval_report, latest_attempt)}
 
 _PER = """per as (select source as model_id, lang as task, avg(quality) as q, avg(toxic) as x from documents join labels using (doc_id) group by 1, 2),
   scores as (select model_id, task, (q + x) / 2 as score from per), macros as (select model_id, avg(score) as macro from scores group by 1)"""
 _CELL = "coalesce(printf('%.2f', round(max(score) filter (task = '{t}'), 9) * 100), '—') as {t}"
 
 ORACLES = {
+    "eval_documents": f"""with {_PER} select model_id, task, 'quality,none' as metric, round(q, 6) as value, 3 as num_fewshot, null::varchar as problem from per
+        union all select model_id, task, 'toxic,none', case when task <> '{TASKS[0]}' then round(x, 6) end, 3, case when task = '{TASKS[0]}' then 'no number for toxic,none' end from per""",
     "eval_matrix": "select model_id, task from (select distinct source as model_id from documents), (select distinct lang as task from documents) where task in ('de', 'fr')",
     "eval_rows": f"""with {_PER} select model_id, task, 'quality,none' as metric, round(q, 6) as value, 'quality_stderr,none' as stderr_metric from per
         union all select model_id, task, 'toxic,none', round(x, 6), 'toxic_stderr,none' from per""",

@@ -89,14 +89,28 @@ def report(scores: DataFrame, macros: DataFrame, tasks: list[str], baseline: str
     return joined.select("model_id", *[percent(F.col(f"`{t}`")).alias(t) for t in tasks], percent(F.col("macro")).alias("macro"), signed_percent(F.col("delta")).alias("delta"))
 
 
-def markdown(rows: DataFrame, title: str, not_run: Iterable[tuple[str, str]] = (), selected: str | None = None) -> str:
-    """A report table; its rows are models, so it is small."""
-    lines = [f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "|---|" + "---:|" * (len(rows.columns) - 1)]
-    lines += ["| " + " | ".join(map(str, r)) + " |" for r in rows.collect()]
-    if selected:
-        lines += ["", f"Selected: **{selected}**"]
-    lines += ["", "## Not run", "", *[f"- `{i}`: {why}" for i, why in not_run]]
-    return "\n".join(lines) + "\n"
+def summary(rows: DataFrame, chosen: str | None = None, rule: str = "", left_out: Iterable[tuple[str, str]] = ()) -> dict:
+    """An evaluation as a document: the report's rows by model, who was chosen and by what rule, and what wasn't run. A row a model."""
+    return {
+        "models": {r["model_id"]: {c: r[c] for c in rows.columns if c != "model_id"} for r in rows.orderBy("model_id").collect()},
+        "choice": {"model": chosen, "rule": rule} if chosen else None,
+        "left_out": [{"what": what, "why": why} for what, why in left_out],
+    }
+
+
+def markdown(doc: dict, title: str) -> str:
+    """A summary as a text: the choice first, then a table in even columns."""
+    out = [title, "=" * len(title), ""]
+    if doc["choice"]:
+        out += [f"{doc['choice']['model']} was chosen ({doc['choice']['rule'] or 'no rule given'}).", ""]
+    columns = ["model", *next(iter(doc["models"].values()), {})]
+    cells = [columns, *([m, *map(str, values.values())] for m, values in doc["models"].items())]
+    widths = [max(map(len, column)) for column in zip(*cells, strict=True)]
+    table = [" | ".join(c.ljust(w) if i == 0 else c.rjust(w) for i, (c, w) in enumerate(zip(line, widths, strict=True))) for line in cells]
+    out += [table[0], "-|-".join("-" * w for w in widths), *table[1:], ""]
+    if doc["left_out"]:
+        out += ["Not evaluated:", *(f"  {x['what']}, because {x['why']}" for x in doc["left_out"]), ""]
+    return "\n".join(out)
 
 
 def last_attempt(rows: DataFrame, key: str, *order: str) -> DataFrame:

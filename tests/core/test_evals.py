@@ -1,3 +1,4 @@
+import hashlib
 import json
 import struct
 
@@ -41,13 +42,34 @@ def test_matrix_scores_and_choice(spark, tmp_path):
     assert evals.geometric_macro(scores, spark.createDataFrame([("t1", 0.15)], "task string, least double")).first().model_id == "m1"
     table = evals.report(scores, macros, ["t0", "t1"], "m0").orderBy("model_id")
     assert tuple(table.collect()[1]) == ("m1", "60.00", "20.00", "40.00", "+10.00")
-    assert "Selected: **m1**" in evals.markdown(table, "T", [("x", "why")], "m1")
+    doc = evals.summary(table, "m1", "highest macro", [("x", "it is slow")])
+    assert json.loads(json.dumps(doc))["choice"] == {"model": "m1", "rule": "highest macro"} and doc["models"]["m1"]["delta"] == "+10.00"
+    text = evals.markdown(doc, "Scores").splitlines()
+    assert "m1 was chosen (highest macro)." in text and "  x, because it is slow" in text and any(x.startswith("m1 ") and x.endswith("+10.00") for x in text)
+    assert len({len(x) for x in text if " | " in x}) == 1
     (tmp_path / "eval" / "m0" / "t0" / "results_2.json").write_text("{}")
-    with pytest.raises(RecipeError):
+    with pytest.raises(RecipeError, match="m0/t0: 2 result documents, not 1"):
         results.read_results(spark, tmp_path / "eval", ["m0"], {"t0": ["acc,none"]})
-    for wrong in (["missing,none"], ["alias"]):  # a primary metric must be there, as a number
-        with pytest.raises(RecipeError):
-            results.read_results(spark, tmp_path / "eval", ["m1"], {"t0": ["acc,none", *wrong]})
+    for wrong in ("missing,none", "alias"):  # a primary metric must be there, as a number
+        with pytest.raises(RecipeError, match=f"m1/t0: no number for {wrong}$"):
+            results.read_results(spark, tmp_path / "eval", ["m1"], {"t0": ["acc,none", wrong]})
+
+
+def test_result_documents_of_any_shape(spark):
+    """Whatever stands in a document, each wanted metric has a value or a problem; nothing is opened on the driver."""
+    good = {"results": {"t": {"acc,none": 1, "acc_stderr,none": "N/A", "b": True, "s": "0.5", "big": 10**30, "nested": {"x": 1}}, "u": 3}, "n-shot": {"t": 5}, "more": [1, {"a": None}]}
+    docs = [("m", "t", "p1", json.dumps(good)), ("m", "u", "p2", json.dumps(good)), ("m", "v", "p3", "not json"), ("m", "w", "p4", "[1]"), ("n", "t", "p5", "{}"), ("n", "t", "p6", "{}"), ("m", "x", "p7", None)]
+    documents = spark.createDataFrame([(*d[:3], None if d[3] is None else d[3].encode()) for d in docs], "model_id string, task string, path string, content binary")
+    asked = results.wanted(spark, ["m"], {"t": ["acc,none", "b", "s", "big", "nested", "none"], "u": ["acc"], "v": ["a"], "w": ["a"], "x": ["a"], "y": ["a"]}).unionByName(results.wanted(spark, ["n"], {"t": ["acc,none"]}))
+    got = {(r["model_id"], r["task"], r["metric"]): r for r in results.results_of(documents, asked).collect()}
+    assert len(got) == 12
+    one = got["m", "t", "acc,none"]
+    assert (one["value"], one["stderr"], one["num_fewshot"], one["problem"]) == (1.0, None, 5, None) and one["result_sha256"] == hashlib.sha256(json.dumps(good).encode()).hexdigest()
+    assert got["m", "t", "big"]["value"] == 1e30
+    for metric in ("b", "s", "nested", "none"):
+        assert got["m", "t", metric]["problem"] == f"no number for {metric}" and got["m", "t", metric]["value"] is None
+    assert {t: got["m", t, "a"]["problem"] for t in "vwxy"} == {"v": "no result of v", "w": "no result of w", "x": "no result of x", "y": "0 result documents, not 1"}
+    assert got["m", "u", "acc"]["problem"].startswith("no ") and got["n", "t", "acc,none"]["problem"] == "2 result documents, not 1"
 
 
 def test_stderr_name(spark):

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.tokens import PatternCounter
 from millrace.plans import artifact, mix
-from millrace.plans.lint import RULES, Plan, broken, lint, model_violations
+from millrace.plans.lint import RULES, Plan, broken, lint, model_facts
 from millrace.plans.recipe import ALL_ONCE, Input, Recipe, RecipeError, Source, load
 from millrace.sources import scan as S
 
+MODEL_RULES = {"the model has the facts that the recipe expects", "the chat template marks turns"}
 SCHEMA = "messages array<struct<role:string,content:string>>, language string, id string"
 
 
@@ -142,7 +143,7 @@ def test_lint(tmp_path):
     }
     for name, plan in cases.items():
         assert name in {n for n, _ in broken(plan)}, name
-    assert set(cases) | found == set(RULES)
+    assert set(cases) | found | MODEL_RULES == set(RULES)
     (tmp_path / "r.yaml").write_text("version: v\ntarget_tokens: 5\nsources:\n- id: a\n  token_share: 1.0\n  input: {kind: local_parquet, path: /x}\n  extra: 1\n")
     assert load(tmp_path / "r.yaml").sources[0].input.path == "/x"
 
@@ -233,12 +234,14 @@ def test_run_description(spark, tmp_path):
     assert by["data"]["sha256"] == S.table_digest(spark, tmp_path / "rows") and by["data"]["bytes"] > 100 and by["template"]["bytes"] is None
 
 
-def test_model_invariants(tmp_path):
-    assert len(model_violations(tmp_path, {})) == 3
-    (tmp_path / "config.json").write_text(json.dumps({"architectures": ["A"], "vocab_size": 5, "rope_parameters": {"rope_theta": 7}}))
-    (tmp_path / "tokenizer_config.json").write_text(json.dumps({"eos_token": "<e>"}))
-    (tmp_path / "chat_template.jinja").write_text("<start_of_turn>x<end_of_turn>")
-    good = {"architecture": "A", "vocab_size": 5, "rope_theta": 7, "eos_token": "<e>"}
-    assert model_violations(tmp_path, good) == [] and len(model_violations(tmp_path, {**good, "vocab_size": 6, "pad_token": "<p>"})) == 2
-    (tmp_path / "chat_template.jinja").write_text("x")
-    assert len(model_violations(tmp_path, good)) == 2
+def test_model_facts_and_their_rules():
+    marks = "a <start_of_turn> b <end_of_turn>"
+    files = {"config.json": '{"architectures": ["Net"], "text": {"vocab_size": 9, "rope": {"theta": 1e4}}, "pad": 1}', "tokenizer_config.json": '{"pad": 2, "eos_token": "<e>"}', "chat.jinja": marks}
+    facts = model_facts(files)
+    assert facts["architecture"] == "Net" and facts["vocab_size"] == 9 and facts["config.text.rope.theta"] == facts["theta"] == 1e4 and facts["eos_token"] == "<e>"
+    assert "pad" not in facts and (facts["config.pad"], facts["tokenizer_config.pad"]) == (1, 2)
+    pinned = Recipe((Source("w", token_share=1.0),), 64)
+    found = lambda facts, **want: {(n, w) for n, w in broken(Plan(pinned, facts=facts, invariants=want)) if n in MODEL_RULES}
+    assert found(facts, architecture="Net", vocab_size=9) == found(None, vocab_size=1) == set()
+    assert found(facts, vocab_size=8, bos="<b>") == {("the model has the facts that the recipe expects", "vocab_size: 9 for 8"), ("the model has the facts that the recipe expects", "bos: None for '<b>'")}
+    assert found(model_facts({"chat.jinja": "<start_of_turn>"})) == {("the chat template marks turns", "<end_of_turn>")} and len(found({})) == 2
