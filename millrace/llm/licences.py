@@ -3,9 +3,11 @@
 Words are weighted by inverse document frequency over all documents. A text's headers are its
 windows of as many words as a notice has, wherever lines break; each notice is compared with all of
 them, and with the text as a whole. A header or text at ``COSINE`` or above carries the notice's
-licence, but of headers that overlap only the best licence's count (so kin are told apart); a text that matches as a whole is a licence file and declares its licence for its directory.
-Whole texts are also compared with full licence texts (folder ``licence_texts``); the better match
-counts. Two full texts are composed, not verbatim: ``AGPL-3.0`` and ``CC-BY-NC-4.0``. Files with no
+licence, if it has the words that tell kin apart (versions, lesser, affero, noncommercial and the like) as the notice has
+them and no others; of headers that overlap only the best licence's count. A text that matches as a whole is a licence file and declares its licence for its directory.
+Whole texts are also compared with full licence texts (folder ``licence_texts``); the better match counts, if such words are
+about as many. Names that a licence's own text brings up are no headers of its file. A text that is like a full one but for
+such words is a relative's that isn't at hand: it declares by the notice that it holds. Files with no
 header of their own take the licence of the nearest directory above them that declares one, found by
 joining the paths of directories, never of files, with the declaring paths.
 
@@ -41,47 +43,65 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import joined_by_share, utf8, written
 
-#: Licence names and notices that declare them.
-TEMPLATES = [
-    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+#: Licences of one family by name, title, and the versions that have notices of their own.
+GNU = (
+    ("GPL", "GNU General Public License", ("1", "2", "3")),
+    ("LGPL", "GNU Library General Public License", ("2",)),
+    ("LGPL", "GNU Lesser General Public License", ("2.1", "3")),
+    ("AGPL", "GNU Affero General Public License", ("3",)),
+)
+#: The parts of Creative Commons licences as they are written out, and the combinations there are.
+CC_PARTS = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+CC_KINDS = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+CC_VERSIONS = (("3.0", "Unported"), ("4.0", "International"))
+#: Other licence names and notices that declare them.
+NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
     ("ISC", "Licensed under the ISC License."),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction."),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Words that tell kin apart. A notice and what is named after it have the same of them.
+DECIDING = frozenset("1 2 3 4 affero agpl by cc0 gpl lesser lgpl nc nd noderivatives noderivs noncommercial sa sharealike".split())
+
+
+def notices() -> list[tuple[str, str]]:
+    """Names and notices: those of families by their patterns, and the others."""
+    out = list(NOTICES)
+    for short, title, versions in GNU:
+        for v in versions:
+            name = f"{short}-{v if '.' in v else v + '.0'}"
+            out += [
+                (name, f"This work is licensed under the {title}, version {v}."),
+                (name, f"modify it under the terms of the {title} as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version."),
+                (name, f"modify it under the terms of the {title} version {v} as published by the Free Software Foundation."),
+            ]
+    for kind in CC_KINDS:
+        for v, place in CC_VERSIONS:
+            long = "-".join(CC_PARTS[p] for p in kind.split("-"))
+            out += [(f"CC-{kind}-{v}", f"Licensed under CC {kind} {v}."), (f"CC-{kind}-{v}", f"This work is licensed under a Creative Commons {long} {v} {place} License.")]
+    return sorted(out)
+
+
+TEMPLATES = notices()
 #: Licences whose full text is a file template. Those without a notice above are there to be told from their kin.
 FULL = (
     "Apache-2.0", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0",
     "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "NCSA", "Unlicense",
 )
-#: Licences composed of a relative's full text: (name, relative, phrase, phrase instead, passage of its own).
-COMPOSED = (
-    ("AGPL-3.0", "GPL-3.0", "GNU General Public License", "GNU Affero General Public License",
-     "Remote Network Interaction. If you modify the Program, your modified version must prominently offer all users interacting with it remotely through a computer network "
-     "an opportunity to receive the Corresponding Source of your version by providing access to the Corresponding Source from a network server at no charge."),
-    ("CC-BY-NC-4.0", "CC-BY-4.0", "Attribution 4.0", "Attribution-NonCommercial 4.0",
-     "NonCommercial means not primarily intended for or directed towards commercial advantage or monetary compensation. Reproduce and Share the Licensed Material, in whole or in "
-     "part, for NonCommercial purposes only. Produce, reproduce, and Share Adapted Material for NonCommercial purposes only. The Licensor reserves any right to collect royalties, "
-     "including when the Licensed Material is used other than for NonCommercial purposes. Extract, reuse, reproduce, and Share the contents of the database for NonCommercial purposes only."),
-)
+#: Words whose number tells a full text from its kin's that isn't at hand.
+FULL_DECIDING = ("affero", "lesser", "library", "noncommercial", "noderivatives", "sharealike")
 COSINE = 0.75
+FAR = 1 << 20
 #: Hashed slots for the document frequencies of words that no template has.
 SLOTS = 1 << 18
 #: Slots in one row while counts are added up.
@@ -95,10 +115,12 @@ def words_of(text: str) -> list[str]:
 
 def full_texts() -> list[tuple[str, str]]:
     """Names and texts of the file templates."""
-    texts = {name: pkgutil.get_data(__package__, f"licence_texts/{name}.txt").decode("utf-8") for name in FULL}
-    for name, relative, phrase, instead, passage in COMPOSED:
-        texts[name] = re.sub(phrase.replace(" ", r"\s+"), instead, texts[relative], flags=re.IGNORECASE) + passage
-    return list(texts.items())
+    return [(name, pkgutil.get_data(__package__, f"licence_texts/{name}.txt").decode("utf-8")) for name in FULL]
+
+
+def of_kin(words: Counter, template: Counter) -> bool:
+    """Whether a whole text has about as many of the words that tell kin apart as a full licence text."""
+    return all(words[w] <= 2 * template[w] + 2 and template[w] <= 2 * words[w] + 2 for w in FULL_DECIDING)
 
 
 def slot_of(word: str) -> int:
@@ -111,10 +133,15 @@ class Matcher:
     def __init__(self, templates: Sequence[tuple[str, str]], frequency: dict[str, int], slots: np.ndarray, documents: int, tags: bool = True):
         spdx = [(name, f"SPDX-License-Identifier: {name}") for name in sorted({n for n, _ in templates})] if tags else []
         counted = [(name, words_of(text)) for name, text in [*templates, *spdx]]
+        self.full = {} if tags else {name: Counter(words) for name, words in counted}
+        self.decide = [] if not tags else [DECIDING & set(words) for _, words in counted]
+        # of a tag, every word of the name decides
+        self.tag = [frozenset() for _ in templates] + [frozenset(words_of(name)) for name, _ in spdx]
         self.idf = {w: math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1 for _, words in counted for w in words}
         self.other = np.log((1 + documents) / (1 + slots.astype(np.float64))) + 1
         self.by_word: dict[str, list[tuple[int, float]]] = {}
         self.names, self.lengths, self.units = [], [], []
+        self.brings: dict[str, set[str]] = {}
         self.anchors: dict[str, list[int]] = {}
         for i, (name, words) in enumerate(counted):
             v = {w: n * self.idf[w] for w, n in Counter(words).items()}
@@ -133,8 +160,9 @@ class Matcher:
         known = self.idf.get(word)
         return float(self.other[slot_of(word)]) if known is None else known
 
-    def best(self, words: Counter) -> tuple[float, str] | None:
-        """The best template's cosine and licence for a text as a whole, if it reaches the threshold."""
+    def best(self, words: Counter, kin: bool = False) -> tuple[float, str] | None:
+        """The best template's cosine and licence for a text as a whole, if it reaches the threshold; with ``kin``, whatever
+        the words that tell kin apart say."""
         known = sorted(words.keys() & self.by_word.keys())
         inside = sum((words[w] * self.idf[w]) ** 2 for w in known)
         least = inside + sum(n * n for n in words.values()) - sum(words[w] ** 2 for w in known)  # no word weighs less than 1
@@ -148,12 +176,18 @@ class Matcher:
         for w in known:
             for i, x in self.by_word[w]:
                 dots[i] = dots.get(i, 0.0) + x * words[w] * self.idf[w]
-        found = [(-round(d / norm, 6), self.names[i]) for i, d in dots.items() if d / norm >= COSINE]
+        found = [(-round(d / norm, 6), self.names[i]) for i, d in dots.items() if d / norm >= COSINE and (kin or self._same(i, words))]
         return (-min(found)[0], min(found)[1]) if found else None
 
+    def _same(self, i: int, words: Counter | set | dict) -> bool:
+        """Whether the words that tell kin apart are those of template i."""
+        if self.full:
+            return of_kin(words, self.full[self.names[i]])
+        return {w for w in DECIDING if w in words} == self.decide[i] and all(w in words for w in self.tag[i])
+
     def _windows(self, i: int, words: list[str], weights: list[float], at: list[int]) -> Iterator[tuple[float, str, int, int]]:
         """Windows of template i's length that hold a position in ``at`` and reach the threshold: negated cosine, licence, start, end."""
-        unit, m = self.units[i], min(self.lengths[i], len(words))
+        unit, m, decide, tag = self.units[i], min(self.lengths[i], len(words)), self.decide[i], self.tag[i]
         ranges: list[list[int]] = []  # of starts
         for p in at:
             lo, hi = max(0, p - m + 1), min(p, len(words) - m)
@@ -164,21 +198,30 @@ class Matcher:
         for lo, hi in ranges:
             count: dict[str, int] = {}
             dot = norm2 = 0.0
+            held = 0  # deciding words of the window that the template has, and those that it hasn't count far below
             for p in range(lo, hi + m):
                 w, x = words[p], weights[p]
                 n = count.get(w, 0)
                 count[w] = n + 1
+                if not n and w in DECIDING:
+                    held += 1 if w in decide else -FAR
                 norm2 += (2 * n + 1) * x * x
                 dot += x * unit.get(w, 0.0)
                 if p >= lo + m:
                     w, x = words[p - m], weights[p - m]
                     n = count[w] - 1
                     count[w] = n
+                    if not n and w in DECIDING:
+                        held -= 1 if w in decide else -FAR
                     norm2 -= (2 * n + 1) * x * x
                     dot -= x * unit.get(w, 0.0)
-                if p >= lo + m - 1 and (score := round(min(1.0, dot / math.sqrt(norm2)), 6)) >= COSINE:
+                if p >= lo + m - 1 and held == len(decide) and (score := round(min(1.0, dot / math.sqrt(norm2)), 6)) >= COSINE and all(count.get(x) for x in tag):
                     yield -score, self.names[i], p - m + 1, p + 1
 
+    def relative(self, words: Counter) -> bool:
+        """Whether a text is like a full licence text but for the words that tell kin apart."""
+        return self.best(words, kin=True) is not None
+
     def scan(self, text: str) -> tuple[list[tuple[float, str]], tuple[float, str] | None]:
         """(licences of headers, best first; licence of the whole text)."""
         words = words_of(text)
@@ -187,7 +230,7 @@ class Matcher:
             return [], None
         # a template can only match if the text holds enough of its weight
         able = {i for w in there & self.anchors.keys() for i in self.anchors[w]}
-        able = {i for i in able if sum(x * x for w, x in self.units[i].items() if w in there) >= COSINE**2 - 1e-9}
+        able = {i for i in able if self.decide[i] <= there and self.tag[i] <= there and sum(x * x for w, x in self.units[i].items() if w in there) >= COSINE**2 - 1e-9}
         best: dict[str, float] = {}
         if able:
             at: dict[int, list[int]] = {i: [] for i in sorted(able)}
@@ -241,7 +284,9 @@ def matchers_for(texts: DataFrame, templates: Sequence[tuple[str, str]], files:
     strips = counts.where("strip is not null").select(F.col("n").alias("i"), "strip").groupBy("i").applyInArrow(_added, "i long, strip binary")
     for r in strips.toLocalIterator():
         slots[r["i"]] = np.frombuffer(r["strip"], np.int64)
-    return Matcher(templates, seen, slots.reshape(-1), documents), Matcher(files, seen, slots.reshape(-1), documents, tags=False)
+    headers, whole = Matcher(templates, seen, slots.reshape(-1), documents), Matcher(files, seen, slots.reshape(-1), documents, tags=False)
+    whole.brings = {name: {n for _, n in headers.scan(text)[0]} - {name} for name, text in files}
+    return headers, whole
 
 
 def _scan(batches: Iterator[pa.RecordBatch], matcher: Matcher, files: Matcher) -> Iterator[pa.RecordBatch]:
@@ -250,11 +295,14 @@ def _scan(batches: Iterator[pa.RecordBatch], matcher: Matcher, files: Matcher) -
         for raw in batch["raw"]:
             text = raw.as_py().decode("utf-8", "replace")
             found, file = matcher.scan(text)
-            if full := files.best(Counter(words_of(text))):
+            if full := files.best(words := Counter(words_of(text))):
                 file = min(full, file or full, key=lambda x: (-x[0], x[1]))
-                best = {n: s for s, n in reversed(found)}
+                # names that the licence's own text brings up, as that of its kin, are no headers
+                best = {n: s for s, n in reversed(found) if n not in files.brings.get(full[1], ())}
                 best[full[1]] = max(full[0], best.get(full[1], 0.0))
                 found = sorted(((s, n) for n, s in best.items()), key=lambda x: (-x[0], x[1]))
+            elif file is None and found and files.relative(words):
+                file = found[0]  # the text of a licence that isn't at hand, by the notice that it holds itself
             names.append([n for _, n in found])
             scores.append(found[0][0] if found else None)
             whole.append(file[1] if file else None)

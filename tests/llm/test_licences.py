@@ -17,6 +17,12 @@ def cosine(idf, words, template):
     return sum(x[w] * y[w] for w in x.keys() & y.keys()) / (norm(x) * norm(y)) if x else 0.0
 
 
+def same(words, name, template):
+    """Whether a window has the template's deciding words, and for a tag all words of the name."""
+    tag = set(L.words_of(name)) if template.startswith("SPDX") else set()
+    return L.DECIDING & set(words) == L.DECIDING & set(L.words_of(template)) and tag <= set(words)
+
+
 def plain_scan(idf, text, templates):
     """licence -> best cosine of every window of a notice's length, and the best cosine of the whole text."""
     every = [*templates, *((n, f"SPDX-License-Identifier: {n}") for n in sorted({n for n, _ in templates}))]
@@ -25,9 +31,9 @@ def plain_scan(idf, text, templates):
     for name, template in every:
         m = min(len(L.words_of(template)), len(words))
         for i in range(len(words) - m + 1 if words else 0):
-            if (c := round(cosine(idf, words[i : i + m], template), 6)) >= L.COSINE:
+            if same(words[i : i + m], name, template) and (c := round(cosine(idf, words[i : i + m], template), 6)) >= L.COSINE:
                 windows.append((-c, name, i, i + m))
-        whole = max(whole, cosine(idf, words, template))
+        whole = max(whole, cosine(idf, words, template) if same(words, name, template) else 0.0)
     found, taken = {}, []
     for c, name, i, j in sorted(windows):  # of overlapping licences the best one stays
         if all(name == other or j <= a or b <= i for other, a, b in taken):
@@ -133,3 +139,40 @@ def test_full_licence_texts_declare(spark):
         assert name in got[2 * i].licences.split(",")
         assert (got[2 * i + 1].licence, got[2 * i + 1].basis, got[2 * i + 1].from_dir) == (name, "inherited", name)
     assert got[900].basis == got[901].basis == "none" and got[902].basis == "header"
+
+
+#: Headers of files as they are usually written, and their licences; None: no licence that has a notice.
+HEADERS = [
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MPL-1.1", 'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"), ("MIT", "SPDX-License-Identifier: MIT"), (None, "SPDX-License-Identifier: Zlib"),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    (None, "This work is licensed under a Creative Commons Attribution 2.0 Generic License."), (None, "Licensed under the Apache License, Version 1.1."), (None, "Licensed under CC BY-NC-SA 2.0."),
+]
+
+
+def test_kin_and_versions_are_told_apart(spark):
+    """As headers within files and as texts of their own; a version without a notice has no name."""
+    filler = "\n".join(f"line {i} of plain words that say nothing" for i in range(30))
+    rows = [row(i, f"d{i}/x", f"{filler}\n// {text}\n{filler}") for i, (_, text) in enumerate(HEADERS)] + [row(1000 + i, f"e{i}/x", text) for i, (_, text) in enumerate(HEADERS)]
+    got = run(spark, rows)
+    assert {i: got[i].licences for i in range(len(HEADERS))} == {i: name or "" for i, (name, _) in enumerate(HEADERS)}
+    assert {i: got[1000 + i].licence for i in range(len(HEADERS))} == {i: name for i, (name, _) in enumerate(HEADERS)}
+
+
+def test_full_texts_name_no_others(spark):
+    """Header lists of whole licence texts hold no foreign names, and a relative that isn't at hand isn't taken for one that is."""
+    texts = dict(L.full_texts())
+    affero = texts["GPL-3.0"].replace("GNU General Public License", "GNU Affero General Public License").replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE")
+    unfree = texts["CC-BY-4.0"].replace("Attribution 4.0", "Attribution-NonCommercial 4.0") + " NonCommercial purposes only." * 8
+    rows = [row(i, f"{n}/LICENSE", t) for i, (n, t) in enumerate(texts.items())] + [row(900, "a/COPYING", affero), row(901, "a/x", "plain"), row(902, "b/COPYING", unfree)]
+    got = run(spark, rows)
+    assert {n: got[i].licences for i, n in enumerate(texts)} == {n: n for n in texts}
+    assert got[900].licence == "AGPL-3.0" and got[901].licence == "AGPL-3.0" and got[902].licence != "CC-BY-4.0"
