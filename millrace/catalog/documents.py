@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from millrace.catalog.common import COUNTER, document_rows, sql_document_rows, sql_norm, sql_tokens, table
 from millrace.functions import text as X
 from millrace.operators import gates, vectors
+from millrace.operators.claims import ClaimStore
 from millrace.operators.normalize import TRACE, length_reason
+from millrace.sources import weights
 from millrace.sources.scan import file_rows, head_rows, row_counts
+from millrace.sources.storage import scratch, written
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -106,11 +109,32 @@ def tensor_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.audit(table(spark, sf_dir, "embeddings"), "embedding", "label").withColumn("absmax", F.round("absmax", 6))
 
 
+def weights_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding written as a tensor of weight files and read back by chunks: its values, how many aren't finite, the largest."""
+    weights.register(spark)
+    where = scratch(spark, "weights")
+    vectors_ = table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull())
+    vectors_.select(F.concat(F.lit("v"), "vec_id").alias("name"), F.col("embedding").alias("values")).write.format("weights").mode("append").save(where)
+    each = spark.read.format("weights").option("chunk_values", 48).load(where).select("name", "dtype", F.posexplode_outer("values").alias("at", "x"))
+    bad = F.isnan("x") | (F.abs("x") == float("inf"))
+    return each.groupBy("name", "dtype").agg(F.count("x").alias("n_values"), F.count_if(bad).alias("nonfinite"), F.round(F.max(F.when(~bad, F.abs("x"))), 6).alias("absmax"))
+
+
+def claim_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of the persistent claims: the earlier sources claim in two batches, each row of the later ones asks."""
+    rows = written(document_rows(spark, sf_dir, banded=False), "ledger-rows")
+    number = F.substring("source_id", 4, 9).try_cast("int")
+    ledger = ClaimStore(spark, scratch(spark, "ledger"), buckets=32)
+    for batch in (0, 1):
+        ledger.append(rows.where((number < 10) & (number % 2 == batch)), f"batch-{batch}")
+    return ledger.unclaimed(rows.where(F.coalesce(number >= 10, F.lit(True)))).select("source_id", "row_id", "prompt_hash")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         prompt_hash, trace_too_short, length_band, row_language, accepted_gate, scan_caps, row_count_gate, intra_dedup, dup_hash_scan, language_counts,
-        language_coverage, cross_claim_anti, repo_patterns, expected_vs_actual, sha_commit_lint, tensor_audit, tensor_inventory,
+        language_coverage, cross_claim_anti, claim_ledger, repo_patterns, expected_vs_actual, sha_commit_lint, tensor_audit, tensor_inventory, weights_round_trip,
     )
 }
 
@@ -119,6 +143,9 @@ _AUDIT = """count(*) as tensors, sum(len(embedding))::bigint as "values", sum(le
     sum(len(list_filter(embedding, lambda x: isinf(x))))::bigint as inf, sum(len(list_filter(embedding, lambda x: not isfinite(x))))::bigint as nonfinite,
     round(max(list_max(list_transform(embedding, lambda x: abs(x::double)))), 6) as absmax"""
 
+_CLAIMED = f"""with {_D}, x as (select *, substr(source_id, 4)::int < 10 as early from d)
+        select source_id, row_id, prompt_hash from x where not early and prompt_hash not in (select prompt_hash from x where early)"""
+
 ORACLES = {
     "prompt_hash": f"select doc_id, sha256(concat(lang, chr(0), {sql_norm('text')})) as prompt_hash from documents",
     "trace_too_short": f"select doc_id, length(trim(text))::int as chars from documents where length(trim(text)) < {TRACE}",
@@ -134,14 +161,16 @@ ORACLES = {
     "dup_hash_scan": f"with {_D} select prompt_hash, count(*) as copies from d group by 1 having count(*) > 1",
     "language_counts": "select source as source_id, lang as language, count(*) as rows from documents group by 1, 2",
     "language_coverage": "select source as source_id, count(distinct lang) as languages from documents group by 1",
-    "cross_claim_anti": f"""with {_D}, x as (select *, substr(source_id, 4)::int < 10 as early from d)
-        select source_id, row_id, prompt_hash from x where not early and prompt_hash not in (select prompt_hash from x where early)""",
+    "claim_ledger": _CLAIMED,
+    "cross_claim_anti": _CLAIMED,
     "repo_patterns": "select lang, string_agg(source, ',' order by source) as sources from (select distinct lang, source from documents) group by lang",
     "expected_vs_actual": """with a as (select source as source_id, lang as language, count(*) as n from documents group by 1, 2),
         e as (select source_id, language, n + case when language = 'es' then 1 else 0 end as n from a where source_id <> 'src0')
         select source_id, language, e.n as expected, a.n as actual from e full join a using (source_id, language) where e.n is distinct from a.n""",
     "sha_commit_lint": """select doc_id, regexp_full_match(case when doc_id % 3 = 0 then upper(substr(sha256(text), 1, 40)) else substr(sha256(text), 1, 40) end, '[0-9a-f]{40}') as is_commit,
         length(sha256(text)) = 64 as is_sha256, replace(source || '/' || lang, '/', '--') as folder from documents""",
+    "weights_round_trip": """select 'v' || vec_id as name, 'F32' as dtype, coalesce(len(embedding), 0)::bigint as n_values, coalesce(len(list_filter(embedding, lambda x: not isfinite(x))), 0)::bigint as nonfinite,
+        round(list_max(list_transform(list_filter(embedding, lambda x: isfinite(x)), lambda x: abs(x)::double)), 6) as absmax from embeddings where vec_id is not null""",
     "tensor_audit": f"select {_AUDIT} from embeddings",
     "tensor_inventory": f"select label, {_AUDIT} from embeddings group by label",
 }

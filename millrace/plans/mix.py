@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.messages import REASONS
 from millrace.functions.tokens import PatternCounter, TokenCounter
 from millrace.operators import gates
+from millrace.operators.claims import ClaimStore
 from millrace.operators.normalize import CANONICAL, normalized
 from millrace.operators.select import Part, cell_of, claims, order_key, priority_select
 from millrace.plans import artifact
@@ -56,9 +57,12 @@ def normalize_source(spark: SparkSession, source: Source, index: int, recipe: Re
     return raw, rows, figures, {r: counts[r] for r in REASONS if counts[r]}
 
 
-def build(spark: SparkSession, recipe: Recipe, root: str | Path, output: str | Path, counter: TokenCounter | None = None, git_sha: str = "", force: bool = False) -> dict:
+def build(spark: SparkSession, recipe: Recipe, root: str | Path, output: str | Path, counter: TokenCounter | None = None, git_sha: str = "", force: bool = False, ledger: ClaimStore | None = None) -> dict:
     """Write the selected rows, the claimed prompts and the manifest to ``output``, a folder in any store.
 
+    Prompts that other batches of ``ledger`` hold are not selected again, and the build's own become its batch there, named by
+    the recipe's version.
+
     Messages are read to normalize them and read again for the selected rows alone, and written once.
     """
     working = artifact.make_room(spark, output, force)
@@ -83,6 +87,8 @@ def build(spark: SparkSession, recipe: Recipe, root: str | Path, output: str | P
     for t in tables.values():
         narrow = t.where("_valid").select("source_id", F.col("_row_id").alias("row_id"), "prompt_hash", F.col("token_count").alias("tokens"), F.col("_key").alias("key"))
         every = narrow if every is None else every.unionByName(narrow)
+    if ledger is not None:
+        every = ledger.unclaimed(every, but=recipe.version)
     once = [Part(s.id, None) for s in order if s.selection == ALL_ONCE]
     picked, stats, fixed = [], {}, 0
     claimed = None
@@ -133,7 +139,10 @@ def build(spark: SparkSession, recipe: Recipe, root: str | Path, output: str | P
         "target_tokens": recipe.target_tokens, "consume_once_tokens": fixed, "selected_tokens": total, "selected_rows": seen.get["rows"],
         "min_tokens_per_example": recipe.min_tokens_per_example, "max_tokens_per_example": recipe.max_tokens_per_example, "sources": described,
     }
-    return artifact.publish(spark, output, working, doc)
+    built = artifact.publish(spark, output, working, doc)
+    if ledger is not None:
+        ledger.append(spark.read.parquet(place.uri(artifact.CLAIMS)), recipe.version)
+    return built
 
 
 def validate(spark: SparkSession, recipe: Recipe, output: str | Path, full: bool = True) -> dict:
@@ -162,7 +171,7 @@ def validate(spark: SparkSession, recipe: Recipe, output: str | Path, full: bool
     return doc
 
 
-def audit(spark: SparkSession, recipe: Recipe, root: str | Path, source_ids: list[str], seed_claims: DataFrame | None = None, counter: TokenCounter | None = None) -> list[dict]:
+def audit(spark: SparkSession, recipe: Recipe, root: str | Path, source_ids: list[str], seed_claims: DataFrame | ClaimStore | None = None, counter: TokenCounter | None = None) -> list[dict]:
     """What sources could give beyond claimed prompts, against their quotas; caps are ignored and
     consume-once tokens are the expected ones."""
     unknown = sorted(set(source_ids) - {s.id for s in recipe.sources})
@@ -170,22 +179,25 @@ def audit(spark: SparkSession, recipe: Recipe, root: str | Path, source_ids: lis
         raise RecipeError(f"unknown sources {', '.join(unknown)}")
     fixed = sum(s.expected_selected_tokens or 0 for s in recipe.sources if s.selection == ALL_ONCE)
     quotas = recipe.quotas(fixed)
-    seen = None if seed_claims is None else seed_claims.select("prompt_hash").distinct()
+    ledger = seed_claims if isinstance(seed_claims, ClaimStore) else None
+    seen = None if seed_claims is None or ledger else seed_claims.select("prompt_hash").distinct()
     out = []
     for source_id in source_ids:
         source = recipe.source(source_id)
         open_source = Source(**{**source.__dict__, "max_input_files": None, "max_raw_rows": None})
         raw, figures = scan(spark, open_source, root)
         rows = written(normalized(raw, source, recipe.min_tokens_per_example, recipe.max_tokens_per_example, counter, keep=("_row_id",)), "audit")
-        line, seen = capacity(rows.where("_valid").select("prompt_hash", F.col("_row_id").alias("row_id"), F.col("token_count").alias("tokens")), quotas[source_id], seen)
+        valid = rows.where("_valid").select("prompt_hash", F.col("_row_id").alias("row_id"), F.col("token_count").alias("tokens"))
+        line, seen = capacity(valid, quotas[source_id], seen, ledger)
         reasons = {r["_reason"]: r["n"] for r in rows.groupBy("_reason").agg(F.count(F.lit(1)).alias("n")).collect()}
         out.append({"source_id": source_id, "input_rows": figures["input_rows"], **line, "filter_reasons": dict(sorted(reasons.items()))})
     return out
 
 
-def capacity(rows: DataFrame, quota: int, seen: DataFrame | None) -> tuple[dict, DataFrame]:
+def capacity(rows: DataFrame, quota: int, seen: DataFrame | None, ledger: ClaimStore | None = None) -> tuple[dict, DataFrame]:
     """(figures of one source, prompts seen by now). The first row of a prompt, in row order, counts."""
     firsts = rows.groupBy("prompt_hash").agg(F.min(F.struct("row_id", "tokens"))["tokens"].alias("tokens"))
+    firsts = firsts if ledger is None else ledger.unclaimed(written(firsts, "firsts"))
     fresh = written(firsts if seen is None else firsts.join(seen, "prompt_hash", "left_anti"), "fresh")
     total, got = rows.count(), fresh.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()
     line = {

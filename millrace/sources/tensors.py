@@ -1,4 +1,4 @@
-"""Weight files: header scan on the driver, value scan in chunks on the executors."""
+"""Weight files: headers read through the files' store, values scanned in chunks on the executors."""
 
 from __future__ import annotations
 
@@ -19,9 +19,15 @@ WIDTH = {"F64": 8, "F32": 4, "F16": 2, "BF16": 2, "I64": 8, "I32": 4, "I16": 2,
 CHUNK_VALUES = 64 << 20
 
 
+def opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """The store of a path or uri, and the path in it."""
+    return pafs.FileSystem.from_uri(path if "://" in path else Path(path).resolve().as_uri())
+
+
 def header(path: str) -> tuple[int, dict]:
     """(where the data begin, name -> dtype, shape, data_offsets) of a safetensors file."""
-    with open(path, "rb") as f:
+    fs, local = opened(path)
+    with fs.open_input_file(local) as f:
         (n,) = struct.unpack("<Q", f.read(8))
         doc = json.loads(f.read(n))
     doc.pop("__metadata__", None)
@@ -47,11 +53,17 @@ def as_floats(raw: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(raw, kind) if kind else np.zeros(0, np.float32)
 
 
+def as_numbers(raw: bytes, dtype: str) -> np.ndarray:
+    """Values of any element type."""
+    kind = {"I64": np.int64, "I32": np.int32, "I16": np.int16, "I8": np.int8, "U8": np.uint8, "BOOL": np.uint8}.get(dtype)
+    return np.frombuffer(raw, kind) if kind else as_floats(raw, dtype)
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for path, name, dtype, begin, count in zip(*(batch[c].to_pylist() for c in ("file", "name", "dtype", "begin", "count")), strict=True):
-            fs, local = pafs.FileSystem.from_uri(path if "://" in path else Path(path).resolve().as_uri())
+            fs, local = opened(path)
             with fs.open_input_file(local) as f:
                 f.seek(begin)
                 v = as_floats(f.read(count * WIDTH[dtype]), dtype)
