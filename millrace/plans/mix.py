@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions.messages import REASONS
 from millrace.functions.tokens import PatternCounter, TokenCounter
-from millrace.operators import gates
+from millrace.operators import gates, pack
 from millrace.operators.claims import ClaimStore
 from millrace.operators.normalize import CANONICAL, normalized
 from millrace.operators.select import Part, cell_of, claims, order_key, priority_select
 from millrace.plans import artifact
 from millrace.plans.recipe import ALL_ONCE, WEIGHTED, Recipe, RecipeError, Source
-from millrace.sources.scan import Store, scan, table_digest
+from millrace.sources.scan import Store, file_rows, scan, table_digest, with_row_id
 from millrace.sources.storage import written
 
 
@@ -145,6 +145,21 @@ def build(spark: SparkSession, recipe: Recipe, root: str | Path, output: str | P
     return built
 
 
+def training_rows(spark: SparkSession, place: str | Path, columns: tuple[str, ...] = ("messages",)) -> DataFrame:
+    """The rows of a built or promoted artifact in their global order, of which training reads the messages alone."""
+    folder = artifact.promoted(spark, place)
+    artifact.read_manifest(spark, folder)  # without one there is no artifact
+    table = spark.read.parquet(Store(spark, folder).uri(artifact.TABLE))
+    return table.select(*columns)
+
+
+def training_bins(spark: SparkSession, place: str | Path, capacity: int = pack.CAPACITY, seed: int = 0) -> DataFrame:
+    """_row_id, token_count, bin, offset of every row of a built or promoted artifact: the packing that training would use.
+    Only token counts are read."""
+    table = training_rows(spark, place, ("token_count",))
+    return pack.packed(with_row_id(table, file_rows(table)), "token_count", "_row_id", capacity, seed)
+
+
 def validate(spark: SparkSession, recipe: Recipe, output: str | Path, full: bool = True) -> dict:
     """Hold a built artifact against its recipe and manifest; raises at the first break."""
     doc = artifact.read_manifest(spark, output)

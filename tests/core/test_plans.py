@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.tokens import PatternCounter
+from millrace.operators import pack
 from millrace.plans import artifact, mix
 from millrace.plans.lint import RULES, Plan, broken, lint, model_facts
 from millrace.plans.recipe import ALL_ONCE, Input, Recipe, RecipeError, Source, load
@@ -56,6 +57,13 @@ def test_build_validate_promote(spark, recipe, tmp_path):
         artifact.promote(spark, out, tmp_path / "live", "b" * 40)
     artifact.promote(spark, out, tmp_path / "live", "a" * 40)
     assert (tmp_path / "live").resolve() == out.resolve()
+    trained = mix.training_rows(spark, tmp_path / "live")
+    assert trained.columns == ["messages"] and trained.collect() == spark.read.parquet(str(out / artifact.TABLE)).select("messages").collect()
+    bins = mix.training_bins(spark, tmp_path / "live", capacity=300)
+    facts = pack.filled(bins, "token_count", 300).first()
+    assert (facts["rows"], facts["tokens"], facts["overfull"], facts["overlapping"]) == (doc["selected_rows"], doc["selected_tokens"], 0, 0)
+    with pytest.raises(RecipeError, match="no manifest"):
+        mix.training_rows(spark, tmp_path / "a.parquet")
     with pytest.raises(FileExistsError):
         artifact.promote(spark, out, tmp_path / "live", "a" * 40)
     with pytest.raises(RecipeError):
@@ -93,6 +101,7 @@ def test_resolve_snapshot(spark, tmp_path):
     source = Source("s", input=Input(kind="huggingface_snapshot", repo_id="org/set", revision="r" * 40, files="data/p*.parquet"))
     with pytest.raises(FileNotFoundError):
         S.resolve(spark, source, tmp_path)
+    assert Recipe((source, Source("l")), 1).of_kind("huggingface_snapshot") == [source]
     doc = S.write_snapshot(spark, root, "org/set", "r" * 40, ["data/*"])
     assert json.loads((root / "snapshot.json").read_text())["manifest_sha256"] == doc["manifest_sha256"]
     assert [p.path.split("/")[-1] for p in S.resolve(spark, source, tmp_path)] == ["p0.parquet", "p1.parquet"]
