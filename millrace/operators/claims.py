@@ -6,7 +6,7 @@ the join stands a bitmap of all claims, kept by batch in pages beside the table:
 nowhere. The bitmap has a fixed size (32 MB), so it is broadcast whatever the table holds; it misses no claim, and the more claims
 there are, the more rows go on to the join.
 
-A batch is written as a whole: appending it again replaces it, so a build that is repeated claims nothing twice. Null and odd cases:
+Many small batches are merged by ``compact``, so that buckets keep few files. A batch is written as a whole: appending it again replaces it, so a build that is repeated claims nothing twice. Null and odd cases:
 a null prompt is never claimed and always new; a prompt claimed twice in a batch is one claim, of the source that sorts first;
 an empty batch claims nothing.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.scan import Store
+from millrace.sources.storage import written
 
 #: Bits of the bitmap, and of a page of it (fixed by the aggregate that makes it).
 BITS, PAGE = 1 << 28, 32_768
@@ -64,6 +65,28 @@ class ClaimStore:
         pages = mine.groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits"))
         pages.write.mode("overwrite").parquet(self.store.uri(f"bitmap/batch={batch}"))
 
+    def batches(self) -> list[str]:
+        return sorted(r["partition"].removeprefix("batch=") for r in self.spark.sql(f"show partitions {self.name}").collect())
+
+    def compact(self, upto: str) -> None:
+        """Merge the batches up to ``upto``, by name, into one named ``<upto>.all``, which sorts behind them and before later ones.
+
+        Each prompt stays with the source that claimed it first. The merged batch is whole before the others go, so claims are
+        complete at any time; after a failure in between, some stand twice, which changes no answer, until the next call.
+        """
+        merged = f"{upto}.all"
+        old = [b for b in self.batches() if b <= upto]
+        if len(old) < 2:
+            return
+        first = F.min(F.struct("batch", "source_id")).alias("f")
+        once = self.claims().where(F.col("batch").isin(old)).groupBy("prompt_hash").agg(first)
+        self.append(written(once.select("prompt_hash", "f.source_id"), "claims-merged"), merged)
+        for b in old:
+            self.spark.sql(f"alter table {self.name} drop if exists partition (batch = '{b}')")
+            self.store.delete(f"table/batch={b}")
+            self.store.delete(f"bitmap/batch={b}")
+        self.spark.catalog.refreshTable(self.name)
+
     def _pages(self) -> DataFrame | None:
         if not self.store.exists("bitmap"):
             return None

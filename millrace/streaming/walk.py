@@ -51,8 +51,8 @@ def _inside() -> Column:
 class StreamSelection:
     """The selection below a folder of any store, for the sources and quotas in ``parts``."""
 
-    def __init__(self, folder: str, parts: Sequence[Part], buckets: int = BUCKETS, cell_rows: int = CELL_ROWS):
-        self.folder, self.parts, self.buckets, self.cell_rows = folder, list(parts), buckets, cell_rows
+    def __init__(self, folder: str, parts: Sequence[Part], buckets: int = BUCKETS, cell_rows: int = CELL_ROWS, merge_every: int = 64):
+        self.folder, self.parts, self.buckets, self.cell_rows, self.merge_every = folder, list(parts), buckets, cell_rows, merge_every
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Take from what is there now, then stop. ``stream``: source_id, row_id, prompt_hash, tokens, at."""
@@ -87,7 +87,10 @@ class StreamSelection:
         left = [(i, p.source_id, None if p.quota is None else max(p.quota, 1) - totals.get(p.source_id, (0, 0))[1]) for i, p in enumerate(self.parts)]
         places = spark.createDataFrame([x for x in left if x[2] is None or x[2] > 0], "turn int, place_id string, left long")
         claims = ClaimStore(spark, store.uri("claims"), self.buckets)
+        known = [b for b in self.done(spark) if b < number]
         with temporary(spark):
+            if known and number % self.merge_every == 0:
+                claims.compact(f"{known[-1]:0{DIGITS}d}")  # only batches that are done and won't be repeated
             chosen = self._chosen(batch, places, claims, name)
             chosen.write.mode("overwrite").parquet(store.uri(f"taken/batch={name}"))
             chosen = spark.read.schema(chosen.schema).parquet(store.uri(f"taken/batch={name}"))

@@ -39,6 +39,24 @@ def test_batches_and_what_is_left(spark, tmp_path):
         store.append(asked, "a'b")
 
 
+def test_merged_batches_answer_alike(spark, tmp_path):
+    store, asked = C.ClaimStore(spark, f"{tmp_path}/claims", buckets=4), frame(spark, 0, 60)
+    store.append(frame(spark, 0, 20), "b1")
+    store.append(frame(spark, 10, 30, "b"), "b2")
+    store.append(frame(spark, 40, 50, "c"), "b3")
+    before = numbers(store.unclaimed(asked)), {r["n"]: r["owner"] for r in store.owners(asked).collect()}
+    store.compact("b1")  # one batch is nothing to merge
+    assert store.batches() == ["b1", "b2", "b3"]
+    store.compact("b2")
+    assert store.batches() == ["b2.all", "b3"]
+    assert (numbers(store.unclaimed(asked)), {r["n"]: r["owner"] for r in store.owners(asked).collect()}) == before
+    store.append(frame(spark, 50, 55), "b4")
+    store.compact("b4")
+    assert store.batches() == ["b4.all"] and numbers(store.unclaimed(asked)) == [*range(30, 40), *range(55, 60)]
+    again = C.ClaimStore(spark, f"{tmp_path}/claims")
+    assert again.buckets == 4 and numbers(again.unclaimed(asked)) == [*range(30, 40), *range(55, 60)]
+
+
 def test_claims_are_not_shuffled(spark, tmp_path):
     store = C.ClaimStore(spark, f"{tmp_path}/claims", buckets=8)
     store.append(frame(spark, 0, 500), "one")

@@ -41,7 +41,7 @@ def got(spark, walk):
 @pytest.mark.parametrize("seed,cuts", [(1, ()), (2, (2, 80, 82))])
 def test_any_batches_give_the_walk(spark, tmp_path, seed, cuts):
     rows = arrivals(seed)
-    walk = StreamSelection(f"{tmp_path}/walk", PARTS, buckets=4, cell_rows=16)
+    walk = StreamSelection(f"{tmp_path}/walk", PARTS, buckets=4, cell_rows=16, merge_every=2)
     for i, (lo, hi) in enumerate(zip((0, *cuts), (*cuts, len(rows)), strict=True)):
         part = rows[lo:hi]
         random.Random(i).shuffle(part)
@@ -49,6 +49,8 @@ def test_any_batches_give_the_walk(spark, tmp_path, seed, cuts):
     assert got(spark, walk) == sorted(walked(rows), key=str)
     tokens = {r["source_id"]: (r["n"], r["t"]) for r in walk.taken(spark).groupBy("source_id").agg(F.count("*").alias("n"), F.sum("tokens").alias("t")).collect()}
     assert walk.totals(spark) == tokens
+    if cuts:  # the fourth batch came after the second one had merged the first and is itself the last
+        assert ClaimStore(spark, f"{tmp_path}/walk/claims").batches() == ["000000000001.all", "000000000002", "000000000003"]
 
 
 def test_a_full_source_claims_nothing(spark, tmp_path):
