@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from millrace.sources.storage import scratch, shared_dir, written
 
-__all__ = ["bitmap_of", "in_bitmap", "joined_by_share", "named", "rolled", "scratch", "shared_dir", "utf8", "written"]
+__all__ = ["bitmap_of", "frequent", "in_bitmap", "joined_by_share", "joined_in_parts", "named", "rolled", "scratch", "shared_dir", "utf8", "written"]
 
 #: Least and most bits (powers of two) of a bitmap.
 BITMAP_LEAST, BITMAP_MOST = 25, 28
+#: Share of all rows from which on a key is dealt over parts; there are at most its inverse many such keys.
+PART = 1 / 16384
+#: Fewest rows of a part.
+PART_LEAST = 1024
 #: Odd factors that a shingle's words are mixed with.
 STEP = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9, 0xABC98388FB8FAC03], dtype=np.uint64)
 
@@ -76,6 +80,24 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def frequent(counts: DataFrame, key: str) -> DataFrame:
+    """key, parts: the keys of ``counts`` (key, n) with more than a ``PART`` of all rows, and how many such
+    shares they have. There are at most ``1 / PART`` of them."""
+    bound = max(PART_LEAST, math.ceil((counts.agg(F.sum("n")).first()[0] or 0) * PART))
+    return counts.where(F.col("n") > bound).select(key, F.ceil(F.col("n") / bound).alias("parts"))
+
+
+def joined_in_parts(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame, by: list[str]) -> DataFrame:
+    """Inner join on ``key``, whose rows are counted in ``counts`` (key, n). Rows of a frequent key are dealt over
+    parts by a hash of the columns ``by``; its rows of ``table`` go to each part. So no task gathers a key's rows."""
+    hot = F.broadcast(frequent(counts, key).select(F.col(key).alias("_hot"), F.col("parts").alias("_parts")))
+    mark = lambda df: df.join(hot, F.col(key) == F.col("_hot"), "left").drop("_hot")
+    part = F.coalesce(F.pmod(F.xxhash64(*by), F.col("_parts")), F.lit(0).cast("long"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1).cast("long")) - 1))
+    dealt, copied = (mark(df).withColumn("_part", p).drop("_parts") for df, p in ((rows, part), (table, every)))
+    return dealt.join(copied, [key, "_part"]).drop("_part")
+
+
 def joined_by_share(rows: DataFrame, key: Column, table: DataFrame, table_key: str, n: str, total: int, share: float = 0.001) -> DataFrame:
     """Left join of ``rows`` with a table of one row a key, whose column ``n`` counts the key's rows.
 

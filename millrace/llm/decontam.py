@@ -11,6 +11,8 @@ Up to ``BLOCK_BYTES`` of benchmark text, windows are broadcast and joined where
 read, without any shuffle. Beyond, the same join is one of tables: documents are passed three times
 (to count shingles, to give the places of prefixes with the words around them, to take the answers),
 however large the benchmark is, and bitmaps of bounded size keep out shingles that no window has.
+Places of a frequent prefix, and texts of a frequent window, are dealt over parts, to each of which the
+windows or items go.
 
 Null and odd cases: a null text has no words and is not contaminated; an item without words has no
 window; words are found in texts of any length; repeated documents give repeated rows; an item
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import bitmap_of, in_bitmap, joined_by_share, named, rolled, utf8, written
+from millrace.llm.common import bitmap_of, frequent, in_bitmap, joined_by_share, joined_in_parts, named, rolled, utf8, written
 
 SHINGLE = 3
 #: Most UTF-8 bytes of benchmark text that are broadcast.
@@ -192,10 +194,10 @@ def _count_held(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: byt
         yield flush()
 
 
-def _places(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: bytes, window: int) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmaps: list[bytes], window: int) -> Iterator[pa.RecordBatch]:
     """Where prefixes may be: the text's key, the shingle's hash, how many words of it come before in
     ``words``, the place of the first of these, and the words around it, a sign a byte: so bytes of any
-    kind are compared as they are."""
+    kind are compared as they are. A prefix of fewer than ``SHINGLE`` words is its whole window."""
     names = ["key", "h", "ahead", "first", "words"]
     types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
     for batch in batches:
@@ -206,10 +208,11 @@ def _places(batches: Iterator[pa.RecordBatch], sizes: list[int], bitmap: bytes,
             key = None
             for size in sizes:
                 h = rolled(words, size)
-                for at in np.flatnonzero(in_bitmap(h, bitmap)).tolist():
+                around = window if size == SHINGLE else 0
+                for at in np.flatnonzero(np.logical_and.reduce([in_bitmap(h, x) for x in bitmaps])).tolist():
                     key = key or hashlib.sha256(text).hexdigest()
-                    first = max(0, at - window)
-                    rows.append((key, int(h[at].view(np.int64)), at - first, first, [w.decode("latin-1") for w in words[first : at + window]]))
+                    first = max(0, at - around)
+                    rows.append((key, int(h[at].view(np.int64)), at - first, first, [w.decode("latin-1") for w in words[first : at + max(around, size)]]))
             if len(rows) > 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
                 rows = []
@@ -228,19 +231,27 @@ def _joined(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     own = windows.select("window", "n", F.posexplode("shingles").alias("offset", "h"))
     held = broadcast(bitmap_of(own.select("h").distinct()))
     counts = texts.mapInArrow(lambda it: _count_held(it, sizes, held.value), "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
+    counts = written(counts, "decontam-counts")
     rarest = F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "h", "offset")).alias("p")
     prefix = own.join(counts, "h", "left").groupBy("window", "n").agg(rarest).select("p.h", "p.offset", "window", "n")
     prefix = written(prefix, "decontam-prefixes")
     wanted = broadcast(bitmap_of(prefix.select("h").distinct()))
     kind = "key string, h long, ahead int, first int, words array<string>"
-    places = texts.mapInArrow(lambda it: _places(it, sizes, wanted.value, window), kind).distinct()  # equal texts count once
+    places = texts.mapInArrow(lambda it: _places(it, sizes, [held.value, wanted.value], window), kind).distinct()  # equal texts count once
+    # whatever has its bits set in both bitmaps has been counted: prefixes, and what has their bits by chance
+    count = counts.select("h", F.col("c").alias("n"))
+    chance = frequent(count.join(prefix, "h", "left_anti"), "h")
+    places = places.join(F.broadcast(chance), "h", "left_anti")
     start = F.col("ahead") - F.col("offset")
-    found = places.join(prefix, "h").where(start >= 0).where(F.array_join(F.slice("words", start + 1, F.col("n")), " ") == F.col("window"))
+    placed = joined_in_parts(places, prefix, "h", count.join(prefix, "h", "left_semi"), ["key", "first", "ahead"])
+    found = placed.where(start >= 0).where(F.array_join(F.slice("words", start + 1, F.col("n")), " ") == F.col("window"))
     span = F.struct((F.col("first") + start).cast("long").alias("a"), (F.col("first") + start + F.col("n")).cast("long").alias("b"))
-    found = written(found.select("key", "window", span.alias("span")).distinct(), "decontam-found")
+    found = written(found.select("key", F.sha2("window", 256).alias("window"), span.alias("span")).distinct(), "decontam-found")
     spans = found.groupBy("key").agg(F.collect_set("span").alias("spans"))  # as many as the text has words, at most
-    named = found.select("key", "window").distinct().join(owned.where(F.col("item_id").isNotNull()).select("window", "item_id"), "window")
-    listed = named.select("key", "item_id").distinct().groupBy("key").agg(F.collect_list("item_id").alias("items"))
+    held_by = written(found.select("key", "window").distinct(), "decontam-texts")
+    owners = owned.where(F.col("item_id").isNotNull()).select(F.sha2("window", 256).alias("window"), "item_id")
+    named_by = joined_in_parts(held_by, owners, "window", held_by.groupBy("window").agg(F.count(F.lit(1)).alias("n")), ["key"])
+    listed = named_by.select("key", "item_id").distinct().groupBy("key").agg(F.collect_list("item_id").alias("items"))
     return written(spans.join(listed, "key", "left"), "decontam-hits")
 
 

@@ -3,8 +3,9 @@ from collections import Counter
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.llm import decontam
+from millrace.llm import common, decontam
 
 
 def frames(spark, docs, items):
@@ -110,3 +111,28 @@ def test_large_way_on_odd_tables(spark):
     d, b = frames(spark, docs, items)
     assert sorted((tuple(r) for r in decontam.scan(d, b, 10, 1).collect()), key=str) == sorted(brute.contamination(docs, items, 10), key=str)
     assert decontam.scan(d.limit(0), b, 10, 1).count() == 0 and decontam.scan(d, b.limit(0), 10, -1).where("contaminated").count() == 0
+
+
+def test_frequent_prefixes_and_windows_in_parts(spark, monkeypatch):
+    """One-word items in every document: places and texts are dealt over parts, answers stay the same."""
+    monkeypatch.setattr(common, "PART", 0.01)
+    monkeypatch.setattr(common, "PART_LEAST", 3)
+    docs = [(i, f"the cat {i} of the {'a b c d e f g h i j k' if i % 3 == 0 else 'b c d'} the") for i in range(150)]
+    items = [(1, "the"), (2, "The!"), (3, "A b c d e f g h i j k"), (None, "of the"), (4, "b c d"), (5, "absent words only here")]
+    d, b = frames(spark, docs, items)
+    assert sorted((tuple(r) for r in decontam.scan(d, b, 10, 1).collect()), key=str) == sorted(brute.contamination(docs, items, 10), key=str)
+
+
+def test_joined_in_parts(spark, monkeypatch):
+    """Each row meets each of its key's rows once; no part of a key is much more than its share."""
+    monkeypatch.setattr(common, "PART", 0.01)
+    monkeypatch.setattr(common, "PART_LEAST", 10)
+    rows = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'hot', concat('k', id % 400)) as k")
+    table = spark.createDataFrame([("hot", 1), ("hot", 2), ("k7", 3), ("none", 4)], "k string, v int")
+    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    assert [tuple(r) for r in common.frequent(counts, "k").collect()] == [("hot", 34)]
+    want = rows.join(table, "k")
+    got = common.joined_in_parts(rows, table, "k", counts, ["id"])
+    assert sorted(map(tuple, got.select("id", "k", "v").collect())) == sorted(map(tuple, want.select("id", "k", "v").collect()))
+    empty = common.joined_in_parts(rows.limit(0), table, "k", counts.limit(0), ["id"])
+    assert empty.count() == 0
