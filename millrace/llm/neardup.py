@@ -6,8 +6,8 @@
 2. Candidates: classes that share a band's hash meet in a bucket. There, similarity is estimated
    from the signatures by bit counts, corrected for chance collisions of the kept bits. Pairs far
    enough below the threshold (``MARGIN`` standard errors) are passed over.
-3. Confirmation: pairs are dealt to blocks by one end. A block holds the full sets of up to
-   ``BLOCK`` ends, takes every other set that it needs once, and links a pair if
+3. Confirmation: pairs are dealt to blocks by one end. A block holds the full sets of about
+   ``BLOCK`` ends, and of about ``HELD`` shingles at most, takes every other set that it needs once, and links a pair if
    100 * |intersection| >= percent * |union|.
 4. Components: links are contracted by hooking to the smallest neighbour and pointer jumping.
 
@@ -17,6 +17,8 @@ member that most others resemble) and its few best partners. Once those are conf
 a bucket whose members all belong together is done. In the others, members are cut into chunks by
 component, and every two chunks that are not of one component are compared once, by signatures of
 ``LONG`` one-bit values; all pairs between different components that may be similar are confirmed.
+A bucket that still holds more than ``WIDE`` such members isn't cut into all its pairs of chunks: its
+members meet again by the rarest shingles of their sets (the prefixes below), which lose no link.
 
 What can be missed: a link at exactly the threshold shares no band once in 300,000 cases, a more
 similar one more rarely; each estimate passes over a link with the chance of a deviation of ``MARGIN``
@@ -52,6 +54,10 @@ MARGIN = 5.0
 FIRST, CHUNK = 256, 1024
 #: Ends whose full sets a block holds; an end of more than ``LARGE`` shingles has a block of its own.
 BLOCK, LARGE = 256, 1 << 16
+#: Shingles of the sets that a block holds.
+HELD = 1 << 21
+#: Members, not all of one component, beyond which a bucket is replaced by buckets of rare shingles.
+WIDE = 1 << 15
 #: Partners that a member offers at first.
 PARTNERS = 3
 #: One-bit values of the second signature.
@@ -335,7 +341,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     The end names the block, so a hub's pairs spread and its set goes to each block once. A task holds
     one block's ends, and one other set at a time.
     """
-    blocks = max(1, math.ceil(pairs.count() / BLOCK))  # there are no more ends than pairs
+    small = F.sum(F.when(F.col("n") <= LARGE, F.col("n")))
+    sizes = pairs.agg(F.count(F.lit(1)).alias("pairs"), small.alias("shingles")).first()
+    blocks = max(1, math.ceil(sizes["pairs"] / BLOCK), math.ceil((sizes["shingles"] or 0) / HELD))  # there are no more ends than pairs
     block = F.when(F.col("n") > LARGE, F.pmod(F.xxhash64("end"), F.lit(1 << 40)) + blocks).otherwise(F.pmod(F.xxhash64("end"), F.lit(blocks)))
     turned = written(pairs.withColumn("block", block), "dup-blocks")
     none = F.lit(None).cast("array<long>")
@@ -378,26 +386,40 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def prefixes(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """cid, bucket: the rarest shingles of each class, so many that two similar sets share one of them.
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """cid, bucket: the rarest shingles of each of the ``sets`` (cid, shingles), so many that two similar sets
+    share one of them. An id of several texts has the prefixes of each.
 
     Of n shingles, n - ceil(n * percent / 100) + 1 are the prefix. Those that no other class has come
     first and join with nothing, so they only count.
     """
-    sets = full_sets(docs, classes.select("cid").distinct(), size)
-    each = written(sets.select("cid", F.explode("shingles").alias("s")).distinct(), "dup-shingles")
+    whole = sets.select("cid", F.xxhash64(F.array_sort("shingles")).alias("of"), "shingles")
+    each = written(whole.select("cid", "of", F.explode("shingles").alias("s")).distinct(), "dup-shingles")
     common = each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    ordered = each.join(common, "s").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("common"))
-    n = each.groupBy("cid").agg(F.count(F.lit(1)).alias("n"))
+    ordered = each.join(common, "s").groupBy("cid", "of").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("common"))
+    n = each.groupBy("cid", "of").agg(F.count(F.lit(1)).alias("n"))
     alone = F.col("n") - F.size("common")
     least = F.floor((F.col("n") * percent + 99) / 100)
     left = F.greatest(F.lit(0), F.col("n") - least + 1 - alone).cast("int")
-    return ordered.join(n, "cid").select("cid", F.explode(F.slice("common", F.lit(1), left)).alias("x")).select("cid", F.col("x.s").alias("bucket"))
+    first = ordered.join(n, ["cid", "of"]).select("cid", F.explode(F.slice("common", F.lit(1), left)).alias("x"))
+    return first.select("cid", F.col("x.s").alias("bucket")).distinct()
+
+
+def _narrowed(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The members that are ``unsettled`` (bucket, cid, n, label), those of wide buckets in buckets of rare shingles."""
+    wide = written(unsettled.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > WIDE).select("bucket"), "dup-wide")
+    if wide.isEmpty():
+        return unsettled
+    members = written(unsettled.join(wide, "bucket", "left_semi").select("cid", "n", "label").distinct(), "dup-wide-members")
+    rare = written(prefixes(sets.join(members, "cid", "left_semi"), percent).join(members, "cid"), "dup-rare")
+    mixed = rare.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    again = unsettled.join(wide, "bucket", "left_anti").unionByName(rare.join(mixed, "bucket", "left_semi"))
+    return written(again, "dup-narrowed")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, joined: DataFrame | None = None, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(links, components) between classes (cid, n, sig, bands). ``joined``: links (a, b) from the start."""
-    spread = prefixes(docs, classes, size, percent) if exact else classes.select("cid", F.explode("bands").alias("bucket"))
+    spread = prefixes(full_sets(docs, classes.select("cid").distinct(), size), percent) if exact else classes.select("cid", F.explode("bands").alias("bucket"))
     crowded = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min_by("cid", F.xxhash64("cid", "bucket")).alias("anchor")).where("size > 1")
     members = spread.join(crowded, "bucket").join(classes.select("cid", "n", "sig"), "cid")
     members = written(members.select("bucket", F.col("size").cast("int").alias("size"), "anchor", "cid", "n", "sig"), "dup-members")
@@ -417,6 +439,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, size: int, percent: int, j
     unsettled = written(named.join(mixed, "bucket", "left_semi"), "dup-mixed")
     if unsettled.isEmpty():
         return links, labels
+    unsettled = _narrowed(unsettled, sets, percent)
     long = sets.join(unsettled.select("cid").distinct(), "cid", "left_semi").mapInArrow(_long_signatures, "cid long, sig binary")
     shared = unsettled.groupBy("cid").agg(F.collect_set("bucket").alias("buckets"))  # as many as bands, or as the prefix is long
     long = written(long.join(shared, "cid"), "dup-long")

@@ -129,6 +129,42 @@ def test_exact_way_equals_brute_force(spark, seed):
     assert got == brute.components(rows, 4, 80)
 
 
+def test_wide_buckets_meet_by_rare_shingles(spark, monkeypatch):
+    """Buckets of members of many components are replaced by buckets of rare shingles; no link is lost."""
+    for name, value in (("FIRST", 8), ("CHUNK", 4), ("BLOCK", 5), ("WIDE", 9)):
+        monkeypatch.setattr(N, name, value)
+    narrowed = []
+    kept = N._narrowed
+    monkeypatch.setattr(N, "_narrowed", lambda u, *a: narrowed.append((u.count(), kept(u, *a))) or narrowed[-1][1])
+    rnd = random.Random(21)
+    base = say(rnd, 100)
+    rows = []
+    for family in range(30):  # families share 88 of about 112 words with each other, too few
+        own = base[:88] + say(rnd, 20)
+        rows += [(len(rows) + i, " ".join(own + say(rnd, 3))) for i in range(4)]
+    want = brute.components(rows, 5, 80)
+    for exact in (False, True):
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in N.groups(frame(spark, rows), 5, 80, exact).collect()} == want
+    assert any(kept.count() != before for before, kept in narrowed)
+
+
+def test_exact_way_with_an_id_of_several_texts(spark):
+    """An id's second text of rarer words doesn't hide the first one's prefix."""
+    rnd = random.Random(22)
+    common = say(rnd, 60)
+    rows = [(1, " ".join(common)), (1, " ".join(say(rnd, 400))), (2, " ".join(common + say(rnd, 10)))]
+    rows += [(10 + i, " ".join(common[:30] + say(rnd, 60))) for i in range(3)] + [(20 + i, " ".join(common[30:] + say(rnd, 60))) for i in range(3)]
+    got = {(r.doc_id, r.component_id) for r in N.groups(frame(spark, rows), 5, 80, exact=True).collect()}
+    assert {(1, 1), (2, 1)} <= got and all(a == b for a, b in got if a > 2)
+
+
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(N, "HELD", 500)
+    rows = corpus(9)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.groups(frame(spark, rows), 4, 80).collect()}
+    assert got == brute.components(rows, 4, 80)
+
+
 def test_large_group_at_real_sizes(spark):
     """Over a thousand near copies in several chunks, two of its parts just too far from each other, and one bridge."""
     rnd = random.Random(12)
