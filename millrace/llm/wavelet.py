@@ -14,7 +14,8 @@ attempt, and the rows that the task returns name the files that count, so repeat
 
 The library encodes: a text as a whole if it holds characters on which Python and the library could differ, else each
 distinct run without white space once, cut into the tokenizer's pieces, of which new ones go to the library: no token crosses
-white space or the ends of a piece. A worker's memo is bounded and keeps what it meets most often.
+white space or the ends of a piece. Arrow cuts a group of texts at white space and numbers the distinct runs, so that only
+these are looked up. A worker's memo is bounded and keeps what it meets most often.
 
 Null and odd cases: a null text is empty and has the end id alone; special strings inside a text are handled as
 the library does by default; a null id comes before all others; rows that share an id stand by a checksum of their
@@ -36,6 +37,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,10 +51,10 @@ MAGIC = b"WVLT0001"
 SHARD_IDS, BLOCK = 1 << 24, 1 << 18
 #: Documents in a range, about.
 RANGE_ROWS = 200_000
-#: Strings in a memo, of which a worker has two (some 150 MB each when full).
-MEMO = 1_000_000
-#: Documents encoded together, and new chunks that go to the library as one text.
-TOGETHER, JOINED = 512, 1000
+#: Pieces in a worker's memo (some 120 MB when full); the memo of chunks, which cost less to learn, holds half as many.
+MEMO = 800_000
+#: Bytes of text encoded together, about, and new pieces that go to the library as one text.
+TOGETHER, JOINED = 2 << 20, 1000
 SHARD = "part long, seq long, name string, n_docs long, n_ids long"
 DOC = "part long, seq long, place long, doc_id long, offset long, n_tokens long, ids binary"
 
@@ -69,7 +71,23 @@ def planes_of(values: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     for b in range(bits - 1, -1, -1):
         ones = (values & values.dtype.type(1 << b)) != 0
         yield ones
-        values = np.concatenate((values[~ones], values[ones]))
+        if b:
+            after = np.empty_like(values)
+            for here, at, to in _moves(ones):
+                after[to] = values[here][at]
+            values = after
+
+
+def _moves(ones: np.ndarray) -> Iterator[tuple[slice, np.ndarray, slice]]:
+    """How a plane reorders: block by block, the places of its zeros and of its ones within the block, and where these go. Places
+    are several times as fast as masks where bits alternate, and those of one block stay in the cache."""
+    ends = [0, len(ones) - int(np.count_nonzero(ones))]
+    for start in range(0, len(ones), BLOCK):
+        here = slice(start, start + BLOCK)
+        for bit in (0, 1):
+            at = np.flatnonzero(ones[here] if bit else ~ones[here])
+            yield here, at, slice(ends[bit], ends[bit] + len(at))
+            ends[bit] += len(at)
 
 
 def restored(planes: Iterator[np.ndarray], n: int, kind: np.dtype) -> np.ndarray:
@@ -77,8 +95,9 @@ def restored(planes: Iterator[np.ndarray], n: int, kind: np.dtype) -> np.ndarray
     values = np.zeros(n, dtype=kind)
     for b, ones in enumerate(planes):
         before = np.empty_like(values)
-        zeros = len(ones) - int(np.count_nonzero(ones))
-        before[~ones], before[ones] = values[:zeros], values[zeros:] | kind.type(1 << b)
+        for here, at, to in _moves(ones):
+            before[here][at] = values[to]
+        before |= ones.astype(kind) << kind.type(b)
         values = before
     return values
 
@@ -232,8 +251,8 @@ class Memo:
     """The ids of strings: a number for each string, the ids of number k at ``pool[ends[k] : ends[k + 1]]``, and how often
     it was met."""
 
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.learn, self.at = learn, {}
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], share: int = 1):
+        self.learn, self.at, self.share = learn, {}, share
         self.pool, self.ends, self.uses, self.known = np.zeros(1 << 16, dtype=np.uint16), np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64), 0
 
     def _add(self, new: list[str]) -> None:
@@ -255,7 +274,7 @@ class Memo:
     def _forget(self) -> None:
         """Keep the strings met most often, half of the memo at most."""
         uses = self.uses[: self.known]
-        kept = np.sort(np.argsort(-uses, kind="stable")[: min(MEMO // 2, int((uses > 1).sum()))])
+        kept = np.sort(np.argsort(-uses, kind="stable")[: min(MEMO // self.share // 2, int((uses > 1).sum()))])
         number = np.full(self.known, -1)
         number[kept] = np.arange(len(kept))
         self.pool, upto = _gathered(self.pool, self.ends, kept)
@@ -264,19 +283,22 @@ class Memo:
         self.known = len(kept)
         self.at = {c: k for c, i in self.at.items() if (k := int(number[i])) >= 0}
 
-    def ids(self, groups: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the groups' strings, and where each group ends among them."""
-        if self.known > MEMO:
+    def numbers(self, strings: list[str]) -> np.ndarray:
+        """The number of each string, which holds until the next call."""
+        if self.known > MEMO // self.share:
             self._forget()
-        new = set(itertools.chain.from_iterable(groups)).difference(self.at)
+        new = set(strings).difference(self.at)
         if new:
             self._add(list(new))
-        counts = np.fromiter(map(len, groups), dtype=np.int64, count=len(groups))
-        at = np.fromiter(map(self.at.__getitem__, itertools.chain.from_iterable(groups)), dtype=np.int64, count=int(counts.sum()))
-        self.uses[: self.known] += np.bincount(at, minlength=self.known)
-        every, upto = _gathered(self.pool, self.ends, at)
+        at = np.fromiter(map(self.at.__getitem__, strings), dtype=np.int64, count=len(strings))
         for c in [c for c in new if len(c) > LONG_CHUNK]:  # not remembered
             del self.at[c]
+        return at
+
+    def ids(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the strings of these numbers, which stand in groups of so many, and where each group ends among them."""
+        self.uses[: self.known] += np.bincount(at, minlength=self.known)
+        every, upto = _gathered(self.pool, self.ends, at)
         return every, np.concatenate((np.zeros(1, dtype=np.int64), upto))[np.cumsum(counts)]
 
 
@@ -293,13 +315,13 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         specials = [t["content"] for t in spec["added_tokens"]]
         self.special, self.mark = re.compile("|".join(map(re.escape, specials)), re.IGNORECASE), os.path.commonprefix(specials)
-        self.specials = bool(specials)
-        self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.specials, self.cased = bool(specials), self.mark.lower() != self.mark.upper()
+        self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] + r"|\n").findall
         end, vocabulary = spec["model"].get("end_of_word_suffix") or "", spec["model"]["vocab"]
         #: Which ids end a piece.
         self.ends_piece = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_piece[[i for t, i in vocabulary.items() if end and t.endswith(end)]] = True
-        self.pieces, self.chunks = Memo(self._pieces), Memo(self._chunks)
+        self.pieces, self.chunks = Memo(self._pieces), Memo(self._chunks, 2)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and how many each has."""
@@ -315,15 +337,18 @@ class Encoder:
         return (ids, np.diff(stops, prepend=0)) if len(stops) == len(pieces) and stops[-1] == len(ids) else self._library(pieces)
 
     def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, upto = self.pieces.ids(list(map(self.cut, chunks)))
+        """The same for chunks, which are cut as lines of one text."""
+        pieces = self.cut("\n".join(chunks))
+        counts = np.diff(np.array([i for i, p in enumerate(pieces) if p == "\n"] + [len(pieces)], dtype=np.int64), prepend=-1) - 1
+        ids, upto = self.pieces.ids(self.pieces.numbers([p for p in pieces if p != "\n"]), counts)
         return ids, np.diff(upto, prepend=0)
 
     def _unsure(self, text: str) -> bool:
         """Whether the library is to see the text as a whole."""
-        return bool(UNSURE.search(text) or (self.specials and self.mark.lower() in text.lower() and self.special.search(text)))
+        return bool(UNSURE.search(text) or (self.specials and (self.mark in text or (self.cased and self.mark.lower() in text.lower())) and self.special.search(text)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. Texts are met in small groups, so that new pieces go to the library together."""
+        """The ids of each text. Texts are met in groups, so that words are looked up once and new pieces go to the library together."""
         out: list[np.ndarray | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if self._unsure(t)]
         if whole:
@@ -331,7 +356,10 @@ class Encoder:
             for i, part in zip(whole, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
                 out[i] = part
         plain = [i for i in range(len(texts)) if out[i] is None]
-        every, upto = self.chunks.ids([texts[i].lower().split() for i in plain])
+        words = pc.ascii_split_whitespace(pa.array([texts[i] for i in plain], pa.large_string()))  # sure characters have no other white space
+        coded = words.flatten().dictionary_encode()
+        numbers = self.chunks.numbers("\n".join(coded.dictionary.to_numpy(zero_copy_only=False)).lower().split("\n") if len(coded) else [])
+        every, upto = self.chunks.ids(numbers[coded.indices.to_numpy()], np.diff(words.offsets.to_numpy()))
         every = every.astype(np.uint32)
         for i, part in zip(plain, np.split(every, upto[:-1]), strict=True):
             out[i] = part
@@ -368,8 +396,10 @@ def _write(batches: Iterator[pa.RecordBatch], uri: str, tokenizer: str, end_id:
         held, seq = 0, seq + 1
 
     for batch in batches:
-        for start in range(0, batch.num_rows, TOGETHER):
-            piece = batch.slice(start, TOGETHER)
+        upto = np.cumsum(pc.binary_length(batch["raw"]).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(upto // TOGETHER)) + 1).tolist(), batch.num_rows]
+        for start, end in itertools.pairwise(cuts):
+            piece = batch.slice(start, end - start)
             texts = [t.as_py().decode("utf-8", "replace") for t in piece["raw"]]
             for doc_id, ids in zip(piece["doc_id"].to_pylist(), code.encode(texts), strict=True):
                 if parts and held + len(ids) + 1 > shard_ids:

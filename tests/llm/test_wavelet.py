@@ -94,6 +94,26 @@ def test_encoder_equals_library(monkeypatch):
     assert [x.tolist() for x in code.encode(["some chunks, never met before"])] == library(["some chunks, never met before"])
 
 
+def test_a_group_looks_up_its_distinct_words():
+    seen = []
+
+    class Counted(dict):
+        def __getitem__(self, key):
+            seen.append(key)
+            return super().__getitem__(key)
+
+    code = wavelet.Encoder(public_tokenizers.path(NAME))
+    code.chunks.at, texts = Counted(), ["word Word, " * 5000, "", "word\x0bother\x0c \r\n"]
+    assert [x.tolist() for x in code.encode(texts)] == library(texts)
+    assert len(seen) < 10  # 10,002 before
+
+
+def test_sure_characters_equal_library():
+    sure = [c for c in map(chr, range(1 << 16)) if not wavelet.UNSURE.search(c) and not c.isspace()]
+    texts = [f"{c} a{c}b {c}'s \t{c}{c}1{c}" for c in sure] + ["".join(sure)]
+    assert [x.tolist() for x in wavelet.Encoder(public_tokenizers.path(NAME)).encode(texts)] == library(texts)
+
+
 @pytest.mark.parametrize("shard_ids", [1, 300, 1 << 24])
 def test_round_trip(spark, shard_ids):
     rows = [(i * 3, t) for i, t in enumerate(TEXTS)] + [(6, "hello world")] * 40 + [(None, "none"), (None, None), (None, "none"), (-(1 << 62), "first"), (7, TEXTS[3]), (7, "other")]
