@@ -12,10 +12,11 @@ plane; ``decode`` gives all ids back, from the last plane up. The file ends with
 a checksum of the directory; every block has a checksum as well. A file is written under a name of its
 attempt, and the rows that the task returns name the files that count, so repeated tasks neither replace nor mix files.
 
-The library encodes: a text as a whole if it holds characters on which Python and the library could differ, else each
-distinct run without white space once, cut into the tokenizer's pieces, of which new ones go to the library: no token crosses
-white space or the ends of a piece. Arrow cuts a group of texts at white space and numbers the distinct runs, so that only
-these are looked up. A worker's memo is bounded and keeps what it meets most often.
+The library encodes: a text as a whole if it holds characters on which Python and the library could differ, else each of the
+tokenizer's pieces that a worker's memo doesn't hold: no token crosses the ends of a piece. Where the tokenizer file cuts texts by
+kinds of characters (``BY_KIND``), a group of texts is cut as an array of code points, Arrow numbers the distinct pieces, and
+only these are looked up. With another pattern, Arrow cuts at white space and the pattern cuts the distinct runs. A memo is
+bounded and keeps what it meets most often.
 
 Null and odd cases: a null text is empty and has the end id alone; special strings inside a text are handled as
 the library does by default; a null id comes before all others; rows that share an id stand by a checksum of their
@@ -32,6 +33,7 @@ import json
 import math
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -43,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import scratch, utf8, written
-from millrace.llm.tokens import LONG_CHUNK, UNSURE
+from millrace.llm.tokens import LONG_CHUNK, UNSURE, byte_symbols
 from millrace.llm.warc import _filesystem
 
 MAGIC = b"WVLT0001"
@@ -51,10 +53,22 @@ MAGIC = b"WVLT0001"
 SHARD_IDS, BLOCK = 1 << 24, 1 << 18
 #: Documents in a range, about.
 RANGE_ROWS = 200_000
-#: Pieces in a worker's memo (some 120 MB when full); the memo of chunks, which cost less to learn, holds half as many.
+#: Pieces in a worker's memo (some 120 MB when full); the memo of chunks, which cost less to learn and which cutting by kind
+#: leaves empty, holds half as many.
 MEMO = 800_000
 #: Bytes of text encoded together, about, and new pieces that go to the library as one text.
-TOGETHER, JOINED = 2 << 20, 1000
+TOGETHER, JOINED = 4 << 20, 1000
+#: Normalizer and pre-tokenizer of a tokenizer file that folds case and cuts texts by kinds of characters, but for the contractions.
+BY_KIND = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
 SHARD = "part long, seq long, name string, n_docs long, n_ids long"
 DOC = "part long, seq long, place long, doc_id long, offset long, n_tokens long, ids binary"
 
@@ -247,6 +261,40 @@ def _gathered(pool: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.nd
     return pool[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts - upto + lengths, lengths)], upto
 
 
+SPACE, LETTER, DIGIT, SIGN = range(4)
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """The kind of each code point that sure characters or their small letters have."""
+    kinds = {"L": LETTER, "N": DIGIT}
+    return np.array([SPACE if chr(c).isspace() else kinds.get(unicodedata.category(chr(c))[0], SIGN) for c in range(0x3000)], dtype=np.uint8)
+
+
+def pieces_by_kind(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of small-letter texts of sure characters, as the pattern of ``BY_KIND`` cuts them, and how many each text has."""
+    points = np.frombuffer("".join([t + "\n" for t in texts]).encode("utf-32-le"), dtype=np.uint32)
+    kinds = _kinds()[points]
+    starts = kinds == DIGIT
+    starts[:1] = True
+    starts[1:] |= kinds[1:] != kinds[:-1]
+    # an apostrophe that begins a piece takes the letters of a contraction; a line end follows each text, so places stay within
+    at = np.flatnonzero(starts & (points == ord("'")))
+    one, two = points[at + 1], points[np.minimum(at + 2, len(points) - 1)]
+    taken = np.isin(one, [ord(c) for c in "stmd"]).astype(np.int64)
+    taken[((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))] = 2
+    at, taken = at[taken > 0], taken[taken > 0]
+    starts[at + 1] = False
+    starts[at + 1 + taken] = True
+    inside = kinds != SPACE
+    upto = np.searchsorted(np.flatnonzero(starts & inside), np.cumsum([len(t) + 1 for t in texts]))
+    kept, begins = points[inside], np.flatnonzero(starts[inside])
+    more = (kept >= 0x80).view(np.uint8) + (kept >= 0x800).view(np.uint8)  # bytes beyond the first
+    data = kept.tobytes().decode("utf-32-le").encode()
+    offsets = np.append(begins + np.cumsum(more, dtype=np.int64)[begins] - more[begins], len(data))
+    return pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(data)), np.diff(upto, prepend=0)
+
+
 class Memo:
     """The ids of strings: a number for each string, the ids of number k at ``pool[ends[k] : ends[k + 1]]``, and how often
     it was met."""
@@ -287,12 +335,15 @@ class Memo:
         """The number of each string, which holds until the next call."""
         if self.known > MEMO // self.share:
             self._forget()
-        new = set(strings).difference(self.at)
-        if new:
-            self._add(list(new))
-        at = np.fromiter(map(self.at.__getitem__, strings), dtype=np.int64, count=len(strings))
-        for c in [c for c in new if len(c) > LONG_CHUNK]:  # not remembered
-            del self.at[c]
+        at = np.fromiter(map(self.at.get, strings, itertools.repeat(-1)), dtype=np.int64, count=len(strings))
+        missed = np.flatnonzero(at < 0)
+        if len(missed):
+            asked = [strings[i] for i in missed.tolist()]
+            new = list(dict.fromkeys(asked))
+            self._add(new)
+            at[missed] = np.fromiter(map(self.at.__getitem__, asked), dtype=np.int64, count=len(asked))
+            for c in [c for c in new if len(c) > LONG_CHUNK]:  # not remembered
+                del self.at[c]
         return at
 
     def ids(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -303,12 +354,14 @@ class Memo:
 
 
 class Encoder:
-    """Token ids as the tokenizer file's library gives them, without begin, end or added special tokens. Chunks without white
-    space are remembered, and so are the pieces that the tokenizer cuts them into; the library gets new pieces."""
+    """Token ids as the tokenizer file's library gives them, without begin, end or added special tokens. The pieces that the
+    tokenizer cuts texts into are remembered, and where it doesn't cut them by kind, chunks without white space as well; the
+    library gets new pieces."""
 
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel part; threads of each would only wait for cores
         spec = json.load(open(path, encoding="utf-8"))
@@ -322,17 +375,23 @@ class Encoder:
         self.ends_piece = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_piece[[i for t, i in vocabulary.items() if end and t.endswith(end)]] = True
         self.pieces, self.chunks = Memo(self._pieces), Memo(self._chunks, 2)
+        self.by_kind = (spec["normalizer"], spec["pre_tokenizer"]) == BY_KIND
+        if self.by_kind:  # the same model for pieces in small letters and as symbols of bytes already, which are only to be merged
+            self.merging = Tokenizer(self.library.model)
+            self.merging.pre_tokenizer = WhitespaceSplit()
+            self.symbols = {i: c for i, c in enumerate(byte_symbols()) if i != ord(" ")}
 
-    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _library(self, texts: list[str], library=None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and how many each has."""
-        ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in (library or self.library).encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         return np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint32, count=int(lengths.sum())), lengths
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for pieces. Many go to the library as one text, and the ids that end a piece tell where; if these aren't as
         many as the pieces, each goes alone."""
-        ids, _ = self._library([" ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)])
+        joined = [" ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        ids, _ = self._library([t.encode().decode("latin-1").translate(self.symbols) for t in joined], self.merging) if self.by_kind else self._library(joined)
         stops = np.flatnonzero(self.ends_piece[ids]) + 1
         return (ids, np.diff(stops, prepend=0)) if len(stops) == len(pieces) and stops[-1] == len(ids) else self._library(pieces)
 
@@ -347,8 +406,19 @@ class Encoder:
         """Whether the library is to see the text as a whole."""
         return bool(UNSURE.search(text) or (self.specials and (self.mark in text or (self.cased and self.mark.lower() in text.lower())) and self.special.search(text)))
 
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts of sure characters, and where each text ends among them."""
+        if self.by_kind:
+            pieces, counts = pieces_by_kind([t.lower() for t in texts])
+            coded = pieces.dictionary_encode()
+            return self.pieces.ids(self.pieces.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()], counts)
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))  # sure characters have no other white space
+        coded = words.flatten().dictionary_encode()
+        numbers = self.chunks.numbers("\n".join(coded.dictionary.to_numpy(zero_copy_only=False)).lower().split("\n") if len(coded) else [])
+        return self.chunks.ids(numbers[coded.indices.to_numpy()], np.diff(words.offsets.to_numpy()))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. Texts are met in groups, so that words are looked up once and new pieces go to the library together."""
+        """The ids of each text. Texts are met in groups, so that pieces are looked up once and new ones go to the library together."""
         out: list[np.ndarray | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if self._unsure(t)]
         if whole:
@@ -356,13 +426,10 @@ class Encoder:
             for i, part in zip(whole, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
                 out[i] = part
         plain = [i for i in range(len(texts)) if out[i] is None]
-        words = pc.ascii_split_whitespace(pa.array([texts[i] for i in plain], pa.large_string()))  # sure characters have no other white space
-        coded = words.flatten().dictionary_encode()
-        numbers = self.chunks.numbers("\n".join(coded.dictionary.to_numpy(zero_copy_only=False)).lower().split("\n") if len(coded) else [])
-        every, upto = self.chunks.ids(numbers[coded.indices.to_numpy()], np.diff(words.offsets.to_numpy()))
-        every = every.astype(np.uint32)
-        for i, part in zip(plain, np.split(every, upto[:-1]), strict=True):
-            out[i] = part
+        if plain:
+            every, upto = self._plain([texts[i] for i in plain])
+            for i, part in zip(plain, np.split(every.astype(np.uint32), upto[:-1]), strict=True):
+                out[i] = part
         return out
 
 

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -108,6 +109,33 @@ def test_a_group_looks_up_its_distinct_words():
     assert len(seen) < 10  # 10,002 before
 
 
+def test_a_group_looks_up_its_distinct_pieces(monkeypatch):
+    seen, numbers = [], wavelet.Memo.numbers
+    monkeypatch.setattr(wavelet.Memo, "numbers", lambda self, strings: seen.extend(strings) or numbers(self, strings))
+    words, signs = ["alpha", "Beta", "gÀmma", "delta", "é"], [".", ",", ";", "!", "?", ")", "...", "?!", "×", "€"]
+    texts = [" ".join(w + s for w in words for s in signs)] * 3 + [""]
+    assert [x.tolist() for x in wavelet.Encoder(public_tokenizers.path(NAME)).encode(texts)] == library(texts)
+    assert sorted(seen) == sorted([w.lower() for w in words] + signs)  # before, all 50 runs without white space and their 100 pieces
+
+
+def test_cut_by_kind_equals_pattern():
+    rnd = random.Random(7)
+    cut = regex.compile(wavelet.BY_KIND[1]["pretokenizers"][0]["pattern"]["Regex"]).findall
+    signs = ["'", "'", "s", "t", "r", "e", "v", "m", "l", "d", "a", "1", "²", "-", " ", "\n", "é", "×", "–", "€", "i\u0307", "ⱥ"]
+    texts = ["", "'", "'s", "it's's", "''s", "1'll", "we'revs", "'l", "'r", "a'd", "\n"] + ["".join(rnd.choices(signs, k=rnd.randrange(12))) for _ in range(20_000)]
+    pieces, counts = wavelet.pieces_by_kind(texts)
+    assert pieces.to_pylist() == [p for t in texts for p in cut(t)] and counts.tolist() == [len(cut(t)) for t in texts]
+
+
+def test_encoder_by_pattern_equals_library():
+    texts = [t or "" for t in TEXTS] + ["it's we'll İ Ⱥ don'ts 12a", "", "Naïve, naïve. (naïve)"]
+    code = wavelet.Encoder(public_tokenizers.path(NAME))
+    assert code.by_kind
+    code.by_kind = False  # a file with another pattern
+    assert [x.tolist() for x in code.encode(texts)] == library(texts)
+    assert code.chunks.known and code.encode([]) == []
+
+
 def test_sure_characters_equal_library():
     sure = [c for c in map(chr, range(1 << 16)) if not wavelet.UNSURE.search(c) and not c.isspace()]
     texts = [f"{c} a{c}b {c}'s \t{c}{c}1{c}" for c in sure] + ["".join(sure)]
