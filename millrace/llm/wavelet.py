@@ -69,6 +69,8 @@ BY_KIND = (
         ],
     },
 )
+#: Characters cut together, about.
+CUT = 1 << 18
 SHARD = "part long, seq long, name string, n_docs long, n_ids long"
 DOC = "part long, seq long, place long, doc_id long, offset long, n_tokens long, ids binary"
 
@@ -271,14 +273,14 @@ def _kinds() -> np.ndarray:
     return np.array([SPACE if chr(c).isspace() else kinds.get(unicodedata.category(chr(c))[0], SIGN) for c in range(0x3000)], dtype=np.uint8)
 
 
-def pieces_by_kind(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
-    """The pieces of small-letter texts of sure characters, as the pattern of ``BY_KIND`` cuts them, and how many each text has."""
-    points = np.frombuffer("".join([t + "\n" for t in texts]).encode("utf-32-le"), dtype=np.uint32)
+def _cut(text: str) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of a text that ends in white space, and the places where they begin."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     kinds = _kinds()[points]
     starts = kinds == DIGIT
-    starts[:1] = True
+    starts[0] = True
     starts[1:] |= kinds[1:] != kinds[:-1]
-    # an apostrophe that begins a piece takes the letters of a contraction; a line end follows each text, so places stay within
+    # an apostrophe that begins a piece takes the letters of a contraction, which end before the last place
     at = np.flatnonzero(starts & (points == ord("'")))
     one, two = points[at + 1], points[np.minimum(at + 2, len(points) - 1)]
     taken = np.isin(one, [ord(c) for c in "stmd"]).astype(np.int64)
@@ -287,12 +289,26 @@ def pieces_by_kind(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
     starts[at + 1] = False
     starts[at + 1 + taken] = True
     inside = kinds != SPACE
-    upto = np.searchsorted(np.flatnonzero(starts & inside), np.cumsum([len(t) + 1 for t in texts]))
     kept, begins = points[inside], np.flatnonzero(starts[inside])
     more = (kept >= 0x80).view(np.uint8) + (kept >= 0x800).view(np.uint8)  # bytes beyond the first
     data = kept.tobytes().decode("utf-32-le").encode()
     offsets = np.append(begins + np.cumsum(more, dtype=np.int64)[begins] - more[begins], len(data))
-    return pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(data)), np.diff(upto, prepend=0)
+    return pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(data)), np.flatnonzero(starts & inside)
+
+
+def pieces_by_kind(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of small-letter texts of sure characters, as the pattern of ``BY_KIND`` cuts them, and how many each text has.
+    The texts are met in blocks that end in white space, so that arrays of code points stay small however long a text is."""
+    text = "".join([t + "\n" for t in texts])
+    pieces, places, at = [], [], 0
+    while at < len(text):
+        end = max(text.rfind(" ", at, at + CUT), text.rfind("\n", at, at + CUT)) + 1 or re.compile("[ \n]").search(text, at).end()
+        some, begins = _cut(text[at:end])
+        pieces.append(some)
+        places.append(begins + at)
+        at = end
+    upto = np.searchsorted(np.concatenate(places), np.cumsum([len(t) + 1 for t in texts]))
+    return pa.concat_arrays(pieces), np.diff(upto, prepend=0)
 
 
 class Memo:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -127,6 +128,23 @@ def test_cut_by_kind_equals_pattern():
     assert pieces.to_pylist() == [p for t in texts for p in cut(t)] and counts.tolist() == [len(cut(t)) for t in texts]
 
 
+def test_blocks_of_a_long_text(monkeypatch):
+    text = "some words, " * 200_000
+    tracemalloc.start()
+    pieces, counts = wavelet.pieces_by_kind([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pieces) == counts[0] == 600_000
+    assert peak < 12 * len(text)  # arrays of code points over the whole text took more
+    monkeypatch.setattr(wavelet, "CUT", 8)
+    texts = ["hello world, this is", "it's a", "", "  ", "\t" * 20, "loooooooooooooooong'll  x", "\t a\tbbbbbbbbbbbbbbbbbbb\tc's", ""]
+    pieces, counts = wavelet.pieces_by_kind(texts)
+    assert pieces.to_pylist() == ["hello", "world", ",", "this", "is", "it", "'s", "a", "loooooooooooooooong", "'ll", "x", "a", "bbbbbbbbbbbbbbbbbbb", "c", "'s"]
+    assert counts.tolist() == [5, 3, 0, 0, 0, 3, 4, 0]
+    code = wavelet.Encoder(public_tokenizers.path(NAME))
+    assert [x.tolist() for x in code.encode([*texts, *(t or "" for t in TEXTS)])] == library([*texts, *TEXTS])
+
+
 def test_encoder_by_pattern_equals_library():
     texts = [t or "" for t in TEXTS] + ["it's we'll İ Ⱥ don'ts 12a", "", "Naïve, naïve. (naïve)"]
     code = wavelet.Encoder(public_tokenizers.path(NAME))
